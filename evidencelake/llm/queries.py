@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import fingerprints
-from evidencelake.llm.common import documents
+from evidencelake.llm import fingerprints, quality, sharding
+from evidencelake.llm.common import documents, table
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(documents(spark, sf_dir))
 
 
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import fingerprints, quality, sharding
+from evidencelake.llm import bpe, fingerprints, packing, quality, sharding
 from evidencelake.llm.common import documents, table
 
 
+def vocabulary(name: str) -> str:
+    """The installed public tokenizers; their package says where the files are."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), with_ids=False)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -18,6 +29,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(documents(spark, sf_dir))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 

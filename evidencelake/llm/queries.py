@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import bpe, fingerprints, packing, quality, secret_scan, sharding, toxicity
+from evidencelake.llm import bpe, fingerprints, lm, packing, quality, secret_scan, sharding, toxicity
 from evidencelake.llm.common import documents, table
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(documents(spark, sf_dir))
+
+
 def vocabulary(name: str) -> str:
     """The installed public tokenizers; their package says where the files are."""
     import public_tokenizers

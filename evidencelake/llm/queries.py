@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import bpe, fingerprints, lm, packing, quality, secret_scan, sharding, toxicity
+from evidencelake.llm import bpe, fingerprints, lm, ngram_join, packing, quality, secret_scan, sharding, toxicity
 from evidencelake.llm.common import documents, table
 
 
@@ -33,6 +33,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(documents(spark, sf_dir))
 

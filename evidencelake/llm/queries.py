@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import bpe, fingerprints, lm, ngram_join, packing, quality, secret_scan, sharding, toxicity
+from evidencelake.llm import bpe, fingerprints, lm, ngram_join, packing, quality, secret_scan, sharding, substring, toxicity
 from evidencelake.llm.common import documents, table
 
 
@@ -21,6 +21,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(documents(spark, sf_dir))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 

@@ -1,6 +1,6 @@
 """All registered queries of the session-evidence operators."""
 
-from evidencelake.plans import intervals_queries, risk_queries  # noqa: F401  registers its queries
+from evidencelake.plans import intervals_queries, join_queries, risk_queries  # noqa: F401  registers its queries
 from evidencelake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

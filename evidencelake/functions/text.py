@@ -36,11 +36,11 @@ def locality(before: Column, after: Column) -> Column:
 
 
 def common_prefix(a: Column, b: Column) -> Column:
-    """How many leading characters are equal."""
+    """How many leading characters are equal, by halving: beginnings that are equal stay equal when shortened."""
     n = F.least(F.char_length(a), F.char_length(b))
-    same = lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))
-    steps = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.lit(0), lambda acc, i: F.when((acc == i - 1) & same(i), i).otherwise(acc))
+    same = lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i)
+    steps = F.array(*[F.lit(1 << k) for k in range(24, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda lo, step: F.when((lo + step <= n) & same(lo + step), lo + step).otherwise(lo))
 
 
 def diff_excerpt(before: Column, after: Column, most: int = 300) -> Column:
@@ -93,7 +93,7 @@ def citation(ref: Column) -> Column:
 def window_ids(ref: Column) -> Column:
     """Ids of "perception:w=a+b+c"."""
     body = F.regexp_extract(ref, r"w=(.*)$", 1)
-    return F.filter(F.transform(F.split(body, r"\+"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(body, r"\+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def ordered_distinct(values: Column) -> Column:

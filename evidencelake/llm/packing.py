@@ -150,19 +150,22 @@ class Packer:
         """Pack the rest: whole bins while they fill up, then sequences of power-of-two lengths."""
         while sum(len(x[1]) for x in self.items) // 4 >= self.limit[0]:
             self.drain(max(0, len(self.items) - 1))
-        rest = sum(len(x[1]) for x in self.items) // 4
-        while rest and self.items:
-            room = 1 << (rest.bit_length() - 1)
-            self.close()
+        self.close()
+        while self.items:
+            rest = sum(len(x[1]) for x in self.items) // 4
+            room = 1 << (min(rest, int(self.limit[0])).bit_length() - 1)
             while room and self.items and self.used[1] < self.limit[1]:
                 ident, ids, start, prompt, total = self.take(len(self.items) - 1)
-                length = min(room, len(ids) // 4)
-                self.put(ident, ids, start, length, total, prompt, start)
-                room -= length
+                free = int(self.limit[2] - self.used[2])
+                length = min(room, len(ids) // 4, max(0, prompt - start) + free)
+                if length:
+                    self.put(ident, ids, start, length, total, prompt, start)
+                    room -= length
                 if length < len(ids) // 4:
                     self.push([ident, ids[4 * length :], start + length, prompt, total])
-            rest = sum(len(x[1]) for x in self.items) // 4
-        self.close()
+                if not length:
+                    break
+            self.close()
 
 
 def pack(

@@ -13,11 +13,15 @@ from evidencelake.operators.joins import first_match
 
 #: Fixed points and weights of the score.
 SEVERITY_POINTS = {"high": 32, "medium": 18, "low": 9}
-INTEGRITY_SPEECH = ("solution_discussion", "answer_dictation", "coaching", "whisper")
+INTEGRITY_SPEECH = ("asking_for_answer", "receiving_dictation", "discussing_solution", "reciting_answer_choices")
 DIVERTED = ("left", "right", "up", "away")
 SPEED_FACTS = ("TYPING_STOPPED", "TYPING_STARTED")
 SPEED_METRICS = ("typingSpeedWpm", "typingBurstCount", "typingBurstDurations")
-SOLO_SCREEN_FACTS = ("SCREEN_EXTERNAL_RESOURCE", "SCREEN_AI_ASSISTANT", "SCREEN_EXTERNAL_PASTE")
+SOLO_SCREEN_FACTS = ("SCREEN_EXTERNAL_RESOURCE", "SCREEN_AI_ASSISTANT_UI", "SCREEN_EXTERNAL_PASTE")
+SIGNAL_TYPES = (
+    "possible_external_consultation", "possible_second_person_involvement", "unauthorized_reference_usage", "abnormal_paste_workflow", "suspicious_focus_pattern",
+    "abnormal_correction_pattern", "typing_cadence_mismatch", "inconsistent_interaction_sequence", "possible_audio_coaching", "possible_remote_dictation",
+)
 TIME_TOLERANCE_MS = 90_000
 
 
@@ -132,7 +136,7 @@ def solo_evidence(signal_type: Column, facts: Column, observations: Column, metr
     interacting = F.coalesce(value("people.secondPersonInteracting") == "yes", F.lit(False)) | F.coalesce(value("people.secondPersonActivity") == "speaking_to_candidate", F.lit(False))
     away = F.coalesce(value("attention.gazeDirection").isin(*DIVERTED), F.lit(False))
     seen = F.coalesce(value("people.secondPersonVisible") == "yes", F.lit(False))
-    phone = F.coalesce(value("hands.phoneInHand") == "yes", F.lit(False))
+    phone = F.coalesce(value("hands.objectInHand") == "phone", F.lit(False))
     any_of = lambda arr, names: F.coalesce(F.arrays_overlap(arr, F.array(*map(F.lit, names))), F.lit(False))
     workflow = (
         (signal_type == "abnormal_paste_workflow")

@@ -117,7 +117,7 @@ def r13_rule_chain(spark, sf_dir):
     strings = lambda *x: F.array(*map(F.lit, x)) if x else F.array().cast("array<string>")
     none = strings()
     facts = F.when(k % 5 == 3, strings("TYPING_STARTED")).when(k % 5 == 0, F.when(F.col("kind") == "error", strings("INVENTED")).otherwise(strings("LARGE_PASTE"))).otherwise(none)
-    gaze = F.when(k % 2 == 0, strings("w1.attention.gazeDirection=left")).otherwise(strings("w1.hands.phoneInHand=yes"))
+    gaze = F.when(k % 2 == 0, strings("w1.attention.gazeDirection=left")).otherwise(strings("w1.hands.objectInHand=phone"))
     seen = F.when(k % 5 == 2, strings("w1.audio.speechPresent=UNKNOWN")).when(k % 5 == 1, gaze).when(k % 5 == 0, strings("w1.attention.gazeDirection=left")).otherwise(none)
     rule = decide.rejection(
         k % 13 != 0, k % 17 != 0, F.lit(True), F.lit("collaboration"), facts, seen, none, none, none, strings("LARGE_PASTE", "TYPING_STARTED"), strings("w1"), none

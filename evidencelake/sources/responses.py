@@ -18,6 +18,11 @@ def unfenced(text: Column) -> Column:
     return F.regexp_replace(F.trim(text), r"^```(?:json)?\s*|\s*```$", "")
 
 
+def share(c: Column) -> Column:
+    """Cut to [0, 1]; a missing one is one half."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))).otherwise(0.5)
+
+
 def camera_events(stored: DataFrame, kinds: list[str]) -> DataFrame:
     """Events of stored camera answers; ``stored`` has sk, chunk_id, start_ms (of the chunk), duration_ms and response.
 
@@ -36,7 +41,7 @@ def camera_events(stored: DataFrame, kinds: list[str]) -> DataFrame:
         (F.col("chunk_start") + whole("a")).alias("start_ms"), (F.col("chunk_start") + whole("b")).alias("end_ms"),
         F.greatest(F.lit(1), F.bround(F.col("b") - F.col("a")).cast("bigint")).alias("duration_ms"),
         F.coalesce("e.attrs", F.create_map().cast("map<string,string>")).alias("attrs"), F.col("e.summary").alias("summary"),
-        F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("e.confidence"))), F.lit(0.5)).alias("confidence"),
+        share(F.col("e.confidence")).alias("confidence"),
         F.when(F.col("tier").isin("HIGH", "MEDIUM", "LOW", "NONE"), F.col("tier")).otherwise("MEDIUM").alias("tier"),
     )
 
@@ -62,7 +67,7 @@ def screen_observations(stored: DataFrame) -> DataFrame:
         F.coalesce(F.transform(F.slice("r.externalResourceLabels", 1, 10), lambda x: left(x, 80)), F.array().cast("array<string>")).alias("labels"),
         left(F.col("r.pastedTextExcerpt"), 300).alias("excerpt"), left(F.col("r.visibleQuestionRef"), 120).alias("question_ref"),
         left(F.col("r.qualityCaveat"), 240).alias("caveat"), ternary(F.col("r.externalResourceVisible")).alias("external_resource"), ternary(F.col("r.aiAssistantUiVisible")).alias("ai_assistant"),
-        F.when(F.col("ok"), F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("r.confidence"))), F.lit(0.5))).otherwise(0.0).alias("confidence"),
+        F.when(F.col("ok"), share(F.col("r.confidence"))).otherwise(0.0).alias("confidence"),
     )
 
 

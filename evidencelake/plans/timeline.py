@@ -55,7 +55,7 @@ def edit_spans(spans: DataFrame) -> DataFrame:
     low, high = F.least("start_ms", "end_ms"), F.greatest("start_ms", "end_ms")
     running = F.coalesce(F.max(high).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     start = F.greatest(F.lit(0), F.coalesce(low, running))
-    return spans.withColumn("start_ms", start).withColumn("end_ms", F.greatest(start, F.coalesce(high, running)))
+    return spans.withColumns({"start_ms": start, "end_ms": F.greatest(start, F.coalesce(high, running))})
 
 
 def within_limit(events: DataFrame, limit_ms: int = SESSION_LIMIT_MS) -> DataFrame:

@@ -141,15 +141,19 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     for r in totals:
         class_counts[r["cls"]], class_types[r["cls"]] = r["n"], r["types"]
     n, types = int(class_counts.sum()), int(class_types.sum())
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).select("word", "cls", "c").toPandas()
-    words = [bytes(w) for w in top["word"]]
-    if END not in words[:SHORTLIST] and types:  # the end is always a class of its own
-        words = [END, *[w for w in words if w != END]][:HEAD]
-        end_count = counts.filter(F.col("h") == token_hash(END)).agg(F.sum("c")).first()[0] or 0
-        by_word = dict(zip(map(bytes, top["word"]), top["c"], strict=True)) | {END: end_count}
-        head_counts = np.array([by_word[w] for w in words], dtype=np.int64)
-    else:
-        head_counts = top["c"].to_numpy(dtype=np.int64)
+    # the least count with which at most HEAD tokens qualify, so that no task has to send more than its share of them
+    room, floor = HEAD, None
+    for r in sorted(counts.groupBy("c").count().collect(), key=lambda r: -r["c"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        floor = r["c"]
+    top = counts.filter((F.col("c") >= floor if floor else F.lit(False)) | (F.col("h") == token_hash(END))).select("word", "c").toArrow()
+    found = sorted(zip(top["c"].to_pylist(), top["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    # the end is always a class of its own
+    found.sort(key=lambda x: x[1] != END)
+    words = [w for _, w in found]
+    head_counts = np.array([c for c, _ in found], dtype=np.int64)
     classes = np.array([suffix_class(w) for w in words], dtype=np.int64)
     for i in range(min(SHORTLIST, len(words))):
         class_counts[classes[i]] -= head_counts[i]
@@ -203,11 +207,12 @@ def count_pairs(texts: DataFrame, vocab: Vocabulary) -> tuple[np.ndarray, np.nda
             columns = [pa.array(np.full(len(cells), i, np.int32)), pa.array(cells.astype(np.int32)), pa.array(found[i][cells])]
             yield pa.RecordBatch.from_arrays(columns, names=["distance", "cell", "n"])
 
-    pairs = texts.mapInArrow(task, "distance int, cell int, n bigint").groupBy("distance", "cell").agg(F.sum("n").alias("n")).toPandas()
+    pairs = texts.mapInArrow(task, "distance int, cell int, n bigint").groupBy("distance", "cell").agg(F.sum("n").alias("n")).toArrow()
+    distance, cell, n = (pairs[c].to_numpy() for c in ("distance", "cell", "n"))
     out = []
     for i in (0, 1):
-        own, table = pairs[pairs["distance"] == i], np.zeros(size)
-        table[own["cell"].to_numpy()] = own["n"].to_numpy()
+        own, table = distance == i, np.zeros(size)
+        table[cell[own]] = n[own]
         out.append(table.reshape(CLASSES + 1, CLASSES))
     return out[0], out[1]
 

@@ -16,61 +16,57 @@ pass through, null included; an empty table gives no pieces; only the named colu
 
 from __future__ import annotations
 
+import json
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from evidencelake.llm.bpe import CACHE_WORDS, runs
+from evidencelake.llm.bpe import CACHE_WORDS, byte_characters
+from evidencelake.llm.splitting import Splitter
+
+assert sys.byteorder == "little" and array("I").itemsize == 4, "packed ids are little-endian and 32 bits wide"
 
 POOL = 256
-#: Fixed by the vocabulary's file: what counts as a word.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Fixed by the vocabulary's file: what counts as a word, and the same for the standard library's matcher.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+QUICK = r" ?[^\W\d_]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]+|_+)+|\s+(?!\S)|\s+"
 
 
-class WordIds:
-    """Packed ids of texts: each distinct word is encoded once by the tokenizers library and remembered."""
+class WordIds(dict):
+    """Packed ids of texts.  Each distinct word is encoded once and remembered, in bounded number."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        special = {t.content: i.to_bytes(4, "little") for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.specials = special
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-
-    def words(self, text: str) -> list[str]:
-        if self.special is None or "<|" not in text or not self.special.search(text):
-            return WORD.findall(text)
-        out, at = [], 0
-        for m in self.special.finditer(text):
-            out += [*WORD.findall(text[at : m.start()]), "\0" + m[0]]
-            at = m.end()
-        return out + WORD.findall(text[at:])
-
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        known = self.known
-        for run in runs(texts):
-            split = [self.words(t) for t in run]
-            new = [w for w in set().union(*split) if w not in known]
-            for w in new:
-                if w[0] == "\0" and w[1:] in self.specials:
-                    known[w] = self.specials[w[1:]]
-            new = [w for w in new if w not in known]
-            for i in range(0, len(new), 20_000):
-                part = new[i : i + 20_000]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, dtype="<u4").tobytes()
-            for words in split:
-                yield b"".join([known[w] for w in words])
-            if len(known) > CACHE_WORDS:
-                known.clear()
+        super().__init__()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.splitter = Splitter(WORD, QUICK, specials)
+        # byte-level vocabularies number their tokens by merge rank, so the ids serve as ranks
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in specials}
+        self.encode = tiktoken.Encoding("words", pat_str=WORD, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def __missing__(self, word: str) -> bytes:
+        if word[0] == "\0" and word[1:] in self.splitter.specials:
+            ids = [self.splitter.specials[word[1:]]]
+        else:
+            ids = self.encode(word.encode())
+        self[word] = out = array("I", ids).tobytes()
+        return out
+
+    def packed(self, text: str) -> bytes:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.splitter.words(text)))
 
 
 @lru_cache(maxsize=2)
@@ -190,9 +186,9 @@ def pack(
         words, packer = loaded(path), Packer(TaskContext.get().partitionId() << 32, max_tokens, max_segments, max_loss)
         for batch in batches:
             idents, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            heads = words.encode_all(batch.column(2).to_pylist()) if prompt is not None else iter(lambda: b"", None)
-            for ident_, head, ids in zip(idents, heads, words.encode_all(texts)):  # noqa: B905  heads may be endless
-                packer.add(ident_, head + ids + closing, max(1, len(head) // 4))
+            heads = batch.column(2).to_pylist() if prompt is not None else [""] * batch.num_rows
+            for ident_, head, text_ in zip(idents, map(words.packed, heads), texts, strict=True):
+                packer.add(ident_, head + words.packed(text_) + closing, max(1, len(head) // 4))
             yield out(packer)
         packer.finish()
         yield out(packer)

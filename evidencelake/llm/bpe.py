@@ -22,14 +22,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidencelake.llm.splitting import Splitter
+
 #: Characters of text whose new words are encoded together, and words that a worker remembers at most.
-RUN_CHARS, CACHE_WORDS = 3_000_000, 200_000
-#: Fixed by the vocabulary's file: what counts as a word.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+RUN_CHARS, CACHE_WORDS = 3_000_000, 300_000
+#: Fixed by the vocabulary's file: what counts as a word, and the same for the standard library's matcher.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+QUICK = r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\s\w]+|_+)+"
 
 
 def byte_characters() -> list[str]:
@@ -53,7 +55,7 @@ class PairIndexBpe:
             self.merges[vocab[a] << 20 | vocab[b]] = (rank, vocab[a + b])
         self.by_rank = list(self.merges)
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
+        self.splitter = Splitter(WORD, QUICK, self.specials)
         self.token = {i: t.encode() for t, i in (vocab | self.specials).items()}
         self.known: dict[str, tuple[bytes, bytes]] = {}
 
@@ -64,15 +66,7 @@ class PairIndexBpe:
         return text.lower()
 
     def words(self, text: str) -> list[str]:
-        """Words in order; a special token stands for itself."""
-        if self.special is None or "<|" not in text or not self.special.search(text):
-            return WORD.findall(self.normalise(text))
-        out, at = [], 0
-        for m in self.special.finditer(text):
-            out += WORD.findall(self.normalise(text[at : m.start()]))
-            out.append("\0" + m[0])
-            at = m.end()
-        return out + WORD.findall(self.normalise(text[at:]))
+        return self.splitter.words(text, self.normalise)
 
     def learn_words(self, words: set[str]) -> None:
         """Encode words not met before; afterwards ``known`` has their ids and decoded text."""
@@ -114,6 +108,7 @@ class PairIndexBpe:
         active = [merges[p][0] for p in index]
         heapq.heapify(active)
         sym, nxt, prv = symbols.tolist(), after.tolist(), before.tolist()
+        rank_of, lists = merges.get, index.get
         while active:
             pair = self.by_rank[heapq.heappop(active)]
             first, second, whole = pair >> 20, pair & 0xFFFFF, merges[pair][1]
@@ -123,21 +118,22 @@ class PairIndexBpe:
                     continue
                 sym[p], sym[q] = whole, -1
                 nxt[p] = right = nxt[q]
+                left = prv[p]
+                # the pairs to the right and to the left are new: note where they stand
+                made = []
                 if right >= 0:
                     prv[right] = p
-                    self.note(whole << 20 | sym[right], p, index, active)
-                left = prv[p]
+                    made.append((whole << 20 | sym[right], p))
                 if left >= 0:
-                    self.note(sym[left] << 20 | whole, left, index, active)
+                    made.append((sym[left] << 20 | whole, left))
+                for code, at in made:
+                    if (held := lists(code)) is not None:
+                        held.append(at)
+                    elif (rank := rank_of(code)) is not None:
+                        index[code] = [at]
+                        heapq.heappush(active, rank[0])
         return np.array(sym, dtype=np.int64)
 
-    def note(self, pair: int, at: int, index: dict[int, list[int]], active: list[int]) -> None:
-        if (held := index.get(pair)) is not None:
-            held.append(at)
-        elif (m := self.merges.get(pair)) is not None:
-            index[pair] = [at]
-            heapq.heappush(active, m[0])
-
     def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Packed ids and decoded text of each text."""
         for run in runs(texts):

@@ -342,3 +342,21 @@ def test_edit_distance():
         for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
             d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
         assert substring.distance(a, b) == d[-1, -1]
+
+
+def test_substring_splits_a_chain_at_unequal_text(spark):
+    rng = np.random.default_rng(11)
+    new = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    cases = {}
+    for i, (n, gap) in enumerate([(60, 100), (60, 40), (60, 180), (200, 150), (200, 600)]):
+        one, two = new(n), new(n)
+        cases[2 * i], cases[2 * i + 1] = new(30) + one + new(gap) + two + new(30), new(20) + one + new(gap) + two + new(20)
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in cases.items()], "doc_id bigint, text string").coalesce(1)
+    got = collections.defaultdict(list)
+    for r in substring.repeated_passages(df).collect():
+        got[r["doc_id"]].append((r["word_start"], r["n_words"], r["src_doc_id"], r["src_word_start"], r["identity"]))
+    for i, (n, gap) in enumerate([(60, 100), (60, 40), (60, 180), (200, 150), (200, 600)]):
+        assert sorted(got[2 * i + 1]) == [(20, n, 2 * i, 30, 1.0), (20 + n + gap, n, 2 * i, 30 + n + gap, 1.0)], (n, gap)
+    a = new(120)
+    b = a[:40] + new(40) + a[80:]
+    assert sorted(x[1] - x[0] for x in substring.align(a, b, [0, 20, 35, 80, 115], [0, 20, 35, 80, 115], 0.8)) == [40, 40]

@@ -360,3 +360,27 @@ def test_substring_splits_a_chain_at_unequal_text(spark):
     a = new(120)
     b = a[:40] + new(40) + a[80:]
     assert sorted(x[1] - x[0] for x in substring.align(a, b, [0, 20, 35, 80, 115], [0, 20, 35, 80, 115], 0.8)) == [40, 40]
+
+
+def test_substring_recall_of_changed_passages(spark):
+    """Planted passages with evenly and randomly changed words are all found."""
+    rng = np.random.default_rng(12)
+    new = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    rows, planted = [], 0
+    for n in (50, 60, 100):
+        for share in (0.2, 0.15, 0.1, None):
+            for _ in range(4):
+                one = new(n)
+                two = list(one)
+                for i in range(3, n, 6) if share is None else rng.choice(n, int(n * share), replace=False):
+                    two[i] = "changed" + str(rng.integers(0, 10**9))
+                rows += [(2 * planted, " ".join(new(30) + one + new(30))), (2 * planted + 1, " ".join(new(40) + two + new(30)))]
+                planted += 1
+    got = {r["doc_id"] for r in substring.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()}
+    assert len(got) >= 0.95 * planted
+
+
+def test_substring_packs_integers():
+    rng = np.random.default_rng(13)
+    columns = [np.array([1 << 62, -(1 << 63), 5]), np.arange(3) + (7 << 33), np.array([3, -2, 1], np.int16), rng.integers(0, 100_000, 3)]
+    assert [x.tolist() for x in substring.unpack(substring.pack(columns))] == [x.tolist() for x in columns]

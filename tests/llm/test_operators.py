@@ -384,3 +384,20 @@ def test_substring_packs_integers():
     rng = np.random.default_rng(13)
     columns = [np.array([1 << 62, -(1 << 63), 5]), np.arange(3) + (7 << 33), np.array([3, -2, 1], np.int16), rng.integers(0, 100_000, 3)]
     assert [x.tolist() for x in substring.unpack(substring.pack(columns))] == [x.tolist() for x in columns]
+
+
+def test_substring_of_windows_seen_elsewhere(spark):
+    """Every window of the shared passage occurred before, in documents that hold two of them each at most."""
+    rng = np.random.default_rng(14)
+    new = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    passage = new(55)
+    rows = [new(30) + passage[i : i + 6] + new(30) for i in range(50)] + [new(20) + passage + new(20), new(40) + passage + new(10)]
+    loop = new(7) * 12
+    rows += [new(20) + loop + new(20), new(30) + loop + new(10)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id bigint, text string").coalesce(1)
+    got = collections.defaultdict(set)
+    for r in substring.repeated_passages(df).collect():
+        assert r["identity"] == 1.0
+        got[r["doc_id"], r["src_doc_id"]] |= set(range(r["word_start"], r["word_start"] + r["n_words"]))
+    assert got[51, 50] == set(range(40, 95))
+    assert got[53, 52] | got[53, 53] >= set(range(30, 114)) and len(got[52, 52]) >= 70

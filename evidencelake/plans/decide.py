@@ -64,11 +64,13 @@ def weight_10k(verdict: Column, who: Column, phase: Column, status: Column) -> C
     )
 
 
-def composite(findings: DataFrame, keys: list[str]) -> DataFrame:
-    """Severity points times weight, banker's-rounded, capped at 90, with its band."""
+def composite(findings: DataFrame, keys: list[str], uncapped: bool = False) -> DataFrame:
+    """Severity points times weight, banker's-rounded, capped at 90, with its band; ``uncapped`` adds the sum before the cap."""
     points = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in SEVERITY_POINTS.items() for x in kv]), F.col("severity")), F.lit(9))
-    total = F.least(F.lit(90), F.bround(F.sum(points * F.col("weight_10k")) / 10_000.0)).cast("int")
-    scored = findings.groupBy(*keys).agg(total.alias("total"), F.count_if(F.col("weight_10k") > 0).alias("driving"))
+    rounded = F.bround(F.sum(points * F.col("weight_10k")) / 10_000.0)
+    total = F.least(F.lit(90), rounded).cast("int")
+    whole = [rounded.cast("bigint").alias("uncapped")] if uncapped else []
+    scored = findings.groupBy(*keys).agg(total.alias("total"), F.count_if(F.col("weight_10k") > 0).alias("driving"), *whole)
     band = F.when(F.col("total") >= 56, "Likely Violation").when(F.col("total") >= 26, "Needs Review").otherwise("Clear")
     return scored.withColumn("band", band)
 

@@ -96,9 +96,16 @@ def r14_r17_merged_findings(spark, sf_dir):
 @query(f"""+ {MERGED}, s AS (SELECT sk, CAST(least(90, round_even(sum(CASE severity WHEN 'high' THEN 32 WHEN 'medium' THEN 18 ELSE 9 END * weight_10k) / 10000.0::DOUBLE, 0)) AS INT) AS total, CAST(count_if(weight_10k > 0) AS BIGINT) AS driving FROM g WHERE ord % 40 = 0 GROUP BY sk)
     SELECT *, CASE WHEN total >= 56 THEN 'Likely Violation' WHEN total >= 26 THEN 'Needs Review' ELSE 'Clear' END AS band FROM s""")
 def a16_band(spark, sf_dir):
+    """One finding in forty; ``a16_band_whole`` scores all."""
     return decide.composite(merged_findings(spark, sf_dir).filter("ord % 40 = 0"), ["sk"])
 
 
+@query(f"""+ {MERGED}, s AS (SELECT sk, round_even(sum(CASE severity WHEN 'high' THEN 32 WHEN 'medium' THEN 18 ELSE 9 END * weight_10k) / 10000.0::DOUBLE, 0) AS points, CAST(count_if(weight_10k > 0) AS BIGINT) AS driving FROM g GROUP BY sk)
+    SELECT sk, CAST(least(90, points) AS INT) AS total, driving, CASE WHEN points >= 56 THEN 'Likely Violation' WHEN points >= 26 THEN 'Needs Review' ELSE 'Clear' END AS band, CAST(points AS BIGINT) AS uncapped FROM s""")
+def a16_band_whole(spark, sf_dir):
+    return decide.composite(merged_findings(spark, sf_dir), ["sk"], uncapped=True)
+
+
 @query(f"""+ {MERGED}, q AS (SELECT sk, avg(CASE WHEN value >= 20 THEN 1.0::DOUBLE ELSE 0 END) AS usable, avg(CASE WHEN k % 2 = 0 THEN 1.0::DOUBLE ELSE 0 END) AS informative FROM ev GROUP BY sk)
     SELECT g.sk, g.ord, least(g.ord % 101, CASE WHEN usable < 0.3 THEN 50 WHEN usable < 0.6 THEN 70 ELSE 100 END, CASE WHEN informative < 0.25 THEN 50 WHEN informative < 0.5 THEN 70 ELSE 100 END) AS confidence FROM g JOIN q USING (sk)""")
 def r19_confidence_caps(spark, sf_dir):

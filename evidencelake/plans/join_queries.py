@@ -310,13 +310,23 @@ def a15_informative_ratio(spark, sf_dir):
 @query("""+ s AS (SELECT sk, sum(CASE WHEN value >= 80 THEN 3200 WHEN value >= 50 THEN 1800 ELSE 900 END * CASE kind WHEN 'error' THEN 100 WHEN 'purchase' THEN 60 ELSE 0 END) AS pts FROM ev WHERE k % 7 = 0 GROUP BY sk)
     SELECT sk, CAST(least(900000, pts) AS BIGINT) AS points, CASE WHEN pts >= 560000 THEN 'high' WHEN pts >= 260000 THEN 'review' ELSE 'low' END AS band FROM s""")
 def a16_composite_score(spark, sf_dir):
-    """Severity points times weight in whole ten-thousandths, capped at 90."""
-    rows = events(spark, sf_dir).filter("k % 7 = 0")
+    """One event in seven; ``a16_composite_score_whole`` scores all."""
+    return composite_score(events(spark, sf_dir).filter("k % 7 = 0")).drop("uncapped")
+
+
+@query("""+ s AS (SELECT sk, sum(CASE WHEN value >= 80 THEN 3200 WHEN value >= 50 THEN 1800 ELSE 900 END * CASE kind WHEN 'error' THEN 100 WHEN 'purchase' THEN 60 ELSE 0 END) AS pts FROM ev GROUP BY sk)
+    SELECT sk, CAST(least(900000, pts) AS BIGINT) AS points, CASE WHEN pts >= 560000 THEN 'high' WHEN pts >= 260000 THEN 'review' ELSE 'low' END AS band, CAST(pts AS BIGINT) AS uncapped FROM s""")
+def a16_composite_score_whole(spark, sf_dir):
+    return composite_score(events(spark, sf_dir))
+
+
+def composite_score(rows):
+    """Severity points times weight in whole ten-thousandths, capped at 90, with its band and the sum before the cap."""
     points = F.when(F.col("value") >= 80, 3200).when(F.col("value") >= 50, 1800).otherwise(900)
     weight = F.when(F.col("kind") == "error", 100).when(F.col("kind") == "purchase", 60).otherwise(0)
     total = F.sum(points * weight)
     band = F.when(total >= 560_000, "high").when(total >= 260_000, "review").otherwise("low")
-    return rows.groupBy("sk").agg(F.least(F.lit(900_000), total).cast("bigint").alias("points"), band.alias("band"))
+    return rows.groupBy("sk").agg(F.least(F.lit(900_000), total).cast("bigint").alias("points"), band.alias("band"), total.cast("bigint").alias("uncapped"))
 
 
 @query("""SELECT kind, count(DISTINCT k) AS n_types, array_to_string(list(DISTINCT k % 7 ORDER BY k % 7), ',') AS types FROM ev WHERE k IS NOT NULL GROUP BY kind""")

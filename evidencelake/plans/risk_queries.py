@@ -156,6 +156,12 @@ def d30_all_detectors(spark, sf_dir) -> DataFrame:
     return risk.totals(risk.dedupe(out, CONFIG.bucket))
 
 
+@query()
+def d30_every_detector(spark, sf_dir) -> DataFrame:
+    """All 28 detectors, the greedy one too, deduped and totalled; no SQL says what greedy pairing gives."""
+    return risk.totals(risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket))
+
+
 @query(f"+ {TABLES}, best AS ({D1_BEST}) SELECT factor_id, CASE WHEN score_milli / 12000.0::DOUBLE >= 0.75 THEN 'red' WHEN score_milli / 12000.0::DOUBLE >= 0.5 THEN 'amber' ELSE 'green' END AS lane, count(*) AS n FROM best GROUP BY 1, 2")
 def a13_lanes(spark, sf_dir) -> DataFrame:
     best = risk.dedupe(risk.d1_paste_after_blur(event_tables(spark, sf_dir)), CONFIG.bucket)

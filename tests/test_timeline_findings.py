@@ -84,3 +84,34 @@ def test_unified_score(spark):
     allowed = spark.createDataFrame([("possible_audio_coaching", "speech")], "signal_type string, event_type string")
     got = {r["sk"]: (r["category"], r["confidence"]) for r in decide.unified(signals, found, sessions, allowed).collect()}
     assert got == {"a": ("STRONG_EVIDENCE", 98), "b": ("CLEAR", 90), "c": ("CLEAR", 50)}
+
+
+def test_every_detector_counts(spark):
+    """The totals of all 28 detectors, the greedy pairing by plain loops."""
+    from evidencelake.plans import risk
+    from evidencelake.plans.catalog import QUERIES
+    from evidencelake.plans.risk_queries import CONFIG, event_tables
+
+    sf = "/root/testdata/sf0.001"
+    e = event_tables(spark, sf)
+    inputs = [(r["sk"], r["ord"], r["start_ms"], r["q"]) for df in (e.answer, e.paste) for r in df.select("sk", "ord", "start_ms", "q").collect()]
+    used, rows = set(), []
+    for g in sorted(e.gaze.collect(), key=lambda g: (g["start_ms"], g["ord"], g["end_ms"])):
+        near = [x for x in inputs if x[0] == g["sk"] and x not in used and 0 <= x[2] - g["end_ms"] <= e.config.gaze_to_input]
+        if near:
+            best = min(near, key=lambda x: (x[2] - g["end_ms"], x[2], x[1]))
+            used.add(best)
+            rows.append((g["sk"], g["start_ms"], best[2], best[3]))
+    greedy = risk.d4_gaze_off_then_input(e).collect()
+    assert sorted(map(repr, rows)) == sorted(repr((r["sk"], r["t0_ms"], r["t1_ms"], r["q"])) for r in greedy) and rows
+    contributions = [tuple(r[c] for c in ("sk", "factor_id", "q", "t0_ms", "score_milli")) for f in risk.DETECTORS.values() for r in f(e).collect()]
+    best = {}
+    for sk, factor, q, t0, score in contributions:
+        key = (sk, factor, q, t0 // CONFIG.bucket)
+        best[key] = max(best.get(key, 0), score)
+    want = {}
+    for (sk, factor, _, _), score in best.items():
+        total, n, factors = want.get(sk, (0, 0, frozenset()))
+        want[sk] = (total + score, n + 1, factors | {factor})
+    got = {r["sk"]: (r["total_milli"], r["n_contributions"], r["n_factors"]) for r in QUERIES["d30_every_detector"](spark, sf).collect()}
+    assert got == {sk: (min(100_000, total), n, len(factors)) for sk, (total, n, factors) in want.items()}

@@ -5,7 +5,7 @@ Chunk URLs are built from events, text edits are the turns of a conversation, ci
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.functions import text, urls
@@ -103,20 +103,56 @@ NORMAL = "regexp_replace(lower(trim({c}, ' ')), '\\s+', ' ', 'g')"
 @query(f"""+ b AS (SELECT item_id, {NORMAL.format(c='text')} AS e FROM benchmark), d AS (SELECT doc_id, {NORMAL.format(c='text')} AS s FROM documents)
     SELECT item_id, doc_id FROM b, d WHERE length(e) >= 20 AND length(s) >= 20 AND (contains(s, e) OR (length(e) >= 40 AND length(substr(e, 6, length(e) - 10)) >= 20 AND contains(s, substr(e, 6, length(e) - 10))))""")
 def x20_excerpt_containment(spark, sf_dir):
-    """Excerpts in documents.  Each excerpt's first whole word window is its key, so texts meet by equality, not pairwise."""
-    words = lambda c: F.split(c, " ")
-    take = lambda w, at: F.array_join(F.slice(w, at, 4), " ")
-    items = table(spark, sf_dir, "benchmark").select("item_id", text.normalised(F.col("text")).alias("e")).filter(F.char_length("e") >= 20)
-    # words 3 to 6 lie inside the middle of every excerpt long enough to have one
-    long_items = items.filter(F.size(words("e")) >= 12).withColumn("key", take(words("e"), 5))
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.normalised(F.col("text")).alias("s")).filter(F.char_length("s") >= 20)
-    grams = docs.withColumn("w", words("s")).filter(F.size("w") >= 4)
-    grams = grams.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice("w", i, 4), " ")))).alias("key"))
-    found = grams.join(F.broadcast(long_items.select("item_id", "key", "e")), "key").select("item_id", "doc_id", "e").distinct()
+    items = table(spark, sf_dir, "benchmark").select("item_id", text.normalised(F.col("text")).alias("e"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.normalised(F.col("text")).alias("s"))
+    return excerpts_in(items, docs)
+
+
+def excerpts_in(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item_id, doc_id) of excerpts ``e`` in texts ``s``, both normalised.
+
+    A text that holds an excerpt holds the excerpt's middle (below 40 characters the whole of it), of 20 characters at
+    least.  Every text is keyed by the least hash of the 11 grams of 10 characters in each of its windows of 20, and an excerpt by that of
+    its middle's first window, so texts meet by equality, not pairwise, and none is missed.
+    """
+    items, docs = items.filter(F.char_length("e") >= 20), docs.filter(F.char_length("s") >= 20)
+    middle = F.when(F.char_length("e") >= 40, F.substring("e", 6, 20)).otherwise(F.substring("e", 1, 20))
+    excerpts = keyed(items.select("item_id", middle.alias("t")), "item_id").join(items, "item_id").select("item_id", "key", "e")
+    found = keyed(docs.select("doc_id", F.col("s").alias("t")), "doc_id").join(excerpts, "key").select("item_id", "doc_id", "e").distinct()
     hits = found.join(docs, "doc_id").filter(text.excerpt_in(F.col("e"), F.col("s")))
     return hits.select("item_id", "doc_id")
 
 
+def keyed(rows: DataFrame, ident: str) -> DataFrame:
+    """(ident, key): the distinct least hashes of each text's windows of 20 characters; ``rows`` has ident and t."""
+
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            at, keys = [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                c = np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.uint64)
+                h = np.zeros(len(c) - 9, np.uint64)
+                for j in range(10):
+                    h = h * np.uint64(0x9E3779B97F4A7C15) + c[j : j + len(h)]
+                h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+                h ^= h >> np.uint64(32)
+                two = np.minimum(h[:-1], h[1:])
+                four = np.minimum(two[:-2], two[2:])
+                eight = np.minimum(four[:-4], four[4:])
+                least = np.unique(np.minimum(eight[:-3], eight[3:]))
+                at.append(np.full(len(least), i))
+                keys.append(least.view(np.int64))
+            if at:
+                names = batch.column(0).take(pa.array(np.concatenate(at)))
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate(keys))], names=["ident", "key"])
+
+    kind = rows.schema[ident].dataType.simpleString()
+    return rows.select(ident, "t").mapInArrow(task, f"ident {kind}, key bigint").withColumnRenamed("ident", ident)
+
+
 @query("""SELECT ord, CASE WHEN k BETWEEN 1 AND 499 THEN CAST(k AS INT) END AS question FROM ev WHERE k IS NOT NULL""")
 def x23_question_number(spark, sf_dir):
     label = F.when(F.col("k") % 2 == 0, F.concat(F.lit("Question "), F.col("k").cast("string"))).otherwise(F.concat(F.lit("see q#"), F.col("k").cast("string"), F.lit(" now")))

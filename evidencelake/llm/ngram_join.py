@@ -1,15 +1,17 @@
 """N-gram Jaccard join by MinHash banding, verified on full n-gram sets.
 
 Texts become sets of hashed n-grams of words (five by default).  The numbers of bands and rows are chosen for a target
-recall at the threshold.  Equal texts are one node; nodes that share a band hash are candidates.  Instead of emitting
-the pairs of a bucket, every member is joined to the bucket's smallest id, and connected components of these edges are
-the groups inside which all links must lie.  Each group then meets in tasks of at most two blocks of ``BLOCK`` nodes, where
-all n-gram sets are intersected exactly as one sparse matrix product; a group with more blocks is spread over all
-pairs of its blocks.  Tasks emit per node its number of links and one edge to the least node it is linked with, not
-pairs, so the result is linear in the nodes while no link is lost.
+recall at the threshold.  Equal texts, known by two 64-bit hashes, are one node, whatever their ids.  Nodes that share a band
+hash meet in its bucket, where pairs whose sizes or whose minimum hashes rule out the threshold are passed over; each node sends one edge to the least
+node it may be linked with, and connected components of these edges are the groups inside which all links must lie.
+(A bucket of more than ``BUCKET`` nodes counts as one group unseen.)  Each group then meets in tasks of at most two blocks of about ``BLOCK`` nodes,
+cut by the sets' sizes, where all n-gram sets are intersected exactly as one sparse matrix product.  Tasks emit per node
+its number of links and one edge to the least node it is linked with, not pairs, so the result is linear in the nodes
+while no link is lost.
 
 Defined results: a null text counts as empty; a text without words has no n-grams and no links, even to its like; a text
-with fewer words than n is one n-gram; documents with equal texts are linked; rows that share an id, null included, share a class; an empty table gives an empty result; only the named columns are read.
+with fewer words than n is one n-gram; documents with equal texts are linked; an id may be null or repeated, each row is a
+document by itself; the id of a class or text is the least of its ids, null if all are null; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -20,16 +22,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencelake.llm.common import stash
+from evidencelake.llm.common import free_name, stash
 from evidencelake.llm.graph import components
 from evidencelake.llm.groups import runs_of
 
 N, THRESHOLD, RECALL, MAX_HASHES, SEED = 5, 0.8, 0.9995, 128, 5
 #: Nodes in a block; a task of the verification holds the sets of two blocks at most.
 BLOCK = 256
+#: Nodes in a bucket whose minimum hashes are compared; a larger bucket is one group as it is.
+BUCKET = 1024
 NO_ID = -(1 << 63)
 
 
@@ -87,13 +91,15 @@ class Bands:
         self.mult = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
         self.add = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
 
-    def of(self, grams: np.ndarray) -> list[int]:
-        if not len(grams):
-            return []
+    def least(self, grams: np.ndarray) -> np.ndarray:
+        """The least value of each hash function."""
         least = np.full(len(self.mult), np.iinfo(np.uint64).max, dtype=np.uint64)
         for at in range(0, len(grams), 4096):
             part = grams[at : at + 4096, None] * self.mult + self.add
             least = np.minimum(least, (part ^ (part >> np.uint64(33))).min(axis=0))
+        return least
+
+    def of(self, least: np.ndarray) -> list[int]:
         rows = least.reshape(self.bands, self.rows)
         out = np.arange(self.bands, dtype=np.uint64)
         for k in range(self.rows):
@@ -102,29 +108,89 @@ class Bands:
 
 
 def signatures(docs: DataFrame, text: str, ident: str, n: int, bands: int, rows: int) -> DataFrame:
-    """id, two hashes of the text and its band hashes, for every row."""
+    """id, two hashes of the text, number of n-grams, band hashes and the low 16 bits of all hashes, for every row."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, banded = WordHashes(), Bands(bands, rows)
         for batch in batches:
-            found = [banded.of(np.unique(ngrams(hashes.of(v.as_py()), n))) for v in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, type=pa.list_(pa.int64()))], names=["id", "t1", "t2", "bands"])
+            sizes, found, low = [], [], []
+            for v in batch.column(3):
+                grams = np.unique(ngrams(hashes.of(v.as_py()), n))
+                least = banded.least(grams)
+                sizes.append(len(grams))
+                found.append(banded.of(least) if len(grams) else [])
+                low.append(least.astype(np.uint16).tobytes() if len(grams) else b"")
+            arrays = [pa.array(sizes, type=pa.int32()), pa.array(found, type=pa.list_(pa.int64())), pa.array(low, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names=["id", "t1", "t2", "size", "bands", "low"])
+
+    return keyed(docs, text, ident).mapInArrow(task, "id bigint, t1 bigint, t2 bigint, size int, bands array<bigint>, low binary")
 
-    return keyed(docs, text, ident).mapInArrow(task, "id bigint, t1 bigint, t2 bigint, bands array<bigint>")
+
+def text_keys(text: str) -> list[Column]:
+    """The two hashes by which texts are told apart."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2")]
 
 
 def keyed(docs: DataFrame, text: str, ident: str) -> DataFrame:
-    t = F.coalesce(text, F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2"), t.cast("binary").alias("t")
-    )
+    return docs.select(F.col(ident).cast("long").alias("id"), *text_keys(text), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
+
+
+def least_agreement(hashes: int, threshold: float, risk: float = 1e-6) -> int:
+    """The number of equal hashes that two sets with this similarity miss with no more than the chance ``risk``."""
+    below, k = 0.0, 0
+    while (below := below + math.comb(hashes, k) * threshold**k * (1 - threshold) ** (hashes - k)) <= risk:
+        k += 1
+    return k
+
+
+def close_edges(rows: DataFrame, threshold: float, hashes: int) -> DataFrame:
+    """(a, b) from each node of a bucket to the least node it may be linked with; ``rows`` has band, node, size, low.
 
+    Nodes of a bucket may be linked if their sizes and their hashes allow it.  That keeps texts which only share a band by
+    chance, or a template, from growing into one group.
+    """
+    least = least_agreement(hashes, threshold)
 
-def groups(nodes: DataFrame) -> DataFrame:
-    """(node, root) of the candidate groups with two nodes or more."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs_of(batches, 1):
+            node, size = run.column(1).to_numpy(), run.column(2).to_numpy()
+            low = np.frombuffer(b"".join(run.column(3).to_pylist()), np.uint16).reshape(len(node), -1)
+            linked = np.zeros((len(node), len(node)), bool)
+            for i in range(0, len(node), 64):
+                part = slice(i, i + 64)
+                linked[part] = (low[part, None, :] == low[None, :, :]).sum(axis=2) >= least
+                linked[part] &= np.minimum(size[part, None], size[None, :]) >= threshold * np.maximum(size[part, None], size[None, :]) - 1e-6
+            label = least_labels(linked, node)
+            moved = label != node
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(label[moved])], names=["a", "b"])
+
+    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(task, "a bigint, b bigint")
+
+
+def least_labels(linked: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The least node that each node reaches over links."""
+    order = np.argsort(node)
+    linked = linked[order][:, order]
+    label = np.arange(len(node))
+    while True:
+        new = np.minimum(label, np.where(linked, label[None, :], len(node)).min(axis=1, initial=len(node)))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    out = np.empty_like(node)
+    out[order] = node[order][label]
+    return out
+
+
+def groups(nodes: DataFrame, threshold: float, hashes: int) -> DataFrame:
+    """(node, root) of the candidate groups with two nodes or more; ``nodes`` has node, size, bands, low."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = rows.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub != top").select("band", "hub")
-    edges = rows.join(hubs, "band").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hubs = rows.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("n")).filter("hub != top")
+    shared = stash(rows.join(hubs.select("band", "hub", "n"), "band"), "shared-bands")
+    small = shared.filter(F.col("n") <= BUCKET).select("node", "band").join(nodes.select("node", "size", "low"), "node").select("band", "node", "size", "low")
+    edges = close_edges(small, threshold, hashes).unionByName(shared.filter(F.col("n") > BUCKET).select(F.col("node").alias("a"), F.col("hub").alias("b")))
     found = components(edges, "candidate-groups")
     return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
 
@@ -143,14 +209,7 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
                 linked &= block[:, None] != block[None, :]
             else:
                 np.fill_diagonal(linked, False)
-            label = np.arange(len(node))
-            while True:  # least label over links, until nothing moves
-                new = np.minimum(label, np.where(linked, label[None, :], len(node)).min(axis=1, initial=len(node)))
-                new = new[new]
-                if (new == label).all():
-                    break
-                label = new
-            arrays = [pa.array(node), pa.array(linked.astype(np.int64) @ copies), pa.array(node[label])]
+            arrays = [pa.array(node), pa.array(linked.astype(np.int64) @ copies), pa.array(least_labels(linked, node))]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "links", "root"])
 
     spread = sets.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
@@ -178,49 +237,103 @@ def links_of(grams: list[np.ndarray], threshold: float) -> np.ndarray:
     return (common >= threshold * union - 1e-6) & (common > 0)
 
 
-def near_duplicates(
+def block_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """``members`` (node, grp, size, ...) once for each pair of blocks they have to meet in: plus lo, hi and blk.
+
+    A group of more than ``BLOCK`` nodes is cut by size class, each class into blocks of about ``BLOCK`` nodes.  Sizes of
+    linked texts differ by less than one step between classes, so a block meets its own class and the two beside it.
+    """
+    total = members.groupBy("grp").agg(F.count("*").alias("total"))
+    step = F.floor(F.log(F.col("size")) / F.lit(-math.log(threshold))).cast("int") if threshold < 1 else F.col("size")
+    rows = members.join(total, "grp").withColumn("cls", F.when(F.col("total") > BLOCK, step).otherwise(F.lit(0)))
+    cells = rows.groupBy("grp", "cls").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    beside = cells.select("grp", "blocks", F.col("cls").alias("other"), F.explode(F.sequence(F.col("cls") - 1, F.col("cls") + 1)).alias("cls"))
+    own = cells.withColumnRenamed("blocks", "own_blocks").join(beside, ["grp", "cls"]).select("grp", "cls", "own_blocks", "other", "blocks")
+    met = rows.join(own.groupBy("grp", "cls", "own_blocks").agg(F.collect_list(F.struct("other", "blocks")).alias("near")), ["grp", "cls"])
+    code = lambda cls, blk: (F.shiftleft(cls.cast("long"), 32) + blk).cast("long")
+    blk = F.pmod(F.xxhash64("node"), F.col("own_blocks").cast("long"))
+    others = F.flatten(F.transform("near", lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda b: code(c["other"], b))))
+    spread = met.withColumn("blk", code(F.col("cls"), blk)).withColumn("with", F.explode(others))
+    return spread.withColumn("lo", F.least("blk", "with")).withColumn("hi", F.greatest("blk", "with")).drop("total", "cls", "own_blocks", "near", "with")
+
+
+def classified(
     docs: DataFrame, text: str = "text", ident: str = "doc_id", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL
 ) -> DataFrame:
-    """Per row: ident, class_id (least id of its class), rep_id (least id with this text) and n_links (other documents linked to it)."""
+    """Per row: id, t1, t2 (its text's hashes), class_id, rep_id, n_links and first.
+
+    ``first`` marks the one text and id of each class that comes first: by id, null last, then by the text's hashes.  Rows
+    that are equal in both are all marked.
+    """
     bands, rows = choose_bands(threshold, recall, MAX_HASHES)
     signed = stash(signatures(docs, text, ident, n, bands, rows), "signatures")
-    nodes = stash(
-        signed.filter(F.size("bands") > 0).groupBy("t1", "t2").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands")),
-        "distinct-texts",
+    nodes = signed.filter("size > 0").groupBy("t1", "t2").agg(
+        F.min("id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low")
     )
-    grouped = groups(nodes.select("node", "bands"))
-    sized = grouped.groupBy("root").count().select(F.col("root").alias("grp"), F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    members = grouped.join(sized, F.col("root") == F.col("grp")).select("node", "grp", "blocks")
-    members = members.join(nodes.select("node", "copies", "t1", "t2"), "node")
+    nodes = stash(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
+    grouped = groups(nodes, threshold, bands * rows)
+    members = grouped.withColumnRenamed("root", "grp").join(nodes.select("node", "copies", "size", "least", "t1", "t2"), "node")
+    members = stash(members, "members")
 
     def set_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, done = WordHashes(), set()
         for batch in batches:
-            found = [np.unique(ngrams(hashes.of(v.as_py()), n)).tobytes() for v in batch.column(4)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, type=pa.binary())], names=["node", "grp", "blocks", "copies", "grams"])
-
-    texts = keyed(docs, text, ident)
-    chosen = texts.join(
-        members.withColumnsRenamed({"t1": "m1", "t2": "m2"}), (texts["id"] == F.col("node")) & (texts["t1"] == F.col("m1")) & (texts["t2"] == F.col("m2"))
-    )
-    sets = chosen.select("node", "grp", "blocks", "copies", "t").mapInArrow(set_task, "node bigint, grp bigint, blocks int, copies bigint, grams binary")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    pairs = sets.withColumn("blk", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("grp", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "node", "blk", "copies", "grams")
-    found = stash(verified(pairs, threshold), "verified-links")
+            keep, found = [], []
+            for i, (node, v) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                if node not in done:  # rows that are equal in id and text
+                    if len(done) > 10_000:
+                        done.clear()
+                    done.add(node)
+                    keep.append(i)
+                    found.append(np.unique(ngrams(hashes.of(v.as_py()), n)).tobytes())
+            arrays = [batch.column(0).take(pa.array(keep, type=pa.int64())), pa.array(found, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "grams"])
+
+    # of the rows with a text, the one with the least id is looked up
+    texts = keyed(docs, text, ident).withColumnsRenamed({"t1": "d1", "t2": "d2", "id": "d"})
+    chosen = texts.join(members, (F.col("d1") == F.col("t1")) & (F.col("d2") == F.col("t2"))).filter(F.col("d").eqNullSafe(F.col("least")))
+    sets = chosen.select("node", "t").mapInArrow(set_task, "node bigint, grams binary")
+    pairs = block_pairs(members.select("node", "grp", "size", "copies"), threshold).join(sets, "node")
+    found = stash(verified(pairs.select("grp", "lo", "hi", "node", "blk", "copies", "grams"), threshold), "verified-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "classes")
-    per_node = (
-        nodes.select("t1", "t2", "node", "copies")
-        .join(links, "node", "left")
-        .join(classes, "node", "left")
-        .select("t1", "t2", "node", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    )
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    out = signed.select("id", "t1", "t2").join(per_node, ["t1", "t2"], "left")
+    linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "classes")
+    classes = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct()).join(nodes.select("node", "least", "t1", "t2"), "node")
+    order = F.struct(F.isnull("least").alias("no_id"), "least", "t1", "t2")
+    heads = classes.groupBy("root").agg(F.min(order).alias("head"))
+    of_node = classes.select("node", "root").join(stash(heads, "class-heads"), "root").select("node", "head")
+    per_text = nodes.join(links, "node", "left").join(of_node, "node", "left").filter("copies > 1 or head is not null")
+    head = F.coalesce("head", order)
+    per_text = per_text.select(
+        F.col("t1").alias("n1"), F.col("t2").alias("n2"), F.col("least").alias("rep_id"), head["least"].alias("class_id"),
+        ((head["t1"] == F.col("t1")) & (head["t2"] == F.col("t2"))).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
+    out = signed.select("id", "t1", "t2").join(stash(per_text, "classes-of-texts"), (F.col("t1") == F.col("n1")) & (F.col("t2") == F.col("n2")), "left")
+    alone = F.col("n1").isNull()
     return out.select(
-        real("id").alias(ident),
-        F.coalesce(real("class"), real("id")).alias("class_id"),
-        F.coalesce(real("node"), real("id")).alias("rep_id"),
+        "id", "t1", "t2",
+        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("rep_id")).alias("rep_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+        (alone | (F.col("leads") & F.col("id").eqNullSafe(F.col("rep_id")))).alias("first"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", ident: str = "doc_id", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL
+) -> DataFrame:
+    """Per row: ident, class_id (least id of its class), rep_id (least id with this text) and n_links (other documents linked to it)."""
+    return classified(docs, text, ident, n, threshold, recall).select(F.col("id").alias(ident), "class_id", "rep_id", "n_links")
+
+
+def keep_first(docs: DataFrame, classes: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """One row of each class in ``classes`` (a result of ``classified`` for ``docs``), in the columns of ``docs``.
+
+    Of rows that are equal in id and text one stays.
+    """
+    firsts = classes.filter("first").groupBy("id", "t1", "t2").agg(F.count("*").alias("times"))
+    firsts = firsts.select(F.coalesce("id", F.lit(NO_ID)).alias("key"), "t1", "t2", "times")
+    key, t1, t2, times = (free_name(docs, c) for c in ("key", "t1", "t2", "times"))
+    rows = docs.withColumns({key: F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)), **dict(zip((t1, t2), text_keys(text), strict=True))})
+    joined = rows.join(firsts.toDF(key, t1, t2, times), [key, t1, t2])
+    once = joined.filter(F.col(times) == 1)
+    return once.unionByName(joined.filter(F.col(times) > 1).dropDuplicates([key, t1, t2])).select(docs.columns)

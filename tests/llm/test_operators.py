@@ -319,18 +319,32 @@ def test_substring(spark, odd):
 
 
 def test_chains_against_quadratic():
+    """The first chain is the best one, and every chain's score is that of its matches."""
     rng = np.random.default_rng(9)
-    for _ in range(30):
-        m = int(rng.integers(2, 40))
-        p, q = rng.integers(0, 200, m), rng.integers(0, 200, m)
-        pairs = sorted(set(zip(p.tolist(), q.tolist())))
+    k, cost = substring.K, substring.GAP_COST
+
+    def gain(a, b, x, y):
+        step = min(k, a - x, b - y)
+        return step - cost * (a - x + b - y - 2 * step)
+
+    compared = 0
+    for _ in range(400):
+        m, wide = int(rng.integers(2, 60)), int(rng.choice([15, 40, 200]))
+        pairs = sorted(set(zip(rng.integers(0, wide, m).tolist(), rng.integers(0, wide, m).tolist(), strict=True)))
         best = []
         for a, b in pairs:
-            prior = [s + min(substring.K, a - x, b - y) - substring.GAP_COST * (a - x + b - y - 2 * min(substring.K, a - x, b - y)) - 0 for (x, y), s in zip(pairs, best) if x < a and y < b]
-            best.append(max([float(substring.K), *prior]))
+            best.append(max([float(k), *(s + gain(a, b, x, y) for (x, y), s in zip(pairs, best) if x < a and y < b)]))  # noqa: B905
         found = substring.chains(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs]))
         for _, path in found:
-            assert all(pairs[i][0] < pairs[j][0] and pairs[i][1] < pairs[j][1] for i, j in zip(path, path[1:]))
+            assert all(pairs[i][0] < pairs[j][0] and pairs[i][1] < pairs[j][1] for i, j in itertools.pairwise(path))
+        if max(best) >= substring.MIN_SCORE:
+            compared += 1
+            assert abs(found[0][0] - max(best)) < 1e-9
+            own = k + sum(gain(*pairs[j], *pairs[i]) for i, j in itertools.pairwise(found[0][1]))
+            assert abs(own - found[0][0]) < 1e-9
+        else:
+            assert not found
+    assert compared > 100
 
 
 def test_edit_distance():

@@ -198,15 +198,6 @@ def test_secrets(spark, docs, texts, odd):
     assert secret_scan.secret_report(odd).count() == odd.count() and secret_scan.secret_report(odd.filter("false")).count() == 0
 
 
-def test_randomness_battery():
-    assert abs(secret_scan.chi2_tail(3.84, 1) - 0.05) < 1e-3 and abs(secret_scan.chi2_tail(24.996, 15) - 0.05) < 1e-3 and abs(secret_scan.chi2_tail(5.991, 2) - 0.05) < 1e-3
-    rng = np.random.default_rng(1)
-    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
-    kept = [secret_scan.randomness("".join(rng.choice(alphabet, 40)), "base64") > 0.01 for _ in range(300)]
-    assert np.mean(kept) > 0.95
-    assert secret_scan.randomness("thisisanordinarylongwordthatgoeson1", "base64") < 1e-3
-
-
 def test_toxicity_learns(spark, docs):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     many = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

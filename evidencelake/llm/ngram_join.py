@@ -243,13 +243,14 @@ def block_pairs(members: DataFrame, threshold: float) -> DataFrame:
     A group of more than ``BLOCK`` nodes is cut by size class, each class into blocks of about ``BLOCK`` nodes.  Sizes of
     linked texts differ by less than one step between classes, so a block meets its own class and the two beside it.
     """
-    total = members.groupBy("grp").agg(F.count("*").alias("total"))
+    # what is joined to the members is written first: small tables are broadcast by their size, and a hot group's members are split otherwise
+    total = stash(members.groupBy("grp").agg(F.count("*").alias("total")), "group-sizes")
     step = F.floor(F.log(F.col("size")) / F.lit(-math.log(threshold))).cast("int") if threshold < 1 else F.col("size")
     rows = members.join(total, "grp").withColumn("cls", F.when(F.col("total") > BLOCK, step).otherwise(F.lit(0)))
     cells = rows.groupBy("grp", "cls").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     beside = cells.select("grp", "blocks", F.col("cls").alias("other"), F.explode(F.sequence(F.col("cls") - 1, F.col("cls") + 1)).alias("cls"))
-    own = cells.withColumnRenamed("blocks", "own_blocks").join(beside, ["grp", "cls"]).select("grp", "cls", "own_blocks", "other", "blocks")
-    met = rows.join(own.groupBy("grp", "cls", "own_blocks").agg(F.collect_list(F.struct("other", "blocks")).alias("near")), ["grp", "cls"])
+    own = cells.withColumnRenamed("blocks", "own_blocks").join(beside, ["grp", "cls"]).groupBy("grp", "cls", "own_blocks")
+    met = rows.join(stash(own.agg(F.collect_list(F.struct("other", "blocks")).alias("near")), "group-blocks"), ["grp", "cls"])
     code = lambda cls, blk: (F.shiftleft(cls.cast("long"), 32) + blk).cast("long")
     blk = F.pmod(F.xxhash64("node"), F.col("own_blocks").cast("long"))
     others = F.flatten(F.transform("near", lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda b: code(c["other"], b))))
@@ -291,7 +292,7 @@ def classified(
 
     # of the rows with a text, the one with the least id is looked up
     texts = keyed(docs, text, ident).withColumnsRenamed({"t1": "d1", "t2": "d2", "id": "d"})
-    chosen = texts.join(members, (F.col("d1") == F.col("t1")) & (F.col("d2") == F.col("t2"))).filter(F.col("d").eqNullSafe(F.col("least")))
+    chosen = texts.hint("merge").join(members, (F.col("d1") == F.col("t1")) & (F.col("d2") == F.col("t2"))).filter(F.col("d").eqNullSafe(F.col("least")))
     sets = chosen.select("node", "t").mapInArrow(set_task, "node bigint, grams binary")
     pairs = block_pairs(members.select("node", "grp", "size", "copies"), threshold).join(sets, "node")
     found = stash(verified(pairs.select("grp", "lo", "hi", "node", "blk", "copies", "grams"), threshold), "verified-links")

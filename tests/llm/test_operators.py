@@ -62,9 +62,28 @@ def test_fingerprints(spark, docs, texts, odd):
 
 def test_mixed_buckets_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "wide_hash", lambda canon: F.array(*[F.xxhash64(F.lit(s), F.length(canon)) for s in (1, 2, 3, 4)]))
-    df = spark.createDataFrame([(1, "abc"), (2, "abd"), (3, "abc"), (4, "abcd")], "doc_id int, text string")
-    marks = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(df).collect()}
+    df = spark.createDataFrame([(1, "abc"), (2, "abd"), (3, "abc"), (4, "abcd")], "doc_id int, text string").selectExpr("*", "1 as mixed_wide", "2 as near0", "3 as both", "4 as mark0")
+    got = fingerprints.fingerprint(df)
+    assert got.columns == [*df.columns, "fingerprint"]
+    marks = {r["doc_id"]: r["fingerprint"] for r in got.collect()}
     assert marks[1] == marks[3] and len(set(marks.values())) == 3
+    # the edited text of 1 is the text of 2, and that of 5 is its own
+    rows = [(1, "xxxa"), (2, "bxxx"), (3, "xxxb"), (4, "cccc"), (5, "cccc"), (6, "c c"), (6, "c c"), (None, "q"), (None, "q")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = fingerprints.edited_fingerprints(df).collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    want = []
+    for i, (k, t) in enumerate(ordered):
+        nxt, n = ordered[(i + 1) % len(ordered)][1], len(t) // 4
+        want.append((k, hashlib.sha256((t[: len(t) - n] + nxt[:n]).encode()).hexdigest(), float(t[: len(t) - n] + nxt[:n] == t), float(t == nxt)))
+    assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], r["edited_sha256"], r["near_edited"], r["near_next"])) for r in got)
+    texts_of, edited = {}, {}
+    for r in got:
+        edited[r["edited_sha256"]] = r["edited_fingerprint"]
+        texts_of[hashlib.sha256(next(t for k, t in rows if k == r["doc_id"]).encode()).hexdigest()] = r["fingerprint"]
+    for sha, mark in edited.items():
+        for other, of in texts_of.items():
+            assert (mark == of) == (sha == other)
 
 
 def test_sharding(spark, docs, texts, odd):

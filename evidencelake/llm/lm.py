@@ -1,32 +1,37 @@
-"""Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
+"""Language-model scoring with a log-bilinear neural model trained by noise-contrastive estimation.
 
-Tokens fall into classes: each of the ``SHORTLIST`` most frequent tokens (the end of a text among them) is its own class, other tokens share
-``SUFFIXES`` classes by a hash of their last two bytes.  The probability of a token is that of its class given the
-two classes before it, times the token's smoothed share of its class:
+Every token with at least ``LEAST_COUNT`` occurrences in training (the most frequent ``SHORTLIST`` of them at most, the end of a text always) is a unit with vectors of
+its own; all other tokens share ``SUFFIXES`` units by a hash of their last two bytes.  The context of a token is the
+``CONTEXT`` units before it.  Their vectors, each weighted by its position, are summed into one prediction vector q:
 
-    P(token | history) = P(class | history) * (count + 0.5) / (class count + 0.5 * (class types + 1))
+    q = sum over i of position[i] * context_vector[unit i before]
+    P(unit | context) = softmax over groups (q . group + bias)  *  softmax over the group's members (q . member + bias)
+    P(token | context) = P(unit | context) * (count + 0.5) / (unit's count + 0.5 * (unit's types + 1))
 
-For each of the two distances a log-bilinear model gives normalised class probabilities: its score is the product of a
-context vector, a matrix and a class vector plus a bias, all trained in numpy by noise-contrastive estimation with the
-classes' own frequencies as noise.  The corpus enters through counts of class pairs over every training text, so the
-expected objective is optimised exactly by batched matrix products, and normalised log-probabilities of all classes in
-all contexts are one more product.  The two distances are mixed with
-fixed weights.
+(the last factor only for units that tokens share).  About the square root of the number of units is the number of groups,
+so normalised log-probabilities of a block of tokens are two short batched matrix products.
 
-Counting, scoring and the look-up of rare tokens are Spark jobs: the ``HEAD`` most frequent tokens travel to the tasks,
+Training is noise-contrastive estimation in numpy: at either level the token's group (member) is told apart from
+``NOISE`` samples of its unigram distribution.  The driver starts the model on a bounded sample (about ``START_TOKENS`` tokens); then every task goes on
+with all training tokens it reads, and the tasks' parameters are averaged by their numbers of tokens, in pieces that Spark shuffles.
+What is gathered grows with the input: counts of all tokens, units, and steps of training over every token.
+
+Counting, training, scoring and the look-up of rare tokens are Spark jobs: the ``HEAD`` most frequent tokens travel to the tasks,
 all other tokens meet their counts in a join on their hash.  What is collected is bounded by these parameters.
 
 Defined results: a null text counts as empty; an empty text is its end token alone; unseen tokens have count 0; with no
-training rows every count is 0 and the class model is uniform; rows with a null id train the model and are not held out;
+training rows every count is 0 and the model is near uniform; rows with a null id train the model and are not held out;
 repeated rows count again; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +42,18 @@ from pyspark.sql import functions as F
 
 from evidencelake.llm.common import stash
 
-SHORTLIST, SUFFIXES, HEAD = 512, 128, 1 << 18
-CLASSES = SHORTLIST + SUFFIXES
-START = CLASSES  # the context before a text
+SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 13, 50, 256, 1 << 18
 END = b""  # no word is empty, so this stands for the end of a text
-DIM, NOISE, STEPS, RATE, SEED = 32, 10, 150, 0.05, 11
+CONTEXT, DIM, NOISE, SHARED, SEED = 6, 16, 10, 16, 11
+#: Tokens of a training step, and tokens scored at a time.
+STEP = 1 << 14
+RATE, START_TOKENS, EPOCHS = 0.1, 400_000, 3
+#: Pieces in which parameters are averaged.
+PIECES = 64
 #: Distinct tokens that a counting task holds before it sends them on.
 COUNTER_LIMIT = 300_000
+#: Counts are binned by sixteenths of a power of two to find how many tokens the head has room for.
+FINE = 16
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -51,8 +61,8 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def suffix_class(word: bytes) -> int:
-    return SHORTLIST + zlib.crc32(word[-2:]) % SUFFIXES
+def suffix_of(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % SUFFIXES
 
 
 def token_hash(word: bytes) -> int:
@@ -62,40 +72,198 @@ def token_hash(word: bytes) -> int:
 
 @dataclass
 class Vocabulary:
-    """What every scoring task needs: the head of the vocabulary and the class totals."""
+    """What every scoring task needs: the head of the vocabulary and the units' totals."""
 
     numbers: dict[bytes, int]  # head token -> number
     counts: np.ndarray  # by number
-    classes: np.ndarray  # by number
+    units: np.ndarray  # by number
+    own: int  # units 0 .. own - 1 are single tokens, the rest suffixes
     train_tokens: int
     types: int
-    class_counts: np.ndarray
-    class_types: np.ndarray
+    unit_counts: np.ndarray
+    unit_types: np.ndarray
 
     @property
     def base_norm(self) -> float:
         return np.log10(self.train_tokens + 0.5 * (self.types + 1))
 
     @property
-    def class_norm(self) -> np.ndarray:
-        return np.log10(self.class_counts + 0.5 * (self.class_types + 1))
-
-
-@dataclass
-class ClassModel:
-    near: np.ndarray  # probabilities, (CLASSES + 1) x CLASSES: class given the class before
-    far: np.ndarray  # class given the class two before
-    mix: float = 0.6
+    def unit_norm(self) -> np.ndarray:
+        return np.log10(self.unit_counts + 0.5 * (self.unit_types + 1))
 
-    def log10(self, classes: np.ndarray) -> np.ndarray:
-        one, two = histories(classes)
-        return np.log10(self.mix * self.near[one, classes] + (1 - self.mix) * self.far[two, classes])
 
+class Model:
+    """Parameters of the log-bilinear model; unit u is member u // groups of group u % groups."""
+
+    def __init__(self, unit_counts: np.ndarray):
+        self.units = len(unit_counts)
+        self.groups = max(1, round(self.units**0.5))
+        self.members = -(-self.units // self.groups)
+        held = np.zeros(self.groups * self.members)
+        held[: self.units] = unit_counts + 0.5
+        mass = held.reshape(self.members, self.groups).T
+        self.real = (np.arange(self.groups * self.members) < self.units).reshape(self.members, self.groups).T
+        self.group_share = mass.sum(axis=1) / mass.sum()
+        self.member_share = mass / mass.sum(axis=1, keepdims=True)
+        rng = np.random.default_rng(SEED)
+        small = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
+        self.context = small(self.units + 1, DIM)  # the last: before a text
+        self.position = np.ones((CONTEXT, DIM), np.float32) / CONTEXT
+        self.group, self.member = small(self.groups, DIM), small(self.groups, self.members, DIM)
+        self.group_bias = np.log(self.group_share).astype(np.float32)
+        self.member_bias = np.log(np.maximum(self.member_share, 1e-30)).astype(np.float32)
 
-def histories(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each place the class before and the class two before, START in front of the text."""
-    led = np.concatenate([[START, START], classes])
-    return led[1:-1], led[:-2]
+    @property
+    def parameters(self) -> list[np.ndarray]:
+        return [self.context, self.position, self.group, self.member, self.group_bias, self.member_bias]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([p.ravel() for p in self.parameters])
+
+    def load(self, values: np.ndarray) -> None:
+        at = 0
+        for p in self.parameters:
+            p[...] = values[at : at + p.size].reshape(p.shape)
+            at += p.size
+
+    def predictions(self, padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context vectors of all places and the prediction vector at each; the first CONTEXT places of a text have none of their own."""
+        held = self.context[padded]
+        out = np.zeros_like(held)
+        for i in range(CONTEXT):
+            out[i + 1 :] += held[: -i - 1] * self.position[i]
+        return held, out
+
+    def log10(self, padded: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """log10 P(unit | context) at the places ``inside``, in order."""
+        q, unit = self.predictions(padded)[1][inside], padded[inside]
+        group, member = (unit % self.groups).astype(np.uint16), unit // self.groups
+        order = np.argsort(group, kind="stable")
+        q, group, member = q[order], group[order], member[order]
+        scores = q @ self.group.T + self.group_bias
+        found = scores[np.arange(len(unit)), group] - log_total(scores)
+        for g, own in segments(group):
+            scores = q[own] @ self.member[g].T + self.member_bias[g]
+            found[own] += scores[np.arange(len(scores)), member[own]] - log_total(scores[:, self.real[g]])
+        out = np.empty(len(unit))
+        out[order] = found
+        return out / np.log(10)
+
+
+def laid(texts: list[np.ndarray], before: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts' units one after the other, each behind CONTEXT units of its context, and the places of its own; long texts come in pieces."""
+    held: list[np.ndarray] = []
+    inside: list[np.ndarray] = []
+    size = 0
+    for units in texts:
+        lead = np.full(CONTEXT, before)
+        for at in range(0, len(units), STEP):
+            piece = units[at : at + STEP]
+            held += [lead, piece]
+            inside.append(np.arange(size + CONTEXT, size + CONTEXT + len(piece)))
+            size += CONTEXT + len(piece)
+            lead = piece[-CONTEXT:] if len(piece) >= CONTEXT else lead
+            if size >= STEP:
+                yield np.concatenate(held), np.concatenate(inside)
+                held, inside, size = [], [], 0
+    if held:
+        yield np.concatenate(held), np.concatenate(inside)
+
+
+def segments(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal values of a sorted array."""
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):  # noqa: B905
+        if b > a:
+            yield int(keys[a]), slice(a, b)
+
+
+def log_total(scores: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials of each row."""
+    most = scores.max(initial=0)
+    if most > 60:  # far from what single precision holds otherwise
+        most = scores.max(axis=1, keepdims=True)
+        return np.log(np.exp(scores - most).sum(axis=1)) + most[:, 0]
+    return np.log(np.exp(scores).sum(axis=1))
+
+
+class Trainer:
+    """Adagrad steps of noise-contrastive estimation; noise is drawn anew for every step and shared by its tokens."""
+
+    def __init__(self, model: Model, seed: int):
+        self.model, self.rng = model, np.random.default_rng([SEED, seed & 0xFFFFFFFF])
+        self.sums = [np.full_like(p, 1e-2) for p in model.parameters]
+        self.tokens, self.waiting, self.held = 0, [], 0
+        self.group_cdf, self.member_cdf = np.cumsum(model.group_share), np.cumsum(model.member_share, axis=1)
+
+    def add(self, units: np.ndarray) -> None:
+        self.waiting.append(units)
+        self.held += len(units)
+        if self.held >= STEP:
+            self.flush()
+
+    def flush(self) -> None:
+        for padded, inside in laid(self.waiting, self.model.units):
+            self.step(padded, inside)
+        self.waiting, self.held = [], 0
+
+    def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, share: np.ndarray, cdf: np.ndarray, own: np.ndarray) -> tuple:
+        """Slopes of q, vectors and bias for telling ``own`` from noise of this distribution."""
+        noise = np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(share) - 1)
+        against = np.log(NOISE * np.maximum(share, 1e-30)).astype(np.float32)
+        mine = vectors[own]
+        data = chance((q * mine).sum(axis=1) + (bias - against)[own]) - 1
+        other = chance(q @ vectors[noise].T + (bias - against)[noise]) * np.float32(NOISE / SHARED)
+        slope_q = data[:, None] * mine + other @ vectors[noise]
+        chosen = np.zeros((len(share), len(own)), np.float32) if len(share) * len(own) < 1 << 16 else None
+        slope_v = np.zeros_like(vectors)
+        if chosen is not None:
+            chosen[own, np.arange(len(own))] = data
+            slope_v += chosen @ q
+        else:
+            order = np.argsort(own, kind="stable")
+            starts = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
+            slope_v[own[order][starts]] = np.add.reduceat((data[:, None] * q)[order], starts)
+        np.add.at(slope_v, noise, other.T @ q)
+        slope_b = (np.bincount(own, data, len(share)) + np.bincount(noise, other.sum(axis=0), len(share))).astype(np.float32)
+        return slope_q, slope_v, slope_b
+
+    def step(self, padded: np.ndarray, inside: np.ndarray) -> None:
+        m, sums = self.model, self.sums
+        held, q = m.predictions(padded)
+        units = padded[inside]
+        group = (units % m.groups).astype(np.uint16)
+        order = np.argsort(group, kind="stable")
+        inside, group, member = inside[order], group[order], units[order] // m.groups
+        q = q[inside]
+        slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, m.group_share, self.group_cdf, group)
+        adagrad(m.group, sums[2], slope_v)
+        adagrad(m.group_bias, sums[4], slope_b)
+        for g, own in segments(group):
+            more, slope_v, slope_b = self.contrast(q[own], m.member[g], m.member_bias[g], m.member_share[g], self.member_cdf[g], member[own])
+            slope_q[own] += more
+            adagrad(m.member[g], sums[3][g], slope_v)
+            adagrad(m.member_bias[g], sums[5][g], slope_b)
+        back = np.zeros_like(held)
+        back[inside] = slope_q
+        slopes = np.zeros_like(held)
+        for i in range(CONTEXT):
+            slopes[: -i - 1] += back[i + 1 :] * m.position[i]
+        position = np.stack([np.einsum("ij,ij->j", back[i + 1 :], held[: -i - 1]) for i in range(CONTEXT)])
+        order = np.argsort(padded.astype(np.uint16 if m.units < 1 << 16 else np.int32), kind="stable")
+        starts = np.flatnonzero(np.append(True, padded[order][1:] != padded[order][:-1]))
+        adagrad(m.context, sums[0], np.add.reduceat(slopes[order], starts), padded[order][starts])
+        adagrad(m.position, sums[1], position)
+        self.tokens += len(units)
+
+
+def chance(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def adagrad(values: np.ndarray, sums: np.ndarray, slope: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+    sums[rows] += slope * slope
+    values[rows] -= np.float32(RATE) * slope / np.sqrt(sums[rows])
 
 
 def training(docs: DataFrame, ident: str) -> Column:
@@ -107,7 +275,7 @@ def fold(ident: str) -> Column:
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
-    """hash, word, suffix class and count of every token of ``texts`` (one binary column)."""
+    """hash, word, suffix and count of every token of ``texts`` (one binary column)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
@@ -125,183 +293,171 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         columns = [
             pa.array([token_hash(w) for w in words], type=pa.int64()),
             pa.array(words, type=pa.binary()),
-            pa.array([suffix_class(w) for w in words], type=pa.int32()),
+            pa.array([suffix_of(w) for w in words], type=pa.int32()),
             pa.array(list(seen.values()), type=pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["h", "word", "cls", "c"])
+        return pa.RecordBatch.from_arrays(columns, names=["h", "word", "suffix", "c"])
 
-    rows = texts.mapInArrow(task, "h bigint, word binary, cls int, c bigint")
-    return rows.groupBy("h", "word", "cls").agg(F.sum("c").alias("c")).filter("c > 0")
+    rows = texts.mapInArrow(task, "h bigint, word binary, suffix int, c bigint")
+    return rows.groupBy("h", "word", "suffix").agg(F.sum("c").alias("c")).filter("c > 0")
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """Totals by class (bounded) and the head, at most ``HEAD`` tokens."""
-    totals = counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("types")).collect()
-    class_counts, class_types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    """Totals by suffix (bounded) and the head, at most ``HEAD`` tokens and the end."""
+    totals = counts.groupBy("suffix").agg(F.sum("c").alias("n"), F.count("*").alias("types")).collect()
+    suffix_counts, suffix_types = np.zeros(SUFFIXES, np.int64), np.zeros(SUFFIXES, np.int64)
     for r in totals:
-        class_counts[r["cls"]], class_types[r["cls"]] = r["n"], r["types"]
-    n, types = int(class_counts.sum()), int(class_types.sum())
-    # the least count with which at most HEAD tokens qualify, so that no task has to send more than its share of them
+        suffix_counts[r["suffix"]], suffix_types[r["suffix"]] = r["n"], r["types"]
+    n, types = int(suffix_counts.sum()), int(suffix_types.sum())
+    # the least bin of counts with which at most HEAD tokens qualify, so that no task has to send more than its share of them
+    fine = F.floor(F.log2("c") * FINE)
     room, floor = HEAD, None
-    for r in sorted(counts.groupBy("c").count().collect(), key=lambda r: -r["c"]):
+    for r in sorted(counts.groupBy(fine.alias("bin")).count().collect(), key=lambda r: -r["bin"]):  # at most 64 * FINE bins
         room -= r["count"]
         if room < 0:
             break
-        floor = r["c"]
-    top = counts.filter((F.col("c") >= floor if floor else F.lit(False)) | (F.col("h") == token_hash(END))).select("word", "c").toArrow()
+        floor = r["bin"]
+    inside = fine >= floor if floor is not None else F.lit(False)
+    top = counts.filter(inside | (F.col("h") == token_hash(END))).select("word", "c").toArrow()
     found = sorted(zip(top["c"].to_pylist(), top["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
-    # the end is always a class of its own
-    found.sort(key=lambda x: x[1] != END)
+    found.sort(key=lambda x: x[1] != END)  # the end is always a unit of its own
     words = [w for _, w in found]
     head_counts = np.array([c for c, _ in found], dtype=np.int64)
-    classes = np.array([suffix_class(w) for w in words], dtype=np.int64)
-    for i in range(min(SHORTLIST, len(words))):
-        class_counts[classes[i]] -= head_counts[i]
-        class_types[classes[i]] -= 1
-        classes[i] = i
-        class_counts[i], class_types[i] = head_counts[i], 1
-    return Vocabulary({w: i for i, w in enumerate(words)}, head_counts, classes, n, types, class_counts, class_types)
-
-
-def classed(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Numbers in the head (-1: not there), classes with the end's class last, and places outside the head."""
-    get = vocab.numbers.get
-    numbers = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-    end = vocab.numbers.get(END)
-    classes = np.append(vocab.classes[numbers] if len(vocab.classes) else np.zeros(len(words), np.int64), 0)
+    own = min(SHORTLIST, sum(c >= LEAST_COUNT or w == END for c, w in found))
+    suffixes = np.array([suffix_of(w) for w in words], dtype=np.int64)
+    units = np.where(np.arange(len(words)) < own, np.arange(len(words)), own + suffixes)
+    np.subtract.at(suffix_counts, suffixes[:own], head_counts[:own])
+    np.subtract.at(suffix_types, suffixes[:own], 1)
+    unit_counts = np.concatenate([head_counts[:own], suffix_counts])
+    unit_types = np.concatenate([np.ones(own, np.int64), suffix_types])
+    return Vocabulary({w: i for i, w in enumerate(words)}, head_counts, units, own, n, types, unit_counts, unit_types)
+
+
+def numbered(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Numbers in the head (-1: not there), units with the end's unit last, and places outside the head."""
+    numbers = np.fromiter(map(vocab.numbers.get, words, repeat(-1)), np.int64, len(words))
+    units = np.append(vocab.units[numbers] if len(vocab.units) else np.zeros(len(words), np.int64), 0)
     rare = np.flatnonzero(numbers < 0).tolist()
     for i in rare:
-        classes[i] = suffix_class(words[i])
-    classes[-1] = vocab.classes[end] if end is not None else suffix_class(END)
-    return numbers, classes, rare
+        units[i] = vocab.own + suffix_of(words[i])
+    end = vocab.numbers.get(END)
+    units[-1] = vocab.units[end] if end is not None else vocab.own + suffix_of(END)
+    return numbers, units, rare
 
 
-def count_pairs(texts: DataFrame, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Class pairs at distances one and two over all of ``texts``; the result is bounded by CLASSES squared."""
+def started(texts: DataFrame, vocab: Vocabulary) -> Model:
+    """The model trained on a sample of the texts with about ``START_TOKENS`` tokens."""
+    model = Model(vocab.unit_counts)
+    if not vocab.train_tokens:
+        return model
     sent = texts.sparkSession.sparkContext.broadcast(vocab)
-    size = (CLASSES + 1) * CLASSES
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = sent.value, [np.zeros(size, np.int64), np.zeros(size, np.int64)]
-        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def count() -> None:
-            now = np.concatenate([w for _, _, w in waiting]) if waiting else np.zeros(0, np.int64)
-            for i in (0, 1):
-                if len(now):
-                    found[i] += np.bincount(np.concatenate([w[i] for w in waiting]) * CLASSES + now, minlength=size)
-            waiting.clear()
-
-        pending = 0
         for batch in batches:
-            for value in batch.column(0):
-                _, classes, _ = classed(tokens(value.as_py()), held)
-                waiting.append((*histories(classes), classes))
-                pending += len(classes)
-                if pending > 1_000_000:
-                    count()
-                    pending = 0
-        count()
-        for i in (0, 1):
-            cells = np.flatnonzero(found[i])
-            columns = [pa.array(np.full(len(cells), i, np.int32)), pa.array(cells.astype(np.int32)), pa.array(found[i][cells])]
-            yield pa.RecordBatch.from_arrays(columns, names=["distance", "cell", "n"])
-
-    pairs = texts.mapInArrow(task, "distance int, cell int, n bigint").groupBy("distance", "cell").agg(F.sum("n").alias("n")).toArrow()
-    distance, cell, n = (pairs[c].to_numpy() for c in ("distance", "cell", "n"))
-    out = []
-    for i in (0, 1):
-        own, table = distance == i, np.zeros(size)
-        table[cell[own]] = n[own]
-        out.append(table.reshape(CLASSES + 1, CLASSES))
-    return out[0], out[1]
-
-
-def train(pairs: np.ndarray) -> np.ndarray:
-    """Class probabilities (contexts x classes) of the log-bilinear model for these pair counts.
-
-    Noise-contrastive estimation in expectation: a pair (context, class) is data n(context, class) times and noise
-    NOISE * n(context) * q(class) times, q being the class frequencies; Adam minimises the logistic loss between both.
-    """
-    total = pairs.sum()
-    if not total:
-        return np.full(pairs.shape, 1 / pairs.shape[1])
-    q = (pairs.sum(axis=0) + 0.5) / (total + 0.5 * pairs.shape[1])
-    data = (pairs / total).astype(np.float32)
-    noise = (NOISE * data.sum(axis=1, keepdims=True) * q).astype(np.float32)
-    rng = np.random.default_rng(SEED)
-    context = rng.normal(0, 0.1, (pairs.shape[0], DIM)).astype(np.float32)
-    matrix = np.eye(DIM, dtype=np.float32)
-    target = rng.normal(0, 0.1, (pairs.shape[1], DIM)).astype(np.float32)
-    bias = np.log(q).astype(np.float32)
-    params = [context, matrix, target, bias]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    against = np.log(NOISE * q).astype(np.float32)
-    for step in range(1, STEPS + 1):
-        held = context @ matrix
-        odds = held @ target.T + bias - against
-        chance = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-        slope = chance * (data + noise) - data
-        back = slope @ target
-        grads = [back @ matrix.T, context.T @ back, slope.T @ held, slope.sum(axis=0)]
-        for p, g, m, v in zip(params, grads, first, second, strict=True):
-            g = g * np.float32(pairs.shape[1])
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-6)
-    scores = (context @ matrix @ target.T + bias).astype(np.float64)
-    scores -= scores.max(axis=1, keepdims=True)
-    chances = np.exp(scores)
-    return chances / chances.sum(axis=1, keepdims=True)
+            found = [numbered(tokens(v.as_py()), sent.value)[1].astype(np.int32).tobytes() for v in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.binary())], names=["units"])
 
+    share = START_TOKENS / vocab.train_tokens
+    chosen = texts if share >= 1 else texts.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found = sorted(x.as_py() for x in chosen.mapInArrow(task, "units binary").toArrow()["units"])
+    held = [np.frombuffer(x, np.int32).astype(np.int64) for x in found]
+    trainer, rng = Trainer(model, 0), np.random.default_rng(SEED)
+    for _ in range(EPOCHS):
+        for i in rng.permutation(len(held)):
+            trainer.add(held[i])
+        trainer.flush()
+    return model
 
-@dataclass
-class Model:
-    vocab: Vocabulary
-    classes: ClassModel
 
+def improved(texts: DataFrame, vocab: Vocabulary, model: Model) -> Model:
+    """The model after every task has gone on with all the tokens of ``texts`` that it reads: the mean of theirs, by tokens."""
+    sent = texts.sparkSession.sparkContext.broadcast((vocab, model))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, model = sent.value
+        model = copy.deepcopy(model)
+        trainer = Trainer(model, TaskContext.get().partitionId() + 1)
+        for batch in batches:
+            for value in batch.column(0):
+                trainer.add(numbered(tokens(value.as_py()), vocab)[1])
+        trainer.flush()
+        if trainer.tokens:
+            yield pieces([(trainer.tokens, trainer.tokens * x.astype(np.float64)) for x in np.array_split(model.flat(), PIECES)])
 
-def fit(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Model, DataFrame]:
-    """The model, and the stored counts of all training tokens (h, c)."""
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for i, n, data in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                n0, x0 = held.get(i, (0, 0.0))
+                held[i] = (n0 + n, x0 + np.frombuffer(data))
+        for i, x in held.items():
+            yield pieces([x], i)
+
+    def pieces(found: list[tuple[int, np.ndarray]], first: int = 0) -> pa.RecordBatch:
+        arrays = [pa.array(range(first, first + len(found)), type=pa.int32()), pa.array([n for n, _ in found], type=pa.int64())]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([x.tobytes() for _, x in found], type=pa.binary())], names=["piece", "n", "data"])
+
+    schema = "piece int, n bigint, data binary"
+    sums = texts.mapInArrow(task, schema).repartition("piece").mapInArrow(total, schema).collect()  # the size of one model
+    if sums:
+        out = copy.deepcopy(model)
+        out.load(np.concatenate([np.frombuffer(r["data"]) / r["n"] for r in sorted(sums, key=lambda r: r["piece"])]))
+        return out
+    return model
+
+
+def fit(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Vocabulary, Model, DataFrame]:
+    """Vocabulary, model, and the stored counts of all training tokens (h, c)."""
     texts = docs.filter(training(docs, ident)).select(F.coalesce(text, F.lit("")).cast("binary").alias("t"))
     counts = stash(count_tokens(texts), "token-counts")
     vocab = vocabulary(counts)
-    near, far = count_pairs(texts, vocab)
-    return Model(vocab, ClassModel(train(near), train(far))), counts.groupBy("h").agg(F.sum("c").alias("c"))
+    model = improved(texts, vocab, started(texts, vocab))
+    # written as it is joined: a hash that many held-out texts share and no training text holds is split over tasks
+    return vocab, model, stash(counts.groupBy("h").agg(F.sum("c").alias("c")), "hash-counts")
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, vocab: Vocabulary, model: Model, counts: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """ident, n_tokens, n_known, base_score, score of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by HEAD and CLASSES
+    sent = docs.sparkSession.sparkContext.broadcast((vocab, model))  # bounded by HEAD and SHORTLIST
     kept = docs.schema[ident]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value
-        vocab, key = held.vocab, TaskContext.get().partitionId() << 33
-        base_norm, class_norm = vocab.base_norm, vocab.class_norm
+        vocab, model = sent.value
+        key, base_norm, unit_norm = TaskContext.get().partitionId() << 33, vocab.base_norm, vocab.unit_norm
         seen = np.log10(vocab.counts + 0.5)
-        inside = np.where(np.arange(len(seen)) < SHORTLIST, 0.0, seen - class_norm[vocab.classes]) if len(seen) else seen
+        shared = np.where(np.arange(len(seen)) < vocab.own, 0.0, seen - unit_norm[vocab.units]) if len(seen) else seen
         known_in_head = (vocab.counts > 0).astype(np.int64)
         end = vocab.numbers.get(END)
+
+        def done(idents: pa.Array, texts: list[np.ndarray], rows: list[tuple], tails: list[list[int]]) -> pa.RecordBatch:
+            scores = np.concatenate([model.log10(*x) for x in laid(texts, model.units)])
+            own = np.add.reduceat(scores, np.cumsum([0, *map(len, texts[:-1])]))
+            columns = [list(c) for c in zip(*rows, strict=True)]
+            columns[4] = (own + columns[4]).tolist()
+            arrays = [pa.array(c, type=t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]
+            names = ["ident", "key", "n_tokens", "head_known", "head_base", "head_score", "tail"]
+            return pa.RecordBatch.from_arrays([idents, *arrays, pa.array(tails, type=pa.list_(pa.int64()))], names=names)
+
         for batch in batches:
-            rows, tails = [], []
-            for value in batch.column(1):
+            texts, rows, tails, first, size = [], [], [], 0, 0
+            for i, value in enumerate(batch.column(1)):
                 words = tokens(value.as_py())
-                numbers, classes, rare = classed(words, vocab)
+                numbers, units, rare = numbered(words, vocab)
                 found = numbers[numbers >= 0]
                 n = len(words) + 1
                 base = seen[found].sum() + (seen[end] if end is not None else np.log10(0.5)) - n * base_norm
-                own = held.classes.log10(classes).sum() + inside[found].sum()
-                own += inside[end] if end is not None else np.log10(0.5) - class_norm[classes[-1]]
-                own -= class_norm[classes[rare]].sum() if rare else 0.0
+                rest = shared[found].sum() - (unit_norm[units[rare]].sum() if rare else 0.0)
+                rest += shared[end] if end is not None else np.log10(0.5) - unit_norm[units[-1]]
                 known = int(known_in_head[found].sum()) + (end is not None)
-                rows.append((key, n, known, float(base), float(own)))
-                tails.append([token_hash(words[i]) for i in rare])
-                key += 1
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            arrays = [pa.array(c, type=t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]
-            names = ["ident", "key", "n_tokens", "head_known", "head_base", "head_score", "tail"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, pa.array(tails, type=pa.list_(pa.int64()))], names=names)
+                rows.append((key, n, known, float(base), float(rest)))
+                tails.append([token_hash(words[j]) for j in rare])
+                texts.append(units)
+                key, size = key + 1, size + n
+                if size > 4 * STEP:
+                    yield done(batch.column(0).slice(first, i + 1 - first), texts, rows, tails)
+                    texts, rows, tails, first, size = [], [], [], i + 1, 0
+            if texts:
+                yield done(batch.column(0).slice(first), texts, rows, tails)
 
     schema = (
         f"ident {kept.dataType.simpleString()}, key bigint, n_tokens bigint, head_known bigint, head_base double, "
@@ -324,13 +480,13 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
 
 
 def score_report(docs: DataFrame) -> DataFrame:
-    model, counts = fit(docs)
-    return score(docs, model, counts).select(
+    vocab, model, counts = fit(docs)
+    return score(docs, vocab, model, counts).select(
         "doc_id",
         F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"),
         "n_tokens",
         "n_known",
-        F.lit(model.vocab.train_tokens).cast("long").alias("train_tokens"),
+        F.lit(vocab.train_tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )

@@ -251,16 +251,79 @@ def test_lm(spark, docs, texts, odd):
     assert lm.score_report(odd).count() == odd.count() and lm.score_report(odd.filter("false")).count() == 0
 
 
+def plain_score(words, vocab, model, counts):
+    """A text's score token by token: two softmaxes over sums of context vectors, and the share of the unit."""
+    unit = lambda w: int(vocab.units[vocab.numbers[w]]) if w in vocab.numbers else vocab.own + zlib.crc32(w[-2:]) % lm.SUFFIXES
+    units, total = [unit(w) for w in words], 0.0
+    for t, w in enumerate(words):
+        q = np.zeros(lm.DIM)
+        for i in range(lm.CONTEXT):
+            q += model.context[units[t - 1 - i] if t - 1 - i >= 0 else model.units].astype(float) * model.position[i]
+        g, m = units[t] % model.groups, units[t] // model.groups
+        over_groups = np.exp(model.group.astype(float) @ q + model.group_bias)
+        members = [u // model.groups for u in range(model.units) if u % model.groups == g]
+        over_members = np.exp(model.member[g][members].astype(float) @ q + model.member_bias[g][members])
+        p = over_groups[g] / over_groups.sum() * over_members[members.index(m)] / over_members.sum()
+        if units[t] >= vocab.own:
+            p *= (counts[w] + 0.5) / (vocab.unit_counts[units[t]] + 0.5 * (vocab.unit_types[units[t]] + 1))
+        total += np.log10(p)
+    return total
+
+
+def test_lm_scores_are_the_models(spark, texts, monkeypatch):
+    monkeypatch.setattr(lm, "LEAST_COUNT", 20)
+    monkeypatch.setattr(lm, "HEAD", 800)  # so that there is a tail
+    df = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id bigint, text string")
+    vocab, model, stored = lm.fit(df)
+    counts = collections.Counter(w for k, t in texts.items() if zlib.crc32(str(k).encode()) % 5 != 1 for w in [*t.encode().lower().split(), b""])
+    assert len(vocab.numbers) <= 801 < len(counts) and 20 < vocab.own < 800
+    assert vocab.unit_counts.sum() == sum(counts.values()) and vocab.unit_types.sum() == len(counts)
+    got = {r["doc_id"]: r["score"] for r in lm.score(df, vocab, model, stored).collect()}
+    for k in sorted(texts)[:25]:
+        words = [*texts[k].encode().lower().split(), b""]
+        if len(words) < 400:
+            assert abs(got[k] - plain_score(words, vocab, model, counts)) < 1e-3 + 1e-5 * len(words)
+
+
 def test_lm_is_normalised():
     rng = np.random.default_rng(0)
-    table = lm.train(rng.integers(0, 50, (lm.CLASSES + 1, lm.CLASSES)).astype(float))
-    assert np.allclose(table.sum(axis=1), 1)
-    vocab = lm.Vocabulary({}, np.zeros(0, np.int64), np.zeros(0, np.int64), 10, 4, np.array([7, 3]), np.array([2, 2]))
-    # tokens of a class and one unseen type share exactly its probability
-    shares = (np.array([[5, 2], [1, 2]]) + 0.5).sum(axis=1) / 10**vocab.class_norm + 0.5 / 10**vocab.class_norm
+    model = lm.Model(rng.integers(1, 50, 150).astype(float))
+    trainer = lm.Trainer(model, 1)
+    for _ in range(30):
+        trainer.add(rng.integers(0, 150, 900))
+    trainer.flush()
+    for history in ([], [3], [1, 2, 3, 4, 5, 6, 7]):
+        found = [model.log10(*x)[-1] for u in range(150) for x in lm.laid([np.array([*history, u])], model.units)]
+        assert abs((10 ** np.array(found)).sum() - 1) < 1e-4
+    vocab = lm.Vocabulary({}, np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 10, 4, np.array([7, 3]), np.array([2, 2]))
+    # tokens of a unit and one unseen type share exactly its probability
+    shares = (np.array([[5, 2], [1, 2]]) + 0.5).sum(axis=1) / 10**vocab.unit_norm + 0.5 / 10**vocab.unit_norm
     assert np.allclose(shares, 1)
 
 
+def test_lm_learns_contexts():
+    """Pairs of words that always follow one another: the model comes near the true distribution, which has no better one."""
+    rng = np.random.default_rng(1)
+    texts = [np.stack([x := rng.integers(0, 50, 200), x + 50], axis=1).ravel() for _ in range(300)]
+    model = lm.Model(np.full(100, 1.0))
+    trainer = lm.Trainer(model, 1)
+    for _ in range(12):
+        for t in texts:
+            trainer.add(t)
+        trainer.flush()
+    score = np.mean(np.concatenate([model.log10(*x) for x in lm.laid(texts[:20], model.units)]))
+    assert score > -1.45 and np.log10(1 / 100) == -2  # the truth: half of the words are certain, the others one of fifty, -0.85
+
+
+def test_lm_long_texts_keep_their_context(monkeypatch):
+    rng = np.random.default_rng(2)
+    model = lm.Model(np.full(40, 1.0))
+    text = rng.integers(0, 40, 500)
+    whole = np.concatenate([model.log10(*x) for x in lm.laid([text], model.units)])
+    monkeypatch.setattr(lm, "STEP", 64)
+    assert np.allclose(whole, np.concatenate([model.log10(*x) for x in lm.laid([text], model.units)]))
+
+
 def test_ngram_join_against_brute_force(spark, docs, texts, odd):
     near = " ".join(f"n{i}" for i in range(100))
     more = [(10_000 + i, near.replace(f"n{i * 3} ", f"z{i} ", 1), "en", "s", 0) for i in range(20)]

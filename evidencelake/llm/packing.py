@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import sys
-import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.llm.bpe import CACHE_WORDS, byte_characters
@@ -111,9 +110,8 @@ class Packer:
 
     def put(self, ident, ids: bytes, start: int, length: int, total: int, prompt: int, at: int = 0) -> None:
         """The piece of ``length`` ids from ``start``; ``ids`` begins at ``at`` of its document."""
-        crc = zlib.crc32(ids[4 * (start - at) : 4 * (start - at + length)])
         loss = self.size(start, length, prompt)
-        self.pieces.append((ident, start, length, crc, total, self.bin, self.offset, loss[2]))
+        self.pieces.append((ident, start, length, ids[4 * (start - at) : 4 * (start - at + length)], total, self.bin, self.offset, loss[2]))
         self.used = self.used + loss
         self.offset += length
 
@@ -175,18 +173,18 @@ def pack(
     max_loss: int = 1024,
     closing_id: int = 0,
 ) -> DataFrame:
-    """Per piece: ident, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
+    """Per piece: ident, start, length, ids (little-endian, 32 bits each), doc_tokens, sequence_id, offset, loss_tokens.
 
     ``prompt``: a column with the text that comes before ``text`` in the item and bears no loss.
     """
     kept = [f for f in df.schema if f.name == ident][0]
-    closing = closing_id.to_bytes(4, "little")
+    closing, has_prompt = closing_id.to_bytes(4, "little"), prompt is not None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = loaded(path), Packer(TaskContext.get().partitionId() << 32, max_tokens, max_segments, max_loss)
         for batch in batches:
             idents, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            heads = batch.column(2).to_pylist() if prompt is not None else [""] * batch.num_rows
+            heads = batch.column(2).to_pylist() if has_prompt else [""] * batch.num_rows
             for ident_, head, text_ in zip(idents, map(words.packed, heads), texts, strict=True):
                 packer.add(ident_, head + words.packed(text_) + closing, max(1, len(head) // 4))
             yield out(packer)
@@ -198,12 +196,44 @@ def pack(
         packer.pieces = []
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    names = ["ident", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"]
+    names = ["ident", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loss_tokens"]
     from pyspark.sql.pandas.types import to_arrow_type
 
-    types = [to_arrow_type(kept.dataType), *[pa.int64()] * 7]
-    schema = ", ".join(f"{n} {kept.dataType.simpleString() if n == 'ident' else 'bigint'}" for n in names)
+    types = [to_arrow_type(kept.dataType), *[pa.binary() if n == "ids" else pa.int64() for n in names[1:]]]
+    schema = ", ".join(f"{n} {kept.dataType.simpleString() if n == 'ident' else 'binary' if n == 'ids' else 'bigint'}" for n in names)
     columns = [F.col(ident).alias("ident"), F.coalesce(text, F.lit("")).alias("t")]
-    if prompt is not None:
+    if has_prompt:
         columns.append(F.coalesce(prompt, F.lit("")).alias("p"))
     return df.select(*columns).mapInArrow(task, schema).withColumnRenamed("ident", ident)
+
+
+def packing_report(docs: DataFrame, path: str) -> DataFrame:
+    """The documents query's result: pieces with a digest of their ids instead of the ids."""
+    pieces = pack(docs, path).withColumn("ids_crc32", F.crc32("ids"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+def exchanges(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, prompt and answer: every turn of the assistant, with the turns before it back to the assistant's last as its prompt.
+
+    Turns without text count as empty; turns that no answer follows are not trained on and left out; a conversation is
+    taken to fit a task, as its window does.
+    """
+    own = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    answer = F.col("role") == "assistant"
+    number = F.coalesce(F.sum(answer.cast("int")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("number", number)
+    said = F.struct("turn", "role", "text")
+    both = rows.groupBy("conv_id", "number").agg(F.array_sort(F.collect_list(said)).alias("said")).filter(F.exists("said", lambda s: s.role == "assistant"))
+    last = F.element_at("said", -1)
+    before = F.transform(F.slice("said", 1, F.size("said") - 1), lambda s: s.text)
+    return both.select("conv_id", last["turn"].alias("turn"), F.array_join(before, "\n").alias("prompt"), last["text"].alias("answer"))
+
+
+def pack_conversations(conversations: DataFrame, path: str, max_tokens: int = 1024, max_segments: int = 4, max_loss: int = 800) -> DataFrame:
+    """Instruction data: prompts bear no loss, answers and the closing ids do; no sequence holds more than 4 segments or 800 such tokens."""
+    items = exchanges(conversations).withColumn("item", F.struct("conv_id", "turn"))
+    pieces = pack(items, path, "answer", "item", F.col("prompt"), max_tokens, max_segments, max_loss)
+    return pieces.select(
+        "item.conv_id", "item.turn", "start", "length", F.crc32("ids").alias("ids_crc32"), F.col("doc_tokens").alias("item_tokens"), "sequence_id", "offset", "loss_tokens"
+    )

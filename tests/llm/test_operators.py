@@ -124,6 +124,65 @@ def test_quality_statistics(spark, docs, texts, odd):
     assert quality.statistics(odd).count() == odd.count()
 
 
+def plain_covering(rows, cuts, max_rules=8, max_conditions=3, min_precision=0.9, min_cover=5):
+    """Sequential covering row by row: rows are (features, poor, pruning fold)."""
+    import math
+
+    meets = lambda x, rule: all((x[f] > t) if above else (x[f] <= t) for f, above, t in rule)
+    rules = []
+    while len(rules) < max_rules:
+        rule = []
+        while len(rule) < max_conditions:
+            held = [(x, y) for x, y, prune in rows if not prune and meets(x, rule)]
+            bad = sum(y for _, y in held)
+            if not bad or bad == len(held):
+                break
+            now, best = math.log2(bad / len(held)), (0.0, None)
+            for f in cuts:
+                for t in cuts[f]:
+                    for above in (False, True):
+                        own = [y for x, y in held if (x[f] > t) == above]
+                        if len(own) < min_cover or not sum(own):
+                            continue
+                        gain = sum(own) * (math.log2(sum(own) / len(own)) - now)
+                        if gain > best[0] + 1e-9:
+                            best = (gain, (f, above, t))
+            if best[1] is None:
+                break
+            rule.append(best[1])
+        if not rule:
+            break
+        scored = []
+        for i in range(1, len(rule) + 1):
+            own = [y for x, y, prune in rows if prune and meets(x, rule[:i])]
+            p, n = sum(own), len(own) - sum(own)
+            scored.append(((p - n) / max(1, p + n), p, -i, n))
+        value = max(scored, key=lambda s: s[:3])
+        p, n = value[1], value[3]
+        if p + n < min_cover or p < min_precision * (p + n):
+            break
+        rule = rule[: -value[2]]
+        rules.append(rule)
+        rows = [r for r in rows if not meets(r[0], rule)]
+    return rules
+
+
+def test_quality_rules_are_those_of_plain_covering(spark):
+    labels, many = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("labels", "documents"))
+    labelled = quality.with_labels(quality.statistics(many), labels).cache()
+    got = [[(c.feature, c.above, c.threshold) for c in rule] for rule in quality.learn(labelled)]
+    first = labelled.select(*[F.percentile_approx(F.col(f).cast("double"), [i / quality.BINS for i in range(quality.BINS)], 2000).alias(f) for f in quality.FEATURES]).first()
+    cuts = {f: sorted(set(first[f])) for f in quality.FEATURES}
+    rows = [({f: float(r[f]) for f in quality.FEATURES}, r["poor"], zlib.crc32(str(r["doc_id"]).encode()) % 3 == 2) for r in labelled.collect()]
+    assert got and got == plain_covering(rows, cuts)
+    # and the ordered expression says the first rule that holds
+    said = {r["doc_id"]: r["rule"] for r in labelled.select("doc_id", quality.judge(quality.learn(labelled)).alias("rule")).collect()}
+    for r in labelled.collect():
+        held = next((rule for rule in got if all((r[f] > t) if above else (r[f] <= t) for f, above, t in rule)), None)
+        assert (said[r["doc_id"]] is None) == (held is None)
+        assert held is None or said[r["doc_id"]] == " and ".join(f"{f} {'>' if above else '<='} {t:g}" for f, above, t in held)
+
+
 def test_quality_learns_and_survives_empty_labels(spark, docs, odd):
     labels, many = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("labels", "documents"))
     got = quality.judged(many, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
@@ -157,12 +216,13 @@ def test_packing_round_trip(spark, docs, texts, odd):
     for df in (docs, odd.filter("doc_id is not null").dropDuplicates(["doc_id"])):
         ids = {r["doc_id"]: [*tok.encode(r["text"] or "", add_special_tokens=False).ids, 0] for r in df.collect()}
         pieces = packing.pack(df, path).collect()
+        assert packing.packing_report(df, path).columns[3] == "ids_crc32"
         of, bins = collections.defaultdict(list), collections.defaultdict(list)
         for p in pieces:
             of[p["doc_id"]].append(p)
             bins[p["sequence_id"]].append(p)
             cut = ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]
-            assert p["ids_crc32"] == zlib.crc32(np.array(cut, dtype="<u4").tobytes()) and p["doc_tokens"] == len(ids[p["doc_id"]])
+            assert bytes(p["ids"]) == np.array(cut, dtype="<u4").tobytes() and p["doc_tokens"] == len(ids[p["doc_id"]])
         for k, own in of.items():
             at = 0
             for p in sorted(own, key=lambda p: p["start"]):
@@ -182,6 +242,40 @@ def test_packing_round_trip(spark, docs, texts, odd):
     assert packing.pack(odd.filter("false"), path).count() == 0
 
 
+def test_packing_conversations(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    items, prompt = {}, []
+    for r in sorted(table.collect(), key=lambda r: (r["conv_id"], r["turn"])):
+        if r["turn"] == 0 or r["conv_id"] != conv:
+            conv, prompt = r["conv_id"], []
+        if r["role"] == "assistant":
+            encoded = [tok.encode(t, add_special_tokens=False).ids for t in ("\n".join(prompt), r["text"] or "")]
+            items[r["conv_id"], r["turn"]] = (encoded[0] + encoded[1] + [0], len(encoded[0]))
+            prompt = []
+        else:
+            prompt.append(r["text"] or "")
+    of, used, at = collections.defaultdict(int), collections.defaultdict(lambda: np.zeros(3, int)), collections.defaultdict(list)
+    for p in packing.pack_conversations(table, vocabulary("byte_bpe_50k.json")).collect():
+        ids, head = items[p["conv_id"], p["turn"]]
+        cut = ids[p["start"] : p["start"] + p["length"]]
+        loss = len([i for i in range(p["start"], p["start"] + p["length"]) if i >= max(1, head)])
+        assert p["ids_crc32"] == zlib.crc32(np.array(cut, dtype="<u4").tobytes()) and p["loss_tokens"] == loss and p["item_tokens"] == len(ids)
+        of[p["conv_id"], p["turn"]] += p["length"]
+        used[p["sequence_id"]] += (p["length"], 1, loss)
+        at[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert of == {k: len(ids) for k, (ids, _) in items.items()}
+    most = np.max(list(used.values()), axis=0)
+    assert most.tolist() == [1024, 4, 800]  # all three limits are met, none is passed
+    for own in at.values():
+        assert [o for o, _ in sorted(own)] == [0, *itertools.accumulate(n for _, n in sorted(own))][:-1]
+    odd = spark.createDataFrame([(1, 0, "user", None), (1, 1, "assistant", None), (2, 0, "user", "x"), (None, 0, "assistant", "y"), (3, 0, "assistant", "z"), (3, 0, "assistant", "z")], "conv_id int, turn int, role string, text string")
+    assert packing.pack_conversations(odd, vocabulary("byte_bpe_50k.json")).filter("start = 0").count() == 4
+    assert packing.pack_conversations(odd.filter("false"), vocabulary("byte_bpe_50k.json")).count() == 0
+
+
 def test_packing_limits_hold_together():
     packer = packing.Packer(0, 100, 4, 60)
     rng = np.random.default_rng(3)
@@ -217,16 +311,56 @@ def test_secrets(spark, docs, texts, odd):
     assert secret_scan.secret_report(odd).count() == odd.count() and secret_scan.secret_report(odd.filter("false")).count() == 0
 
 
-def test_toxicity_learns(spark, docs):
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    many = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+def test_toxicity_on_held_out_rows(spark, docs):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    many = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = toxicity.toxicity_report(many, labels)
-    rows = got.join(labels, "doc_id").filter("not held_out").select("score", "toxic").collect()
-    good, bad = [r["score"] for r in rows if not r["toxic"]], [r["score"] for r in rows if r["toxic"]]
-    assert np.mean([g < b for g in good for b in bad]) > 0.8
+    rows = got.join(labels, "doc_id").filter("held_out").select("score", "toxic", "predicted").collect()
+    good, bad = np.array([r["score"] for r in rows if not r["toxic"]]), np.array([r["score"] for r in rows if r["toxic"]])
+    assert len(bad) > 20 and (good[:, None] < bad[None, :]).mean() > 0.9
+    hits = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert hits > 0.85 * sum(r["predicted"] for r in rows) and hits > 0.5 * len(bad)
     assert got.filter("score < 0 or score > 1 or score is null").count() == 0
 
 
+def test_toxicity_score_is_a_forward_pass(spark, docs):
+    """Embedding, convolution, pooling and the logistic layer, word by word."""
+    import zlib
+
+    rng = np.random.default_rng(5)
+    model = toxicity.Cnn.fresh()
+    model.out_bias, model.scale = 0.3, (1.7, -0.2)
+    model.bias = [rng.normal(0, 0.1, toxicity.FILTERS).astype(np.float32) for _ in toxicity.SPANS]
+
+    def plain(text):
+        vectors = []
+        for w in text.lower().split():
+            w = w.strip(toxicity.EDGES)
+            parts = [w + "\n", *[w[:n] for n in toxicity.BEGINNINGS if len(w) > n]]
+            vectors.append(sum((model.embed[zlib.crc32(x.encode()) % (toxicity.ROWS - 1) + 1].astype(float) for x in parts if x.strip()), np.zeros(toxicity.WIDTH)))
+        pooled = []
+        for span, filters, bias in zip(toxicity.SPANS, model.filters, model.bias, strict=True):
+            held = vectors + [np.zeros(toxicity.WIDTH)] * (span - len(vectors))
+            made = [sum(held[i + k] @ filters[k] for k in range(span)) + bias for i in range(len(held) - span + 1)] if vectors else []
+            pooled.append(np.max([np.zeros(toxicity.FILTERS), *made], axis=0))
+        z = np.concatenate(pooled) @ model.out + model.out_bias
+        return 1 / (1 + np.exp(-(1.7 * z - 0.2)))
+
+    rows = docs.select("doc_id", "text", "lang").limit(60).collect()
+    df = spark.createDataFrame([*rows, (-1, "", "en"), (-2, None, "en"), (-3, "one", None), (-4, "... !!", None)], "doc_id bigint, text string, lang string")
+    for r in toxicity.score(df, model).join(df.select("doc_id", "text"), "doc_id").collect():
+        assert abs(r["score"] - plain(r["text"] or "")) < 1e-4
+
+
+def test_toxicity_takes_one_row_of_a_repeated_id(spark):
+    words = ["calm sea", "vile brute"]
+    docs = spark.createDataFrame([(i % 40, f"{words[i % 2]} {i}", "en") for i in range(400)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    rows = toxicity.toxicity_report(docs, labels).groupBy(F.pmod("doc_id", F.lit(2)).alias("y")).agg(F.avg("score").alias("s"), F.count("*").alias("n")).collect()
+    means = {r["y"]: r["s"] for r in rows}
+    assert means[1] > means[0] and sum(r["n"] for r in rows) == 400
+
+
 def test_toxicity_edges(spark, odd):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     got = toxicity.toxicity_report(odd, none)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,31 +55,64 @@ def cluster_by_largest(
 
 def greedy_pairs(
     a: DataFrame, b: DataFrame, keys: Sequence[str], eligible: Callable[[Column, Column], Column], cost: Callable[[Column, Column], Column],
-    a_fields: Sequence[str], b_fields: Sequence[str], a_id: str, b_id: str,
+    a_fields: Sequence[str], b_fields: Sequence[str], a_id: str, b_id: str, reach: Callable[[DataFrame], tuple[Column, Column]] | None = None,
 ) -> DataFrame:
-    """Each row of ``a``, in the order of ``a_fields``, takes the unused eligible row of ``b`` with the least cost, first on ties."""
+    """Each row of ``a``, in the order of ``a_fields``, takes the unused eligible row of ``b`` with the least cost, first on ties.
+
+    ``reach`` gives the least and largest first field of ``b`` that a row of ``a`` can pair with.  Sessions are then cut where no
+    window is open, as no decision before such a place touches one behind it, and each piece is folded by itself; taken
+    rows leave the list of free ones.
+    """
     types = dict(a.dtypes) | {f"b_{k}": v for k, v in b.dtypes}
     pair = f"struct<a:{types[a_id]},b:{types[f'b_{b_id}']}>"
-    both = listed(a, keys, a_fields, "_a").join(listed(b, keys, b_fields, "_b"), list(keys))
-    init = F.struct(F.array().cast(f"array<{pair}>").alias("pairs"), F.array().cast(f"array<{types[f'b_{b_id}']}>").alias("used"))
+    by = list(keys)
+    if reach:
+        low, high = reach(a)
+        place = lambda df, lo, hi, side: df.withColumns({"_lo": lo, "_hi": hi, "_side": F.lit(side)})
+        at = F.col(b_fields[0])
+        both = place(a, low, high, 0).unionByName(place(b, at, at, 1), allowMissingColumns=True)
+        w = Window.partitionBy(*keys).orderBy("_lo", "_side")
+        opens = F.coalesce(F.col("_lo") > F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+        cut = both.withColumn("_opens", opens.cast("int")).withColumn("_piece", F.sum("_opens").over(w))
+        a, b = cut.filter("_side = 0"), cut.filter("_side = 1")
+        by = [*by, "_piece"]
+    rows = lambda side, fields: F.array_sort(F.collect_list(F.when(F.col("_which") == side, F.struct(*fields))))
+    both = a.withColumn("_which", F.lit(0)).unionByName(b.withColumn("_which", F.lit(1)), allowMissingColumns=True)
+    both = both.groupBy(*by).agg(rows(0, a_fields).alias("_a"), rows(1, b_fields).alias("_b")).filter((F.size("_a") > 0) & (F.size("_b") > 0))
+    init = F.struct(F.array().cast(f"array<{pair}>").alias("pairs"), F.col("_b").alias("free"))
 
     def merge(acc: Column, x: Column) -> Column:
-        free = F.filter("_b", lambda y: ~F.array_contains(acc["used"], y[b_id]) & F.coalesce(eligible(x, y), F.lit(False)))
-        best = F.array_min(F.transform(free, lambda y, i: F.struct(cost(x, y).alias("c"), i.alias("i"), y[b_id].alias("b"))))
+        near = F.filter(acc["free"], lambda y: F.coalesce(eligible(x, y), F.lit(False)))
+        best = F.array_min(F.transform(near, lambda y, i: F.struct(cost(x, y).alias("c"), i.alias("i"), y[b_id].alias("b"))))
         taken = F.struct(x[a_id].alias("a"), best["b"].alias("b"))
-        return F.when(best.isNull(), acc).otherwise(
-            F.struct(F.concat(acc["pairs"], F.array(taken)).alias("pairs"), F.concat(acc["used"], F.array(best["b"])).alias("used"))
-        )
+        rest = F.filter(acc["free"], lambda y: y[b_id] != best["b"])
+        return F.when(best.isNull(), acc).otherwise(F.struct(F.concat(acc["pairs"], F.array(taken)).alias("pairs"), rest.alias("free")))
 
     done = both.select(*keys, F.explode(F.aggregate("_a", init, merge, lambda acc: acc["pairs"])).alias("p"))
     return done.select(*keys, F.col("p.a").alias(a_id), F.col("p.b").alias(f"b_{b_id}"))
 
 
 def next_unused(a: DataFrame, b: DataFrame, keys: Sequence[str], at: str = "t_ms", order: str = "ord") -> DataFrame:
-    """Each row of ``a`` takes the next row of ``b`` that is strictly later and unused (blur and focus)."""
-    return greedy_pairs(
-        a, b, keys, lambda x, y: y[at] > x[at], lambda x, y: y[at] - x[at], [at, order], [at, order], order, order
+    """Each row of ``a`` takes the next row of ``b`` that is strictly later and unused (blur and focus).
+
+    Which rows of ``a`` go without is known from a queue: a later row of ``b`` serves the rows of ``a`` in their order, one each.  So
+    the number waiting is a running count with a floor at zero, and the n-th served row of ``a`` gets the n-th serving row of ``b``.
+    """
+    both = a.select(*keys, F.col(at).alias("_t"), F.col(order).alias("_o"), F.lit(1).alias("_step")).unionByName(
+        b.select(*keys, F.col(at).alias("_t"), F.col(order).alias("_o"), F.lit(-1).alias("_step"))
+    )
+    w = Window.partitionBy(*keys).orderBy("_t", "_step", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    run = both.filter(F.col("_t").isNotNull()).withColumn("_sum", F.sum("_step").over(w))
+    # a row of b that finds nobody waiting lowers the floor and serves nobody
+    floor = run.withColumn("_floor", F.least(F.lit(0), F.min("_sum").over(w)))
+    w0 = Window.partitionBy(*keys).orderBy("_t", "_step", "_o")
+    served = floor.withColumn("_idle", (F.col("_step") == -1) & (F.col("_floor") < F.coalesce(F.lag("_floor").over(w0), F.lit(0)))).filter(~F.col("_idle"))
+    number = F.row_number().over(Window.partitionBy(*keys, "_step").orderBy("_t", "_o"))
+    ranked = served.withColumn("_n", number)
+    first = ranked.groupBy(*keys, "_n").agg(
+        F.max(F.when(F.col("_step") == 1, F.col("_o"))).alias(order), F.max(F.when(F.col("_step") == -1, F.col("_o"))).alias(f"b_{order}")
     )
+    return first.filter(F.col(order).isNotNull() & F.col(f"b_{order}").isNotNull()).select(*keys, order, f"b_{order}")
 
 
 def capped_clusters(

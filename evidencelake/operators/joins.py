@@ -41,12 +41,18 @@ def follow(
     b_start: str = "start_ms",
     lead_ms: int = 0,
     condition: Column | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Pairs with ``-lead_ms <= b.start - a.end <= within_ms``: A, then B soon after.
 
-    B falls into one bucket, A into the buckets that its window touches, two as a rule.
+    B falls into one bucket, A into the buckets that its window touches, two as a rule.  Without buckets the rows of a key
+    meet as they are: for small groups that are partitioned by the key already, which then need no exchange.
     """
     width = within_ms + lead_ms + 1
+    if not bucketed:
+        lag = F.col(f"b_{b_start}") - F.col(a_end)
+        pairs = a.join(prefixed(b, keys).hint("merge"), list(keys)).filter((lag >= -lead_ms) & (lag <= within_ms))
+        return pairs if condition is None else pairs.filter(condition)
     low, high = F.col(a_end) - lead_ms, F.col(a_end) + within_ms
     left = a.withColumn("_bucket", F.explode(F.sequence(F.floor(low / width), F.floor(high / width))))
     right = prefixed(b, keys).withColumn("_bucket", F.floor(F.col(f"b_{b_start}") / width))
@@ -65,8 +71,14 @@ def overlap(
     width: int = 3_600_000,
     closed: bool = True,
     condition: Column | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
-    """Pairs of overlapping intervals; each pair is met once, in the bucket where the later one starts."""
+    """Pairs of overlapping intervals; each pair is met once, in the bucket where the later one starts (without buckets: see ``follow``)."""
+    if not bucketed:
+        lo, hi, b0, b1 = F.col(start) - pad_ms, F.col(end) + pad_ms, F.col(f"b_{start}"), F.col(f"b_{end}")
+        meets = ((lo <= b1) & (b0 <= hi)) if closed else ((lo < b1) & (b0 < hi))
+        pairs = a.join(prefixed(b, keys).hint("merge"), list(keys)).filter(meets)
+        return pairs if condition is None else pairs.filter(condition)
     buckets = lambda lo, hi: F.explode(F.sequence(F.floor(lo / width), F.floor(F.greatest(lo, hi) / width)))
     left = a.withColumn("_bucket", buckets(F.col(start) - pad_ms, F.col(end) + pad_ms))
     right = prefixed(b, keys).withColumn("_bucket", buckets(F.col(f"b_{start}"), F.col(f"b_{end}")))
@@ -104,20 +116,47 @@ def nearest(
     return first_match(pairs, [*keys, *row], ["distance_ms", f"b_{order}"])
 
 
+def where_met(a: DataFrame, b: DataFrame, keys: Sequence[str], condition: Column, met: bool = True) -> DataFrame:
+    """Rows of ``a`` that some row of ``b`` (its columns prefixed with ``b_``) with the same key meets ``condition`` with, or none."""
+    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]).hint("merge")
+    same = condition
+    for k in keys:
+        same = (F.col(k) == F.col(f"b_{k}")) & same
+    return a.join(right, same, "left_semi" if met else "left_anti")
+
+
 def locate(
     points: DataFrame, intervals: DataFrame, keys: Sequence[str], row: Sequence[str], at: str = "t_ms",
     start: str = "start_ms", end: str = "end_ms", label: str = "section_id", order: str = "ord",
 ) -> DataFrame:
-    """The first interval (by ``order``) that holds the point, else the one with the nearest edge.
+    """The first interval (by ``order``) that holds the point, else the one with the nearest edge (first by ``order`` on ties).
 
-    Intervals per session are few (sections of an exam), so the session key alone is the join key.
+    Points and the edges of intervals are put into one order by time.  Before a point the intervals that have begun and the
+    last edge are known, after it the next edge; so one window each way replaces pairing all points with all intervals.
+    Open intervals are kept as a running list; sections of a session overlap little, so it stays short.
     """
-    pairs = points.join(prefixed(intervals, keys), list(keys))
-    t, b0, b1 = F.col(at), F.col(f"b_{start}"), F.col(f"b_{end}")
-    inside = (t >= b0) & (t <= b1)
-    edge = F.when(inside, 0).otherwise(F.least(F.abs(t - b0), F.abs(t - b1)))
-    rank = F.struct((~inside).cast("int").alias("outside"), edge.alias("edge"), F.col(f"b_{order}").alias("o"))
-    return pairs.groupBy(*keys, *row).agg(F.min_by(f"b_{label}", rank).alias(label), F.max(inside).alias("contained"))
+    o = F.col(order)
+    edges = intervals.select(*keys, F.explode(F.array(
+        F.struct(F.col(start).alias("at"), F.lit(0).alias("turn"), F.col(start).alias("lo"), F.col(end).alias("hi"), o.alias("o"), F.col(label).alias("label")),
+        F.struct(F.col(end).alias("at"), F.lit(2).alias("turn"), F.col(start).alias("lo"), F.col(end).alias("hi"), o.alias("o"), F.col(label).alias("label")),
+    )).alias("e"))
+    both = points.select(*keys, *row, F.col(at).alias("_at"), F.lit(1).alias("_turn"), F.lit(None).cast(edges.schema["e"].dataType).alias("_e"))
+    both = both.unionByName(edges.select(*keys, F.col("e.at").alias("_at"), F.col("e.turn").alias("_turn"), F.col("e").alias("_e")), allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_at", "_turn")
+    past, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    known = F.struct(F.col("_e.o").alias("o"), F.col("_e.lo").alias("lo"), F.col("_e.hi").alias("hi"), F.col("_e.label").alias("label"))
+    begun = F.collect_list(F.when(F.col("_turn") == 0, known)).over(past)
+    holding = F.array_min(F.filter(begun, lambda x: x.hi >= F.col("_at")))
+    edge = lambda sign: F.when(F.col("_turn") != 1, F.struct((sign * F.col("_at")).alias("k"), F.col("_e.o").alias("o"), F.col("_e.label").alias("label")))
+    before, after = F.min(edge(-1)).over(past), F.min(edge(1)).over(ahead)
+    rows = both.withColumns({"_in": holding, "_before": before, "_after": after}).filter("_turn = 1")
+    near = F.array_min(F.filter(F.array(
+        F.when(F.col("_before").isNotNull(), F.struct((F.col("_at") + F.col("_before.k")).alias("d"), F.col("_before.o").alias("o"), F.col("_before.label").alias("label"))),
+        F.when(F.col("_after").isNotNull(), F.struct((F.col("_after.k") - F.col("_at")).alias("d"), F.col("_after.o").alias("o"), F.col("_after.label").alias("label"))),
+    ), lambda x: x.isNotNull()))
+    found = rows.filter(F.col("_in").isNotNull() | F.col("_before").isNotNull() | F.col("_after").isNotNull())
+    chosen = F.when(F.col("_in").isNotNull(), F.col("_in.label")).otherwise(near["label"])
+    return found.select(*keys, *row, chosen.alias(label), F.col("_in").isNotNull().alias("contained"))
 
 
 def exclude_between(

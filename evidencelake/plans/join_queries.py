@@ -375,7 +375,11 @@ def k5_top_episodes(spark, sf_dir):
     return top.select("sk", "t0", "modalities", F.row_number().over(Window.partitionBy("sk").orderBy("t0")).cast("bigint").alias("ep"))
 
 
-@query()
+@query("""+ r AS (SELECT sk, ord, floor(value) + 1 AS cost, row_number() OVER (PARTITION BY sk ORDER BY value DESC, ord) AS rn FROM ev WHERE kind = 'error'),
+    st AS (SELECT DISTINCT sk, CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS total, 0 AS rank, CAST(NULL AS BIGINT) AS ord FROM r
+    UNION ALL SELECT st.sk, st.i + 1, CASE WHEN total + cost <= 180 AND rank < 8 THEN total + cost ELSE total END, CASE WHEN total + cost <= 180 AND rank < 8 THEN rank + 1 ELSE rank END,
+        CASE WHEN total + cost <= 180 AND rank < 8 THEN r.ord END FROM st JOIN r ON r.sk = st.sk AND r.rn = st.i + 1)
+    SELECT sk, rank, ord FROM st WHERE ord IS NOT NULL""")
 def k6_budgeted_moments(spark, sf_dir):
     """By falling value, events are taken while their seconds fit into 180; eight at most."""
     rows = of_kind(events(spark, sf_dir), "error").withColumn("cost", F.floor("value") + 1.0)
@@ -399,7 +403,13 @@ def k8_prefix_limit(spark, sf_dir):
     return events(spark, sf_dir).groupBy("sk", "kind").agg(F.array_join(refs.cast("array<string>"), ",").alias("refs"))
 
 
-@query()
+@query(f"""+ r AS (SELECT sk, t_ms, CAST(floor(value) AS BIGINT) AS chars, k % 5 AS element, row_number() OVER (PARTITION BY sk ORDER BY t_ms, ord) AS rn FROM ev WHERE kind = 'purchase'),
+    st AS (SELECT sk, rn AS i, rn AS c, t_ms AS t0, t_ms AS t1, CAST(1 AS BIGINT) AS n, chars AS total, chars AS best_size, element AS best_group FROM r WHERE rn = 1
+    UNION ALL SELECT sk, rn, CASE WHEN j THEN c ELSE rn END, CASE WHEN j THEN t0 ELSE t_ms END, CASE WHEN j THEN greatest(t1, t_ms) ELSE t_ms END, CASE WHEN j THEN n + 1 ELSE 1 END,
+        CASE WHEN j THEN total + chars ELSE chars END, CASE WHEN j THEN greatest(best_size, chars) ELSE chars END, CASE WHEN j AND chars <= best_size THEN best_group ELSE element END
+        FROM (SELECT st.*, r.rn, r.t_ms, r.chars, r.element, coalesce(r.t_ms - st.t1 <= {60 * HOUR} AND (r.element IS NULL OR st.best_group IS NULL OR r.element = st.best_group), false) AS j
+        FROM st JOIN r ON r.sk = st.sk AND r.rn = st.i + 1))
+    SELECT sk, t0, t1, n, total, best_size, best_group FROM st QUALIFY row_number() OVER (PARTITION BY sk, c ORDER BY i DESC) = 1""")
 def f1_paste_clusters(spark, sf_dir):
     rows = of_kind(events(spark, sf_dir), "purchase").select(
         "sk", "ord", "t_ms", F.col("t_ms").alias("end_ms"), F.floor("value").alias("chars"), (F.col("k") % 5).alias("element")
@@ -407,38 +417,57 @@ def f1_paste_clusters(spark, sf_dir):
     return folds.cluster_by_largest(rows, ["sk"], gap_ms=60 * HOUR)
 
 
-@query()
+def greedy_sql(a: str, b: str, near: str) -> str:
+    """Rows of kind ``a`` in order take the unused row of kind ``b`` that is nearest in time: one step of recursion a row."""
+    return f"""+ ga AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY t_ms, ord) AS rn FROM ev WHERE kind = '{a}'),
+    st AS (SELECT DISTINCT sk, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS b_ord FROM ga
+    UNION ALL SELECT sk, i + 1, CASE WHEN b IS NULL THEN used ELSE list_append(used, b) END, o, b FROM (
+        SELECT st.sk, st.i, st.used, a.ord AS o, b.ord AS b, row_number() OVER (PARTITION BY st.sk ORDER BY CASE WHEN b.ord IS NULL THEN 1 ELSE 0 END, abs(b.t_ms - a.t_ms), b.t_ms, b.ord) AS pick
+        FROM st JOIN ga a ON a.sk = st.sk AND a.rn = st.i + 1 LEFT JOIN ev b ON b.sk = a.sk AND b.kind = '{b}' AND {near} AND NOT list_contains(st.used, b.ord)) WHERE pick = 1)
+    SELECT sk, ord, b_ord FROM st WHERE b_ord IS NOT NULL"""
+
+
+@query(greedy_sql("purchase", "click", f"b.k % 5 = a.k % 5 AND b.t_ms - a.t_ms BETWEEN 0 AND {30 * HOUR} AND floor(b.value) * 10 >= floor(a.value) * 7"))
 def f2_paste_delete_pairs(spark, sf_dir):
     """A deletion within 30 hours that removes at least 70 % of what a paste on the same element added; each is used once."""
     rows = events(spark, sf_dir).withColumn("element", F.col("k") % 5).withColumn("chars", F.floor("value")).select("sk", "ord", "kind", "t_ms", "element", "chars")
     near = lambda x, y: (y["element"] == x["element"]) & (y["t_ms"] >= x["t_ms"]) & (y["t_ms"] - x["t_ms"] <= 30 * HOUR) & (y["chars"] * 10 >= x["chars"] * 7)
     fields = ["t_ms", "ord", "element", "chars"]
-    return folds.greedy_pairs(of_kind(rows, "purchase"), of_kind(rows, "click"), ["sk"], near, lambda x, y: y["t_ms"] - x["t_ms"], fields, fields, "ord", "ord")
+    return folds.greedy_pairs(of_kind(rows, "purchase"), of_kind(rows, "click"), ["sk"], near, lambda x, y: y["t_ms"] - x["t_ms"], fields, fields, "ord", "ord", around(0, 30 * HOUR))
+
+
+def around(before: int, after: int):
+    """The window of times that a row can pair with."""
+    return lambda a: (F.col("t_ms") - before, F.col("t_ms") + after)
 
 
-@query()
+@query(greedy_sql("error", "signup", "b.t_ms > a.t_ms"))
 def f4_blur_focus_pairs(spark, sf_dir):
     rows = events(spark, sf_dir).select("sk", "ord", "kind", "t_ms")
     return folds.next_unused(of_kind(rows, "error"), of_kind(rows, "signup"), ["sk"])
 
 
-@query()
+@query(greedy_sql("view", "purchase", f"abs(b.t_ms - a.t_ms) <= {20 * HOUR}"))
 def f5_gaze_input_pairs(spark, sf_dir):
     rows = events(spark, sf_dir).select("sk", "ord", "kind", "t_ms")
     near = lambda x, y: F.abs(y["t_ms"] - x["t_ms"]) <= 20 * HOUR
-    return folds.greedy_pairs(of_kind(rows, "view"), of_kind(rows, "purchase"), ["sk"], near, lambda x, y: F.abs(y["t_ms"] - x["t_ms"]), ["t_ms", "ord"], ["t_ms", "ord"], "ord", "ord")
+    return folds.greedy_pairs(of_kind(rows, "view"), of_kind(rows, "purchase"), ["sk"], near, lambda x, y: F.abs(y["t_ms"] - x["t_ms"]), ["t_ms", "ord"], ["t_ms", "ord"], "ord", "ord", around(20 * HOUR, 20 * HOUR))
 
 
-@query()
+@query(f"""+ r AS (SELECT sk, t_ms AS s, t_ms + {HOUR} AS e, row_number() OVER (PARTITION BY sk ORDER BY t_ms, ord) AS rn FROM ev WHERE kind = 'error'),
+    st AS (SELECT sk, rn AS i, rn AS c, s AS t0, e AS t1, CAST(1 AS BIGINT) AS n FROM r WHERE rn = 1
+    UNION ALL SELECT sk, rn, CASE WHEN j THEN c ELSE rn END, CASE WHEN j THEN t0 ELSE s END, CASE WHEN j THEN greatest(t1, e) ELSE e END, CASE WHEN j THEN n + 1 ELSE 1 END
+        FROM (SELECT st.*, r.rn, r.s, r.e, r.s - st.t1 <= {30 * HOUR} AND greatest(st.t1, r.e) - st.t0 <= {90 * HOUR} AS j FROM st JOIN r ON r.sk = st.sk AND r.rn = st.i + 1))
+    SELECT sk, t0, t1, n FROM st QUALIFY row_number() OVER (PARTITION BY sk, c ORDER BY i DESC) = 1""")
 def f7_seed_clusters(spark, sf_dir):
     rows = of_kind(spans(spark, sf_dir), "error").withColumn("end_ms", F.col("start_ms") + HOUR)
     return folds.capped_clusters(rows, ["sk"], gap_ms=30 * HOUR, span_ms=90 * HOUR)
 
 
-@query()
+@query(greedy_sql("signup", "error", f"b.k % 2 = a.k % 2 AND abs(b.t_ms - a.t_ms) <= {90 * HOUR}"))
 def f8_track_match(spark, sf_dir):
     """Each finding of track A takes the nearest compatible unused finding of track B within 90 hours."""
     rows = events(spark, sf_dir).select("sk", "ord", "kind", "t_ms", (F.col("k") % 2).alias("family"))
     near = lambda x, y: (x["family"] == y["family"]) & (F.abs(y["t_ms"] - x["t_ms"]) <= 90 * HOUR)
     fields = ["t_ms", "ord", "family"]
-    return folds.greedy_pairs(of_kind(rows, "signup"), of_kind(rows, "error"), ["sk"], near, lambda x, y: F.abs(y["t_ms"] - x["t_ms"]), fields, fields, "ord", "ord")
+    return folds.greedy_pairs(of_kind(rows, "signup"), of_kind(rows, "error"), ["sk"], near, lambda x, y: F.abs(y["t_ms"] - x["t_ms"]), fields, fields, "ord", "ord", around(90 * HOUR, 90 * HOUR))

@@ -30,7 +30,7 @@ def query(sql: str | None = None, name: str | None = None):
         QUERIES[key] = f
         if sql:
             body = sql.strip()
-            ORACLES[key] = f"WITH {EV}{',' if body.startswith('+') else ''} {body.removeprefix('+').strip()}"
+            ORACLES[key] = f"WITH RECURSIVE {EV}{',' if body.startswith('+') else ''} {body.removeprefix('+').strip()}"
         return f
 
     return note

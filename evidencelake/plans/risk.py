@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencelake.operators import folds
-from evidencelake.operators.joins import exclude_between, first_match, follow, overlap, same_or_missing
+from evidencelake.operators import folds, joins
+from evidencelake.operators.joins import first_match, overlaps, same_or_missing, where_met
+
+#: Event tables are few rows a session and partitioned by it (see ``by_session``), so a session's rows meet without an exchange.
+follow, overlap = partial(joins.follow, bucketed=False), partial(joins.overlap, bucketed=False)
 
 #: Weights of the factors (fixed values).
 WEIGHTS = {
@@ -48,7 +52,6 @@ class Config:
     correction_lead: int = 5_000
     correction_lag: int = 15_000
     bucket: int = 30_000
-    width: int = 3_600_000
     large_chars: int = 200
 
 
@@ -82,6 +85,16 @@ def detector(f: Detector) -> Detector:
     return f
 
 
+def by_session(rows: DataFrame) -> DataFrame:
+    """The same rows, gathered once by session.
+
+    All tables that are cut from the result share this one exchange, and what they are joined, windowed and grouped by
+    begins with the session, so nothing is exchanged again.
+    """
+    gathered = rows.groupBy("sk").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "sk"])).alias("rows"))
+    return gathered.select("sk", F.inline("rows"))
+
+
 def contribution(df: DataFrame, factor: str, intensity: Column | float, t0: str | Column, t1: str | Column, q: str | Column | None = None) -> DataFrame:
     amount = F.lit(intensity) if isinstance(intensity, float) else intensity
     score = F.floor(F.least(F.lit(1.0), F.greatest(F.lit(0.0), amount)) * float(1000 * WEIGHTS[factor])).cast("bigint")
@@ -100,10 +113,10 @@ def earliest(pairs: DataFrame) -> DataFrame:
     return first_match(pairs, ["sk", "b_ord"], ["start_ms", "ord"])
 
 
-def inside(question: DataFrame, paste: DataFrame, config: Config, how: str) -> DataFrame:
-    """Questions with ("left_semi") or without ("left_anti") a paste inside their window on the same question."""
-    hits = overlap(question, paste, ["sk"], width=config.width, condition=same_or_missing(F.col("q"), F.col("b_q")))
-    return question.join(hits.select("sk", "ord").distinct(), ["sk", "ord"], how)
+def inside(question: DataFrame, paste: DataFrame, met: bool) -> DataFrame:
+    """Questions with or without a paste inside their window on the same question."""
+    meets = overlaps(F.col("start_ms"), F.col("end_ms"), F.col("b_start_ms"), F.col("b_end_ms")) & same_or_missing(F.col("q"), F.col("b_q"))
+    return where_met(question, paste, ["sk"], meets, met)
 
 
 @detector
@@ -121,9 +134,9 @@ def d2_idle_then_large_paste(e: EventTables) -> DataFrame:
 @detector
 def d3_video_overlap(e: EventTables) -> DataFrame:
     seen = e.phone.unionByName(e.person)
-    blurred = follow(e.blur, e.paste, ["sk"], e.config.blur_to_paste).select("sk", F.col("b_ord").alias("ord")).distinct()
-    pastes = e.paste.join(blurred, ["sk", "ord"], "left_semi")
-    meet = lambda rows: overlap(seen, rows, ["sk"], pad_ms=e.config.pad, width=e.config.width)
+    lag = F.col("start_ms") - F.col("b_end_ms")
+    pastes = where_met(e.paste, e.blur, ["sk"], (lag >= 0) & (lag <= e.config.blur_to_paste))
+    meet = lambda rows: overlap(seen, rows, ["sk"], pad_ms=e.config.pad)
     first = first_match(meet(pastes), ["sk", "ord"], ["b_start_ms", "b_ord"])
     return contribution(first, "video_overlap_paste", 0.8, "start_ms", "b_start_ms", "b_q").unionByName(
         contribution(meet(e.submission), "video_overlap_submission", 0.8, "start_ms", "b_start_ms", "b_q")
@@ -134,19 +147,19 @@ def d3_video_overlap(e: EventTables) -> DataFrame:
 def d4_gaze_off_then_input(e: EventTables) -> DataFrame:
     inputs = e.answer.unionByName(e.paste, allowMissingColumns=True)
     limit = e.config.gaze_to_input
-    pairs = folds.greedy_pairs(
-        e.gaze, inputs, ["sk"], lambda x, y: (y["start_ms"] >= x["end_ms"]) & (y["start_ms"] - x["end_ms"] <= limit),
-        lambda x, y: y["start_ms"] - x["end_ms"], ["start_ms", "ord", "end_ms"], ["start_ms", "ord"], "ord", "ord",
+    taken = folds.greedy_pairs(
+        e.gaze.withColumn("a", F.struct("start_ms", "end_ms")), inputs.withColumn("b", F.struct("start_ms", "ord", "q")), ["sk"],
+        lambda x, y: (y["start_ms"] >= x["end_ms"]) & (y["start_ms"] - x["end_ms"] <= limit),
+        lambda x, y: y["start_ms"] - x["end_ms"], ["start_ms", "ord", "end_ms", "a"], ["start_ms", "ord", "b"], "a", "b",
+        reach=lambda a: (F.col("start_ms"), F.col("end_ms") + limit),
     )
-    joined = pairs.join(e.gaze.select("sk", "ord", "start_ms", "end_ms"), ["sk", "ord"]).join(
-        inputs.select("sk", F.col("ord").alias("b_ord"), F.col("start_ms").alias("b_start_ms"), F.col("q").alias("b_q")), ["sk", "b_ord"]
-    )
+    joined = taken.select("sk", "a.start_ms", "a.end_ms", F.col("b_b.start_ms").alias("b_start_ms"), F.col("b_b.q").alias("b_q"))
     return contribution(joined, "gaze_off_then_input", faded(limit, 0.4), "start_ms", "b_start_ms", "b_q")
 
 
 @detector
 def d5_improbable_hard_fast_paste(e: EventTables) -> DataFrame:
-    pairs = overlap(e.question.filter("hard"), e.paste, ["sk"], width=e.config.width, condition=same_or_missing(F.col("q"), F.col("b_q")))
+    pairs = overlap(e.question.filter("hard"), e.paste, ["sk"], condition=same_or_missing(F.col("q"), F.col("b_q")))
     last = first_match(pairs, ["sk", "ord"], [F.desc("b_start_ms"), "b_ord"])
     return contribution(last, "improbable_hard_fast_paste", 0.9, "start_ms", "end_ms", "q")
 
@@ -161,34 +174,35 @@ def d6_paste_on_coding_question(e: EventTables) -> DataFrame:
 
 @detector
 def d7_phone_fast_correct(e: EventTables) -> DataFrame:
-    return contribution(overlap(e.phone, e.question, ["sk"], pad_ms=e.config.pad, width=e.config.width), "phone_fast_correct", 0.85, "start_ms", "b_end_ms", "b_q")
+    return contribution(overlap(e.phone, e.question, ["sk"], pad_ms=e.config.pad), "phone_fast_correct", 0.85, "start_ms", "b_end_ms", "b_q")
 
 
 @detector
 def d8_phone_fast_mcq_answers(e: EventTables) -> DataFrame:
-    pairs = overlap(e.phone, e.burst, ["sk"], pad_ms=e.config.pad, width=e.config.width)
+    pairs = overlap(e.phone, e.burst, ["sk"], pad_ms=e.config.pad)
     return contribution(pairs, "phone_fast_mcq_answers", 0.6 + 0.05 * F.col("b_n"), "start_ms", "b_end_ms")
 
 
 @detector
 def d9_gaze_fast_correct(e: EventTables) -> DataFrame:
-    free = inside(e.question, e.paste, e.config, "left_anti")
-    return contribution(overlap(e.gaze, free, ["sk"], width=e.config.width), "gaze_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q")
+    free = inside(e.question, e.paste, False)
+    return contribution(overlap(e.gaze, free, ["sk"]), "gaze_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q")
 
 
 @detector
 def d10_gaze_with_device(e: EventTables) -> DataFrame:
-    return contribution(overlap(e.gaze, e.phone, ["sk"], pad_ms=e.config.device_pad, width=e.config.width), "gaze_with_device", 0.75, "start_ms", "b_end_ms")
+    return contribution(overlap(e.gaze, e.phone, ["sk"], pad_ms=e.config.device_pad), "gaze_with_device", 0.75, "start_ms", "b_end_ms")
 
 
 @detector
 def d11_gaze_then_answer_commit(e: EventTables) -> DataFrame:
     pairs = follow(e.gaze, e.answer, ["sk"], e.config.gaze_to_answer)
     near = first_match(pairs, ["sk", "ord"], ["b_start_ms", "b_ord"])
-    blockers = e.blur.select("sk", F.col("start_ms").alias("t_ms"))
-    free = exclude_between(near, blockers, ["sk"], ["ord"], "end_ms", "b_start_ms", width=e.config.width)
+    near = near.select("sk", "start_ms", "end_ms", F.col("b_start_ms").alias("input_ms"), F.col("b_q").alias("input_q"))
+    between = (F.col("b_start_ms") > F.col("end_ms")) & (F.col("b_start_ms") < F.col("input_ms"))
+    free = where_met(near, e.blur, ["sk"], between, False)
     repeat = F.count("*").over(Window.partitionBy("sk"))
-    return contribution(free.withColumn("n", repeat), "gaze_then_answer_commit", 0.5 + 0.1 * F.least(F.col("n"), F.lit(5)), "start_ms", "b_start_ms", "b_q")
+    return contribution(free.withColumn("n", repeat), "gaze_then_answer_commit", 0.5 + 0.1 * F.least(F.col("n"), F.lit(5)), "start_ms", "input_ms", "input_q")
 
 
 @detector
@@ -220,17 +234,17 @@ def d15_gaze_speech_answer(e: EventTables) -> DataFrame:
 @detector
 def d16_blur_fast_correct(e: EventTables) -> DataFrame:
     ends = lambda rows: rows.withColumn("start_ms", F.col("end_ms"))
-    meet = lambda how: follow(e.blur, ends(inside(e.question, e.paste, e.config, how)), ["sk"], e.config.blur_to_question)
-    return contribution(meet("left_anti"), "blur_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q").unionByName(
-        contribution(meet("left_semi"), "paste_after_blur", 0.95, "start_ms", "b_end_ms", "b_q")
+    meet = lambda met: follow(e.blur, ends(inside(e.question, e.paste, met)), ["sk"], e.config.blur_to_question)
+    return contribution(meet(False), "blur_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q").unionByName(
+        contribution(meet(True), "paste_after_blur", 0.95, "start_ms", "b_end_ms", "b_q")
     )
 
 
 @detector
 def d17_camera_absent_fast_correct(e: EventTables) -> DataFrame:
-    meet = lambda how: overlap(e.absence, inside(e.question, e.paste, e.config, how), ["sk"], width=e.config.width)
-    return contribution(meet("left_anti"), "camera_absent_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q").unionByName(
-        contribution(meet("left_semi"), "paste_after_blur", 0.9, "start_ms", "b_end_ms", "b_q")
+    meet = lambda met: overlap(e.absence, inside(e.question, e.paste, met), ["sk"])
+    return contribution(meet(False), "camera_absent_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q").unionByName(
+        contribution(meet(True), "paste_after_blur", 0.9, "start_ms", "b_end_ms", "b_q")
     )
 
 
@@ -248,7 +262,7 @@ def d19_large_unattributed_gap(e: EventTables) -> DataFrame:
     by = e.question.groupBy("sk", "sec").agg(
         F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("known")
     ).filter(F.col("end_ms") - F.col("start_ms") - F.col("known") >= e.config.unattributed)
-    left = overlap(by, e.blur, ["sk"], pad_ms=e.config.bucket, width=e.config.width).select("sk", "sec", "start_ms", "end_ms").distinct()
+    left = overlap(by, e.blur, ["sk"], pad_ms=e.config.bucket).select("sk", "sec", "start_ms", "end_ms").distinct()
     return contribution(left, "large_unattributed_gap", 0.6, "start_ms", "end_ms")
 
 
@@ -266,12 +280,12 @@ def d21_external_resource_then_paste(e: EventTables) -> DataFrame:
 @detector
 def d22_face_absent_during_input(e: EventTables) -> DataFrame:
     inputs = e.answer.unionByName(e.paste, allowMissingColumns=True)
-    return contribution(overlap(e.absence, inputs, ["sk"], pad_ms=e.config.pad, width=e.config.width), "face_absent_during_input", 0.7, "start_ms", "b_start_ms", "b_q")
+    return contribution(overlap(e.absence, inputs, ["sk"], pad_ms=e.config.pad), "face_absent_during_input", 0.7, "start_ms", "b_start_ms", "b_q")
 
 
 @detector
 def d23_gaze_then_correct_mcq_burst(e: EventTables) -> DataFrame:
-    return contribution(overlap(e.gaze, e.burst, ["sk"], width=e.config.width), "gaze_then_correct_mcq_burst", 0.65, "start_ms", "b_end_ms")
+    return contribution(overlap(e.gaze, e.burst, ["sk"]), "gaze_then_correct_mcq_burst", 0.65, "start_ms", "b_end_ms")
 
 
 @detector
@@ -285,13 +299,13 @@ def d24_speech_coaching_then_fast_correct(e: EventTables) -> DataFrame:
 @detector
 def d25_second_person_then_paste_or_correct(e: EventTables) -> DataFrame:
     pasted = contribution(follow(e.person, e.paste, ["sk"], e.config.absence_to_paste), "second_person_then_paste_or_correct", 0.8, "start_ms", "b_start_ms", "b_q")
-    right = contribution(overlap(e.person, e.question, ["sk"], width=e.config.width), "second_person_then_paste_or_correct", 0.8, "start_ms", "b_end_ms", "b_q")
+    right = contribution(overlap(e.person, e.question, ["sk"]), "second_person_then_paste_or_correct", 0.8, "start_ms", "b_end_ms", "b_q")
     return pasted.unionByName(right)
 
 
 @detector
 def d26_idle_gap_then_fast_correct(e: EventTables) -> DataFrame:
-    pairs = follow(e.gap, inside(e.question, e.paste, e.config, "left_anti"), ["sk"], e.config.gap_to_question)
+    pairs = follow(e.gap, inside(e.question, e.paste, False), ["sk"], e.config.gap_to_question)
     return contribution(pairs, "idle_gap_then_fast_correct", 0.7, "start_ms", "b_end_ms", "b_q")
 
 
@@ -301,18 +315,18 @@ def d27_deterministic_paste_workflow(e: EventTables) -> DataFrame:
     fixed = near.select("sk", "ord", "q", "start_ms").distinct()
     by = fixed.groupBy("sk", "q").agg(F.count("*").alias("n"), F.min("start_ms").alias("t0"), F.max("start_ms").alias("t1")).filter("n >= 2")
     session = e.correction.groupBy("sk").agg(F.count("*").alias("n"), F.min("start_ms").alias("t0"), F.max("start_ms").alias("t1")).filter("n >= 2")
-    rest = session.join(by.select("sk").distinct(), "sk", "left_anti")
+    rest = where_met(session, by, ["sk"], F.lit(True), False)
     return contribution(by, "deterministic_paste_workflow", 0.9, "t0", "t1", "q").unionByName(contribution(rest, "deterministic_paste_workflow", 0.5, "t0", "t1"))
 
 
 @detector
 def d28_interact_speech_input_correct(e: EventTables) -> DataFrame:
     talk = e.person.unionByName(e.speech, allowMissingColumns=True)
-    pairs = overlap(talk, e.question, ["sk"], pad_ms=e.config.pad, width=e.config.width)
     inputs = e.answer.unionByName(e.paste, allowMissingColumns=True)
-    first = overlap(e.question, inputs, ["sk"], pad_ms=e.config.pad, width=e.config.width, condition=same_or_missing(F.col("q"), F.col("b_q")))
-    first = first.groupBy("sk", F.col("ord").alias("b_ord")).agg(F.min("b_start_ms").alias("first_input"))
-    ready = pairs.join(first, ["sk", "b_ord"]).filter(F.col("first_input") >= F.col("start_ms") - 2000)
+    first = overlap(e.question, inputs, ["sk"], pad_ms=e.config.pad, condition=same_or_missing(F.col("q"), F.col("b_q")))
+    answered = first.groupBy("sk", "ord", "start_ms", "end_ms", "q").agg(F.min("b_start_ms").alias("first_input"))
+    pairs = overlap(talk, answered, ["sk"], pad_ms=e.config.pad)
+    ready = pairs.filter(F.col("b_first_input") >= F.col("start_ms") - 2000)
     return contribution(ready, "interact_speech_input_correct", 0.85, "start_ms", "b_end_ms", "b_q")
 
 

@@ -12,12 +12,12 @@ from evidencelake.plans.registry import HOUR, N, events, of_kind, query
 CONFIG = risk.Config(
     blur_to_paste=N, idle_to_paste=N, pad=HOUR, gaze_to_input=N, gaze_to_answer=N, device_pad=HOUR, speech_lead=HOUR, speech_to_question=2 * N,
     speech_to_paste=2 * N, speech_to_input=N, blur_to_question=N, gap_to_question=N, absence_to_paste=N, unattributed=10 * HOUR, correction_lead=HOUR,
-    correction_lag=N, bucket=24 * HOUR, width=12 * HOUR, large_chars=80,
+    correction_lag=N, bucket=24 * HOUR, large_chars=80,
 )
 
 
 def event_tables(spark, sf_dir) -> risk.EventTables:
-    rows = events(spark, sf_dir).filter("t_ms is not null").withColumn("q", F.col("k") % 10).withColumn("sec", F.col("k") % 3)
+    rows = risk.by_session(events(spark, sf_dir).filter("t_ms is not null")).withColumn("q", F.col("k") % 10).withColumn("sec", F.col("k") % 3)
     length = F.floor(F.col("value") * 360_000).cast("bigint")
     point = rows.withColumn("start_ms", F.col("t_ms")).withColumn("end_ms", F.col("t_ms"))
     span = point.withColumn("end_ms", F.col("t_ms") + length)
@@ -83,6 +83,18 @@ def first(src: str, by: str, order: str) -> str:
     return f"(SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY sk, {by} ORDER BY {order}) = 1)"
 
 
+def greedy(a: str, b: str, near: str, cost: str, order: str, ctes: str = "") -> str:
+    """Each row of ``a`` in order takes the unused row of ``b`` with the least cost: (sk, ord, b_ord), one step of recursion a row."""
+    return f"""{ctes}ga AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY {order}) AS rn FROM {a}),
+    st AS (SELECT DISTINCT sk, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS b_ord FROM ga
+    UNION ALL SELECT sk, i + 1, CASE WHEN b IS NULL THEN used ELSE list_append(used, b) END, o, b FROM (
+        SELECT st.sk, st.i, st.used, a.ord AS o, b.ord AS b, row_number() OVER (PARTITION BY st.sk ORDER BY CASE WHEN b.ord IS NULL THEN 1 ELSE 0 END, {cost}, b.{order.split(', ')[0]}, b.ord) AS pick
+        FROM st JOIN ga a ON a.sk = st.sk AND a.rn = st.i + 1 LEFT JOIN {b} b ON b.sk = a.sk AND {near} AND NOT list_contains(st.used, b.ord)) WHERE pick = 1)"""
+
+
+GREEDY_D4 = greedy("gaze", "input", f"b.start_ms - a.end_ms BETWEEN 0 AND {N}", "b.start_ms - a.end_ms", "start_ms, ord")
+D4_FROM = "(SELECT g.sk, g.start_ms, g.end_ms, x.start_ms AS b_start_ms, x.q AS b_q FROM st JOIN gaze g ON g.sk = st.sk AND g.ord = st.ord JOIN input x ON x.sk = st.sk AND x.ord = st.b_ord)"
+
 FADE = "greatest({least}::DOUBLE, 1.0::DOUBLE - (b_start_ms - end_ms) / {within}::DOUBLE)"
 FREE = "(SELECT p.*, count(*) OVER (PARTITION BY p.sk) AS n FROM {near} p WHERE NOT EXISTS (SELECT 1 FROM blur x WHERE x.sk = p.sk AND x.t_ms > p.end_ms AND x.t_ms < p.b_start_ms))"
 c = CONFIG
@@ -91,6 +103,7 @@ SQL = {
     "d2_idle_then_large_paste": emit(first(then("gap", "paste", N), "b_ord", "start_ms, ord"), "idle_then_large_paste", FADE.format(least=0.35, within=N), "start_ms", "b_start_ms", "b_q"),
     "d3_video_overlap": emit(first(meet("(SELECT * FROM phone UNION ALL SELECT * FROM person)", f"(SELECT * FROM paste SEMI JOIN (SELECT sk, b_ord AS ord FROM {then('blur', 'paste', N)}) USING (sk, ord))", HOUR), "ord", "b_start_ms, b_ord"), "video_overlap_paste", "0.8", "start_ms", "b_start_ms", "b_q")
     + " UNION ALL " + emit(meet("(SELECT * FROM phone UNION ALL SELECT * FROM person)", "submission", HOUR), "video_overlap_submission", "0.8", "start_ms", "b_start_ms", "b_q"),
+    "d4_gaze_off_then_input": emit(D4_FROM, "gaze_off_then_input", FADE.format(least=0.4, within=N), "start_ms", "b_start_ms", "b_q"),
     "d5_improbable_hard_fast_paste": emit(first(f"(SELECT {PAIR}, a.q FROM question a JOIN paste b ON a.sk = b.sk AND a.q = b.q AND a.hard AND b.start_ms BETWEEN a.start_ms AND a.end_ms)", "ord", "b_start_ms DESC, b_ord"), "improbable_hard_fast_paste", "0.9", "start_ms", "end_ms", "q"),
     "d6_paste_on_coding_question": emit("(SELECT sk, q, count(*) AS n, min(start_ms) AS t0, max(start_ms) AS t1 FROM paste GROUP BY sk, q HAVING count(*) >= 2 OR max(chars) >= 80)", "paste_on_coding_question", "0.5::DOUBLE + 0.2::DOUBLE * n", "t0", "t1", "q"),
     "d7_phone_fast_correct": emit(meet("phone", "question", HOUR), "phone_fast_correct", "0.85", "start_ms", "b_end_ms", "b_q"),
@@ -120,8 +133,8 @@ SQL = {
 
 
 def _register(name: str, f: risk.Detector) -> None:
-    sql = f"+ {TABLES} {SQL[name]}" if name in SQL else None
-    query(sql, name)(lambda spark, sf_dir: f(event_tables(spark, sf_dir)))
+    more = f", {GREEDY_D4}" if name == "d4_gaze_off_then_input" else ""
+    query(f"+ {TABLES}{more} {SQL[name]}", name)(lambda spark, sf_dir: f(event_tables(spark, sf_dir)))
 
 
 for _name, _f in risk.DETECTORS.items():
@@ -142,24 +155,21 @@ def k3_best_per_bucket(spark, sf_dir) -> DataFrame:
     return risk.dedupe(risk.d1_paste_after_blur(event_tables(spark, sf_dir)), CONFIG.bucket).drop("bucket")
 
 
-ALL_SQL = " UNION ALL ".join(SQL[n] for n in risk.DETECTORS if n in SQL)
+ALL_SQL = " UNION ALL ".join(SQL[n] for n in risk.DETECTORS)
+ALL_BEST = f"{GREEDY_D4}, best AS ({BEST.format(src=ALL_SQL, bucket=24 * HOUR)})"
 
 
-@query(f"+ {TABLES}, best AS ({BEST.format(src=ALL_SQL, bucket=24 * HOUR)}) SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS total_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
+@query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS total_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
 def d30_all_detectors(spark, sf_dir) -> DataFrame:
-    """All window-expressible detectors, deduped and totalled (the greedy one has a query of its own)."""
-    e = event_tables(spark, sf_dir)
-    out = None
-    for name, f in risk.DETECTORS.items():
-        if name in SQL:
-            out = f(e) if out is None else out.unionByName(f(e))
-    return risk.totals(risk.dedupe(out, CONFIG.bucket))
+    """All 28 detectors, deduped and totalled: one exchange of the events by session, and one of the contributions."""
+    return risk.totals(risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket))
 
 
-@query()
+@query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(sum(score_milli) AS BIGINT) AS raw_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
 def d30_every_detector(spark, sf_dir) -> DataFrame:
-    """All 28 detectors, the greedy one too, deduped and totalled; no SQL says what greedy pairing gives."""
-    return risk.totals(risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket))
+    """The same with the uncapped total, which tells sessions apart that the cap makes equal."""
+    best = risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket)
+    return best.groupBy("sk").agg(F.sum("score_milli").alias("raw_milli"), F.count("*").alias("n_contributions"), F.count_distinct("factor_id").alias("n_factors"))
 
 
 @query(f"+ {TABLES}, best AS ({D1_BEST}) SELECT factor_id, CASE WHEN score_milli / 12000.0::DOUBLE >= 0.75 THEN 'red' WHEN score_milli / 12000.0::DOUBLE >= 0.5 THEN 'amber' ELSE 'green' END AS lane, count(*) AS n FROM best GROUP BY 1, 2")

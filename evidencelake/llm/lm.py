@@ -44,9 +44,9 @@ from evidencelake.llm.common import stash
 
 SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 13, 50, 256, 1 << 18
 END = b""  # no word is empty, so this stands for the end of a text
-CONTEXT, DIM, NOISE, SHARED, SEED = 6, 16, 10, 16, 11
+CONTEXT, DIM, NOISE, SHARED, SEED = 5, 16, 10, 12, 11
 #: Tokens of a training step, and tokens scored at a time.
-STEP = 1 << 14
+STEP = 1 << 15
 RATE, START_TOKENS, EPOCHS = 0.1, 400_000, 3
 #: Pieces in which parameters are averaged.
 PIECES = 64
@@ -102,7 +102,7 @@ class Model:
         held = np.zeros(self.groups * self.members)
         held[: self.units] = unit_counts + 0.5
         mass = held.reshape(self.members, self.groups).T
-        self.real = (np.arange(self.groups * self.members) < self.units).reshape(self.members, self.groups).T
+        self.size = np.bincount(np.arange(self.units) % self.groups, minlength=self.groups)  # members that are there
         self.group_share = mass.sum(axis=1) / mass.sum()
         self.member_share = mass / mass.sum(axis=1, keepdims=True)
         rng = np.random.default_rng(SEED)
@@ -143,8 +143,8 @@ class Model:
         scores = q @ self.group.T + self.group_bias
         found = scores[np.arange(len(unit)), group] - log_total(scores)
         for g, own in segments(group):
-            scores = q[own] @ self.member[g].T + self.member_bias[g]
-            found[own] += scores[np.arange(len(scores)), member[own]] - log_total(scores[:, self.real[g]])
+            scores = q[own] @ self.member[g, : self.size[g]].T + self.member_bias[g, : self.size[g]]
+            found[own] += scores[np.arange(len(scores)), member[own]] - log_total(scores)
         out = np.empty(len(unit))
         out[order] = found
         return out / np.log(10)
@@ -195,6 +195,8 @@ class Trainer:
         self.sums = [np.full_like(p, 1e-2) for p in model.parameters]
         self.tokens, self.waiting, self.held = 0, [], 0
         self.group_cdf, self.member_cdf = np.cumsum(model.group_share), np.cumsum(model.member_share, axis=1)
+        against = lambda share: np.log(NOISE * np.maximum(share, 1e-30)).astype(np.float32)
+        self.group_odds, self.member_odds = against(model.group_share), against(model.member_share)
 
     def add(self, units: np.ndarray) -> None:
         self.waiting.append(units)
@@ -207,17 +209,16 @@ class Trainer:
             self.step(padded, inside)
         self.waiting, self.held = [], 0
 
-    def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, share: np.ndarray, cdf: np.ndarray, own: np.ndarray) -> tuple:
-        """Slopes of q, vectors and bias for telling ``own`` from noise of this distribution."""
-        noise = np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(share) - 1)
-        against = np.log(NOISE * np.maximum(share, 1e-30)).astype(np.float32)
-        mine = vectors[own]
-        data = chance((q * mine).sum(axis=1) + (bias - against)[own]) - 1
-        other = chance(q @ vectors[noise].T + (bias - against)[noise]) * np.float32(NOISE / SHARED)
+    def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, odds: np.ndarray, cdf: np.ndarray, own: np.ndarray) -> tuple:
+        """Slopes of q, vectors and bias for telling ``own`` from noise of the distribution with these sums and log odds."""
+        noise = np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(odds) - 1)
+        mine, level = vectors[own], bias - odds
+        data = chance(np.einsum("ij,ij->i", q, mine) + level[own]) - 1
+        other = chance(q @ vectors[noise].T + level[noise]) * np.float32(NOISE / SHARED)
         slope_q = data[:, None] * mine + other @ vectors[noise]
-        chosen = np.zeros((len(share), len(own)), np.float32) if len(share) * len(own) < 1 << 16 else None
         slope_v = np.zeros_like(vectors)
-        if chosen is not None:
+        if len(odds) * len(own) < 1 << 16:
+            chosen = np.zeros((len(odds), len(own)), np.float32)
             chosen[own, np.arange(len(own))] = data
             slope_v += chosen @ q
         else:
@@ -225,7 +226,7 @@ class Trainer:
             starts = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
             slope_v[own[order][starts]] = np.add.reduceat((data[:, None] * q)[order], starts)
         np.add.at(slope_v, noise, other.T @ q)
-        slope_b = (np.bincount(own, data, len(share)) + np.bincount(noise, other.sum(axis=0), len(share))).astype(np.float32)
+        slope_b = (np.bincount(own, data, len(odds)) + np.bincount(noise, other.sum(axis=0), len(odds))).astype(np.float32)
         return slope_q, slope_v, slope_b
 
     def step(self, padded: np.ndarray, inside: np.ndarray) -> None:
@@ -236,11 +237,11 @@ class Trainer:
         order = np.argsort(group, kind="stable")
         inside, group, member = inside[order], group[order], units[order] // m.groups
         q = q[inside]
-        slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, m.group_share, self.group_cdf, group)
+        slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, self.group_odds, self.group_cdf, group)
         adagrad(m.group, sums[2], slope_v)
         adagrad(m.group_bias, sums[4], slope_b)
         for g, own in segments(group):
-            more, slope_v, slope_b = self.contrast(q[own], m.member[g], m.member_bias[g], m.member_share[g], self.member_cdf[g], member[own])
+            more, slope_v, slope_b = self.contrast(q[own], m.member[g], m.member_bias[g], self.member_odds[g], self.member_cdf[g], member[own])
             slope_q[own] += more
             adagrad(m.member[g], sums[3][g], slope_v)
             adagrad(m.member_bias[g], sums[5][g], slope_b)
@@ -258,7 +259,7 @@ class Trainer:
 
 
 def chance(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 1 / (1 + np.exp(-np.maximum(x, -60)))
 
 
 def adagrad(values: np.ndarray, sums: np.ndarray, slope: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:

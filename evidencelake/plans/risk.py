@@ -91,7 +91,7 @@ def by_session(rows: DataFrame) -> DataFrame:
     All tables that are cut from the result share this one exchange, and what they are joined, windowed and grouped by
     begins with the session, so nothing is exchanged again.
     """
-    gathered = rows.groupBy("sk").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "sk"])).alias("rows"))
+    gathered = rows.filter("sk is not null").groupBy("sk").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "sk"])).alias("rows"))
     return gathered.select("sk", F.inline("rows"))
 
 

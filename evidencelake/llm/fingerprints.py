@@ -111,7 +111,7 @@ def order_links(rows: DataFrame) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """The query's result: fingerprints of each text, of its edited text, and likenesses (1 if equal, else 0).
+    """The query's result: fingerprints of each text, of its edited text, likenesses (1 if equal, else 0), and the next document's id.
 
     A text is moved once, to its key; from there it sends the row before it the beginning that this one's edit needs.
     """
@@ -123,13 +123,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = held.filter("times = 1").unionByName(held.filter("times > 1").dropDuplicates(["key", "t1"]))
     gifts = rows.select(
         F.col("prev.key").alias("to_key"), F.col("prev.t1").alias("to_t1"), F.expr("left(text, cast(prev.n div 4 as int))").alias("head"),
-        F.col("key").alias("next_key"), F.col("t1").alias("next_t1"),
+        F.col("key").alias("next_key"), F.col("t1").alias("next_t1"), F.col("doc_id").alias("next_doc_id"),
     )
     met = rows.hint("merge").join(gifts, (F.col("key") == F.col("to_key")) & (F.col("t1") == F.col("to_t1")))
     # of r equal rows the last is followed by the next text, the others by the same text
-    own = F.struct(F.expr("left(text, cast(char_length(text) div 4 as int))").alias("head"), F.col("key").alias("next_key"), F.col("t1").alias("next_t1"))
-    after = F.concat(F.array(F.struct("head", "next_key", "next_t1")), F.array_repeat(own, (F.col("times") - 1).cast("int")))
-    spread = met.filter("times = 1").select("doc_id", "key", "t1", "text", "head", "next_key", "next_t1").unionByName(
+    own = F.struct(F.expr("left(text, cast(char_length(text) div 4 as int))").alias("head"), F.col("key").alias("next_key"), F.col("t1").alias("next_t1"), F.col("doc_id").alias("next_doc_id"))
+    after = F.concat(F.array(F.struct("head", "next_key", "next_t1", "next_doc_id")), F.array_repeat(own, (F.col("times") - 1).cast("int")))
+    spread = met.filter("times = 1").select("doc_id", "key", "t1", "text", "head", "next_key", "next_t1", "next_doc_id").unionByName(
         met.filter("times > 1").select("doc_id", "key", "t1", "text", F.inline(after))
     )
     cut = F.expr("left(text, cast(char_length(text) - char_length(text) div 4 as int))")
@@ -140,7 +140,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         .withColumn("wide", wide_hash(F.col("canon")))
         .withColumn("edited_wide", wide_hash(F.col("edited_canon")))
         .select(
-            "doc_id", "key", "t1", "next_key", "next_t1", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+            "doc_id", "key", "t1", "next_key", "next_t1", "next_doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
             "wide", "edited_wide", F.sha2("canon", 256).alias("sha"), F.sha2("edited_canon", 256).alias("edited_sha"),
             ((F.col("wide") == F.col("edited_wide")) & (F.col("canon") == F.col("edited_canon"))).cast("double").alias("near_edited"),
         )
@@ -156,4 +156,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     mixed = differing_bytes(texts, judged.select("wide")).unionByName(by_digest).distinct()
     found = marked(judged_next.withColumn("near_next", near_next), ["wide", "edited_wide"], [F.col("sha"), F.col("edited_sha")], mixed)
     names = dict(zip(found.columns[-2:], ("fingerprint", "edited_fingerprint"), strict=True))
-    return found.withColumnsRenamed(names).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.withColumnsRenamed(names).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_doc_id")

@@ -54,11 +54,21 @@ def section_id(section_type: Column, title: Column, attempt: Column) -> Column:
 
 
 def epoch_ms(value: Column) -> Column:
-    """Numbers as they are; ISO text with a zone as it says; naive text is five and a half hours ahead of UTC."""
+    """Numbers as they are; ISO text with a zone as it says; naive text is five and a half hours ahead of UTC, whatever the session's zone."""
     number = F.when(value.rlike(r"^\d+(\.\d+)?$"), F.floor(value.try_cast("double")))
     zoned = value.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    ms = F.unix_millis(F.try_to_timestamp(value))
-    return F.coalesce(number, F.when(zoned, ms).otherwise(ms - IST_OFFSET_MS)).cast("long")
+    return F.coalesce(number, F.when(zoned, F.unix_millis(F.try_to_timestamp(value))).otherwise(naive_ms(value) - IST_OFFSET_MS)).cast("long")
+
+
+def naive_ms(value: Column) -> Column:
+    """Milliseconds of a text without a zone, read as UTC."""
+    return F.unix_millis(F.try_to_timestamp(F.concat(F.trim(value), F.lit("Z"))))
+
+
+def submission_ms(value: Column) -> Column:
+    """As ``epoch_ms``; of a naive text the fraction of a second is dropped."""
+    zoned = value.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    return epoch_ms(F.when(zoned, value).otherwise(F.regexp_replace(value, r"(:\d{2})\.\d+$", "$1")))
 
 
 def allowed_urls(urls: Column) -> Column:

@@ -109,3 +109,60 @@ def perception_windows(artifacts: DataFrame, sections: DataFrame, responses: Dat
 def pending(artifacts: DataFrame, stored: DataFrame) -> DataFrame:
     """Chunks that still need an answer."""
     return artifacts.filter("end_ms - start_ms >= 1500").join(stored.select("sk", "chunk_id").distinct(), ["sk", "chunk_id"], "left_anti")
+
+
+def origin_cascade(log_t0: DataFrame, events: DataFrame, chunks: DataFrame) -> DataFrame:
+    """T0 of every session: the log's where it is positive, else the least event time, else the least clock of a video chunk, else 0; with its source."""
+    low = lambda df, c, out: df.filter(F.col(c) > 0).groupBy("sk").agg(F.min(c).alias(out))
+    rows = low(log_t0, "t0_ms", "log_ms").join(events.groupBy("sk").agg(F.min("t_ms").alias("event_ms")), "sk", "full")
+    rows = rows.join(low(chunks, "start_ms", "chunk_ms"), "sk", "full")
+    source = F.when(F.col("log_ms").isNotNull(), "activity_logs").when(F.col("event_ms").isNotNull(), "fallback_events").when(F.col("chunk_ms").isNotNull(), "fallback_chunk_epoch")
+    return rows.select("sk", F.coalesce("log_ms", "event_ms", "chunk_ms", F.lit(0)).alias("t0_ms"), source.alias("t0_source"))
+
+
+def duration_cascade(lengths: DataFrame) -> DataFrame:
+    """Session length from the first source that has one: log (stretched to the media), video, screen, else pages, events and manifest.
+
+    ``lengths``: sk, log_ms, video_ms, screen_ms, pages_ms, event_ms, manifest_ms; null counts as 0.
+    """
+    c = {n: F.coalesce(F.col(f"{n}_ms"), F.lit(0)) for n in ("log", "video", "screen", "pages", "event", "manifest")}
+    length = (
+        F.when(c["log"] > 0, F.greatest(c["log"], c["video"], c["screen"])).when(c["video"] > 0, F.greatest(c["video"], c["screen"])).when(c["screen"] > 0, c["screen"])
+        .otherwise(F.greatest(c["pages"], c["event"], c["manifest"]))
+    )
+    source = F.when(c["log"] > 0, "activity_logs").when(c["video"] > 0, "video_chunks").when(c["screen"] > 0, "screen_chunks").when(c["pages"] > 0, "rrweb_chunks").otherwise("none")
+    return lengths.select("sk", length.alias("duration_ms"), source.alias("duration_source"))
+
+
+def media_index(artifacts: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Artifacts that are media, with the address and section of their chunk."""
+    kind = F.when(F.col("kind") == "video", "video").when(F.col("kind").isin("screenRecording", "screen"), "screen")
+    rows = artifacts.withColumn("evidence_type", kind).filter("evidence_type is not null")
+    return rows.join(chunks.select("sk", "chunk_id", "url", "section_id"), ["sk", "chunk_id"], "left")
+
+
+def reviewed(spans: DataFrame, answers: DataFrame, quiet_confidence: float = 0.7) -> DataFrame:
+    """Every span of a recording with the answers stored for its chunk: quiet chunks are available with nothing seen, others without an answer are holes.
+
+    ``answers``: sk, chunk_id, reviewed and event fields; a reviewed chunk may have none.
+    """
+    joined = spans.join(answers, ["sk", "chunk_id"], "left")
+    there = F.coalesce(F.col("reviewed"), F.lit(False))
+    return joined.withColumn("video_available", there).withColumn("confidence", F.when(there, F.coalesce("confidence", F.lit(quiet_confidence))).otherwise(F.lit(0.0)))
+
+
+def coverage(rows: DataFrame) -> DataFrame:
+    """Chunks, covered chunks and their share, per session."""
+    per = rows.groupBy("sk", "chunk_id").agg(F.bool_or("video_available").alias("covered")).groupBy("sk").agg(F.count("*").alias("total"), F.count_if("covered").alias("covered"))
+    return per.withColumn("coverage_ratio", F.col("covered") / F.greatest(F.lit(1), F.col("total")))
+
+
+def worth_storing(bundles: DataFrame) -> DataFrame:
+    """Bundles that may be stored and used again: some of the recording was seen, or there is none."""
+    return bundles.filter((F.col("coverage_ratio") > 0) | (F.col("total") == 0))
+
+
+def reused(wanted: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sessions whose version hash has a stored bundle, with it, and those that have to be assembled."""
+    kept = stored.select("sk", "version_hash", "total", "covered", "coverage_ratio")
+    return wanted.join(kept, ["sk", "version_hash"]), wanted.join(kept, ["sk", "version_hash"], "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from evidencelake.functions import urls
 from evidencelake.operators import stats
-from evidencelake.plans import deliberate, findings, observed, timeline
+from evidencelake.plans import deliberate, findings, observed, perception, review, risk_queries, timeline
 from evidencelake.plans.decide_queries import GAP, OBS, observations
 from evidencelake.plans.registry import HOUR, events, of_kind, query, spans
 
@@ -482,3 +482,64 @@ def x52_x53_clocks(spark, sf_dir):
     spent = observed.time_spent(F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, (-k - 1).cast("string")).otherwise("soon"))
     chunk = F.concat(F.lit("video-"), F.when(k % 2 == 0, F.col("t_ms").cast("string")).otherwise("x"))
     return known(spark, sf_dir).select("sk", "ord", spent.alias("spent"), F.coalesce(urls.chunk_clock(chunk)["epoch_ms"], F.lit(0)).alias("clock"))
+
+
+def behaviour_inputs(spark, sf_dir):
+    """Blurs and pastes as facts; no questions, findings or screens."""
+    k = F.col("k")
+    kind = F.when(F.col("kind") == "purchase", "LARGE_PASTE").otherwise("WINDOW_BLUR")
+    facts = of_kind(events(spark, sf_dir), "purchase", "error").filter("t_ms is not null").select(
+        "sk", "ord", kind.alias("kind"), F.col("t_ms").alias("start_ms"), F.col("t_ms").alias("end_ms"), (k % 3).cast("string").alias("section_id"), (k % 10).alias("q"), F.floor("value").cast("bigint").alias("chars")
+    )
+    questions = facts.filter("false").select("sk", "start_ms", "end_ms", "section_id", "q")
+    none = facts.filter("false")
+    video = none.select("sk", F.col("start_ms").alias("t0_ms"), F.col("end_ms").alias("t1_ms"), F.col("kind").alias("event_type"), F.col("kind").alias("evidence_ref"))
+    screens = none.select("sk", F.col("kind").alias("event_type"), F.col("start_ms").alias("t0_ms"), F.col("end_ms").alias("t1_ms"), F.lit(1.0).alias("confidence"), F.col("start_ms").alias("peak_ms"))
+    return facts, questions, video, screens
+
+
+OF_FACTS = ("d1_paste_after_blur", "d6_paste_on_coding_question")
+FACTS_ONLY = " UNION ALL ".join(risk_queries.SQL[n] for n in OF_FACTS)
+FACTS_BEST = risk_queries.BEST.format(src=FACTS_ONLY, bucket=24 * HOUR)
+
+
+@query(f"+ {risk_queries.TABLES} SELECT sk, factor_id, t0_ms, t1_ms, q, score_milli FROM ({FACTS_BEST})")
+def t9_behaviour(spark, sf_dir):
+    """Two detectors over the timeline of stored facts: those that blurs and pastes alone can set off."""
+    return review.behaviour(*behaviour_inputs(spark, sf_dir), risk_queries.CONFIG, OF_FACTS)[1]
+
+
+@query(f"""+ {risk_queries.TABLES}, best AS ({FACTS_BEST}), s AS (SELECT DISTINCT sk FROM ev), t AS (SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS m, count(*) AS n FROM best GROUP BY sk), f AS (SELECT sk, count(*) AS n FROM pt WHERE kind IN ('purchase', 'error') AND t_ms IS NOT NULL GROUP BY sk)
+    SELECT s.sk, coalesce(m, 0) AS total_milli, coalesce(t.n, 0) AS n_contributions, coalesce(f.n, 0) AS n_facts, 0 AS n_findings FROM s LEFT JOIN t USING (sk) LEFT JOIN f USING (sk)""")
+def t12_review(spark, sf_dir):
+    """The whole review of all sessions, checked by its score and the sizes of its sections."""
+    facts, questions, video, episodes = behaviour_inputs(spark, sf_dir)
+    found = video.select("sk", "event_type", F.lit("flagged").alias("outcome"), "t0_ms", "t1_ms", F.lit("perc_1").alias("id"))
+    whole = review.review(events(spark, sf_dir).select("sk").distinct(), facts, questions, found, episodes, risk_queries.CONFIG, OF_FACTS)
+    size = lambda c: F.size(c).cast("bigint")
+    return whole.select("sk", "total_milli", "n_contributions", size("facts").alias("n_facts"), size("findings").alias("n_findings"))
+
+
+def perceived(spark, sf_dir):
+    """Camera observations: phones in the hand or beside it, absent faces, people, speech, by kind and number."""
+    k = F.col("k")
+    kind = F.when(F.col("kind") == "view", "phone_visible").when(F.col("kind") == "error", "face_absent").when(F.col("kind") == "signup", "speech").when(F.col("kind") == "purchase", "second_person_present").otherwise("sustained_gaze")
+    attrs = F.create_map(
+        F.lit("objectInHand"), F.when((F.col("kind") == "view") & (k % 5 == 0), "phone").otherwise("UNKNOWN"), F.lit("speechContentClass"), F.when(F.col("kind") == "signup", pick(k, SPEECH)).otherwise("UNKNOWN"),
+        F.lit("conversationSummaryEn"), F.when(k % 2 == 0, "talk").otherwise("UNKNOWN"), F.lit("secondPersonInteracting"), F.when((F.col("kind") == "purchase") & (k % 3 == 0), "yes").otherwise("UNKNOWN"),
+    )
+    rows = known(spark, sf_dir).select(
+        "sk", "ord", F.concat(F.lit("c"), F.col("ord").cast("string")).alias("chunk_id"), F.col("t_ms").alias("start_ms"), (F.col("t_ms") + F.floor(F.col("value") * 360).cast("bigint") + 4000).alias("end_ms"), kind.alias("kind"), attrs.alias("attrs"),
+        (F.col("value") / 100).alias("confidence"), pick(k, ("NONE", "LOW", "MEDIUM", "HIGH")).alias("tier"),
+    )
+    seen = perception.observations(rows, "ord")
+    return seen.withColumn("phase", F.when(F.col("ord") % 7 == 0, "setup_verification").otherwise("live_exam"))
+
+
+@query(f"""+ {KNOWN}, h AS (SELECT sk, ord, k, t_ms AS s, t_ms + CAST(floor(value * 360) AS BIGINT) + 4000 AS f FROM e WHERE kind = 'view' AND ord % 7 <> 0 AND k % 4 <> 0 AND value / 100 >= 0.3),
+    i AS (SELECT *, sum(x) OVER (PARTITION BY sk ORDER BY s, ord) AS isl FROM (SELECT *, CASE WHEN s - lag(f) OVER (PARTITION BY sk ORDER BY s, ord) <= 22000 THEN 0 ELSE 1 END AS x FROM h))
+    SELECT sk, CASE WHEN bool_or(k % 5 = 0) THEN 'flagged' ELSE 'cleared' END AS outcome, min(s) AS t0_ms, max(f) AS t1_ms FROM i GROUP BY sk, isl""")
+def v8_video_findings(spark, sf_dir):
+    """The camera driver from projected events to numbered findings; the oracle says what its phones are."""
+    found = observed.video_findings(observed.observation_flags(perceived(spark, sf_dir)))
+    return found.filter("event_type = 'phone_usage'").select("sk", "outcome", "t0_ms", "t1_ms")

@@ -93,11 +93,11 @@ def r14_r17_merged_findings(spark, sf_dir):
     return merged_findings(spark, sf_dir).select("sk", "ord", "who", "verdict", "weight_10k", confidence.alias("confidence"))
 
 
-@query(f"""+ {MERGED}, s AS (SELECT sk, CAST(least(90, round_even(sum(CASE severity WHEN 'high' THEN 32 WHEN 'medium' THEN 18 ELSE 9 END * weight_10k) / 10000.0::DOUBLE, 0)) AS INT) AS total, CAST(count_if(weight_10k > 0) AS BIGINT) AS driving FROM g WHERE ord % 40 = 0 GROUP BY sk)
+@query(f"""+ {MERGED}, s AS (SELECT sk, CAST(least(90, round_even(sum(CASE severity WHEN 'high' THEN 32 WHEN 'medium' THEN 18 ELSE 9 END * weight_10k) / 10000.0::DOUBLE, 0)) AS INT) AS total, CAST(count_if(weight_10k > 0) AS BIGINT) AS driving FROM g GROUP BY sk)
     SELECT *, CASE WHEN total >= 56 THEN 'Likely Violation' WHEN total >= 26 THEN 'Needs Review' ELSE 'Clear' END AS band FROM s""")
 def a16_band(spark, sf_dir):
-    """One finding in forty; ``a16_band_whole`` scores all."""
-    return decide.composite(merged_findings(spark, sf_dir).filter("ord % 40 = 0"), ["sk"])
+    """Over all findings nearly all sessions reach the cap; ``a16_band_whole`` has the sum before it."""
+    return decide.composite(merged_findings(spark, sf_dir), ["sk"])
 
 
 @query(f"""+ {MERGED}, s AS (SELECT sk, round_even(sum(CASE severity WHEN 'high' THEN 32 WHEN 'medium' THEN 18 ELSE 9 END * weight_10k) / 10000.0::DOUBLE, 0) AS points, CAST(count_if(weight_10k > 0) AS BIGINT) AS driving FROM g GROUP BY sk)

@@ -200,15 +200,19 @@ def fact_bundle(parts: dict[str, DataFrame], screen_mode: bool) -> DataFrame:
 
 
 def timeline(facts: DataFrame, questions: DataFrame, video: DataFrame, screen: DataFrame) -> DataFrame:
-    """The detectors' events in one schema: facts of the timeline's kinds, question windows, flagged camera and screen findings."""
+    """The detectors' events in one schema: facts of the timeline's kinds, question windows, flagged camera and screen findings.
+
+    ``q``, ``chars`` and ``hard`` are taken along where the tables have them.
+    """
+    more = lambda df: [(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in (("q", "bigint"), ("chars", "bigint"), ("hard", "boolean"), ("ord", "bigint"))]
     point = F.when(F.col("end_ms") != F.col("start_ms"), F.col("end_ms"))
     submitted = F.when(F.col("kind") == "CODE_SUBMISSION", "submission").otherwise("fact")
     a = facts.filter(is_in(F.col("kind"), TIMELINE_FACTS)).select(
-        "sk", F.col("start_ms").alias("t_ms"), point.alias("end_ms"), submitted.alias("source"), "kind", "section_id", F.concat(F.lit("fact:"), F.col("ord").cast("string")).alias("evidence_ref")
-    )
+        "sk", F.col("start_ms").alias("t_ms"), point.alias("end_ms"), submitted.alias("source"), "kind", "section_id", F.concat(F.lit("fact:"), F.col("ord").cast("string")).alias("evidence_ref"), *more(facts),
+    )
     b = questions.select(
         "sk", F.col("start_ms").alias("t_ms"), "end_ms", F.lit("sqb").alias("source"), F.lit("SQB_WINDOW").alias("kind"), "section_id",
-        F.concat(F.lit("sqb:s="), F.col("section_id"), F.lit(":q="), F.col("q").cast("string")).alias("evidence_ref"),
+        F.concat(F.lit("sqb:s="), F.col("section_id"), F.lit(":q="), F.col("q").cast("string")).alias("evidence_ref"), *more(questions),
     )
     found = lambda df, source: df.select("sk", F.col("t0_ms").alias("t_ms"), F.col("t1_ms").alias("end_ms"), F.lit(source).alias("source"), F.col("event_type").alias("kind"), "evidence_ref")
     return a.unionByName(b).unionByName(found(video, "perception_episode"), allowMissingColumns=True).unionByName(found(screen, "screen_episode"), allowMissingColumns=True)

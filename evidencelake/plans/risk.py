@@ -6,7 +6,7 @@ thousandths so that sums are exact.  Detectors take their thresholds from ``Conf
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -330,11 +330,11 @@ def d28_interact_speech_input_correct(e: EventTables) -> DataFrame:
     return contribution(ready, "interact_speech_input_correct", 0.85, "start_ms", "b_end_ms", "b_q")
 
 
-def detect_all(e: EventTables) -> DataFrame:
-    """The union of all registered detectors."""
+def detect_all(e: EventTables, names: Sequence[str] | None = None) -> DataFrame:
+    """The union of all registered detectors, or of those named."""
     out = None
-    for f in DETECTORS.values():
-        out = f(e) if out is None else out.unionByName(f(e))
+    for name in DETECTORS if names is None else names:
+        out = DETECTORS[name](e) if out is None else out.unionByName(DETECTORS[name](e))
     return out
 
 

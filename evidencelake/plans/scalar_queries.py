@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.functions import text, urls
+from evidencelake.plans import facts
 from evidencelake.plans.registry import HOUR, events, of_kind, query, spans, table
 
 #: A URL per event: five shapes by kind.
@@ -200,26 +201,31 @@ def x44_clip_anchor(spark, sf_dir):
 # machine facts over text edits
 
 
-@query(f"""+ {TURNS}, d AS (SELECT *, length(text) - length(before) AS delta FROM t)
-    SELECT conv_id, turn, CASE WHEN n = 1 THEN 'TYPING_STARTED' WHEN delta >= 50 THEN 'LARGE_PASTE' WHEN delta <= -10 THEN 'TEXT_CORRECTION' ELSE 'EDIT' END AS fact, coalesce(delta, length(text)) AS delta FROM d""")
+#: Every turn of a conversation is an edit of one field, followed at once by the same text with a blank behind it (a formatter's change).
+EDITS_SQL = """inp AS (SELECT conv_id AS sk, turn * 2 AS ord, turn * 1000 AS t, text FROM conversations WHERE text <> '' UNION ALL SELECT conv_id, turn * 2 + 1, turn * 1000 + 100, text || ' ' FROM conversations WHERE text <> ''),
+    b AS (SELECT *, lag(text) OVER w AS before, row_number() OVER w AS n, t - lag(t) OVER w AS since FROM inp WINDOW w AS (PARTITION BY sk ORDER BY t, ord)), d AS (SELECT *, length(text) - length(before) AS delta FROM b),
+    f AS (SELECT *, CASE WHEN n = 1 THEN 'TYPING_STARTED' WHEN abs(delta) < 50 AND since < 500 AND regexp_replace(before, '[\\s{}()\\[\\]<>;,''"]', '', 'g') = regexp_replace(text, '[\\s{}()\\[\\]<>;,''"]', '', 'g') THEN 'AUTOFORMAT'
+        WHEN delta >= 50 THEN 'LARGE_PASTE' WHEN delta <= -10 THEN 'TEXT_CORRECTION' ELSE 'EDIT' END AS kind FROM d)"""
+
+
+def typed_edits(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").filter("text != ''")
+    both = rows.select(F.col("conv_id").alias("sk"), "turn", F.explode(F.array(F.struct(F.lit(0).alias("i"), F.col("text").alias("v")), F.struct(F.lit(1).alias("i"), F.concat("text", F.lit(" ")).alias("v")))).alias("x"))
+    none = F.lit(None)
+    inputs = both.select("sk", F.lit("field").alias("element"), none.cast("string").alias("section_type"), (2 * F.col("turn") + F.col("x.i")).alias("ord"), (1000 * F.col("turn") + 100 * F.col("x.i")).alias("t_ms"), F.col("x.v").alias("text"), none.cast("boolean").alias("is_checked"))
+    return facts.edit_facts(facts.edits(inputs))
+
+
+@query(f"""+ {EDITS_SQL} SELECT sk, ord, kind, delta FROM f""")
 def m5_m8_edit_facts(spark, sf_dir):
-    delta = (F.char_length("text") - F.char_length("before")).cast("bigint")
-    rows = turns(spark, sf_dir).withColumn("delta", delta)
-    fact = F.when(F.col("n") == 1, "TYPING_STARTED").when(F.col("delta") >= 50, "LARGE_PASTE").when(F.col("delta") <= -10, "TEXT_CORRECTION").otherwise("EDIT")
-    return rows.select("conv_id", "turn", fact.alias("fact"), F.coalesce("delta", F.char_length("text").cast("bigint")).alias("delta"))
+    return typed_edits(spark, sf_dir).select("sk", "ord", "kind", F.col("delta").cast("bigint").alias("delta"))
 
 
-@query(f"""+ {TURNS}, d AS (SELECT *, length(text) - coalesce(length(before), 0) AS delta FROM t)
-    SELECT conv_id, count(*) AS n_edits, CAST(coalesce(sum(delta) FILTER (delta > 0 AND delta < 50), 0) AS BIGINT) AS chars_inserted, CAST(count_if(delta > 0) AS BIGINT) AS n_inserts,
-    CAST(count_if(delta < 0) AS BIGINT) AS n_deletes, max(length(text)) AS peak_length, arg_max(length(text), turn) AS final_length FROM d GROUP BY conv_id""")
+@query(f"""+ {EDITS_SQL}, g AS (SELECT *, kind <> 'AUTOFORMAT' AS counted FROM f)
+    SELECT sk, min(t) AS start_ms, max(t) AS end_ms, CAST(coalesce(sum(delta) FILTER (counted AND delta > 0 AND delta < 50), 0) AS BIGINT) AS inserted, CAST(count_if(counted AND delta > 0) AS BIGINT) AS insertions, CAST(count_if(counted AND delta < 0) AS BIGINT) AS deletions,
+    max(length(text)) AS peak, arg_max(length(text), (t, ord)) AS final FROM g GROUP BY sk""")
 def m9_typing_stopped(spark, sf_dir):
-    delta = (F.char_length("text") - F.coalesce(F.char_length("before"), F.lit(0))).cast("bigint")
-    rows = turns(spark, sf_dir).withColumn("delta", delta).withColumn("len", F.char_length("text").cast("bigint"))
-    small = F.when((F.col("delta") > 0) & (F.col("delta") < 50), F.col("delta"))
-    return rows.groupBy("conv_id").agg(
-        F.count("*").alias("n_edits"), F.coalesce(F.sum(small), F.lit(0)).alias("chars_inserted"), F.count_if(F.col("delta") > 0).alias("n_inserts"),
-        F.count_if(F.col("delta") < 0).alias("n_deletes"), F.max("len").alias("peak_length"), F.max_by("len", "turn").alias("final_length"),
-    )
+    return facts.typing_stopped(typed_edits(spark, sf_dir)).select("sk", "start_ms", "end_ms", "inserted", "insertions", "deletions", F.col("peak").cast("bigint").alias("peak"), F.col("final").cast("bigint").alias("final"))
 
 
 @query("""+ a AS (SELECT sk, ord, t_ms, k, CASE WHEN kind = 'signup' THEN 'full' WHEN kind = 'error' THEN 'anchor' WHEN kind = 'click' THEN 'count' END AS role FROM ev),

@@ -42,12 +42,12 @@ from pyspark.sql import functions as F
 
 from evidencelake.llm.common import stash
 
-SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 13, 50, 256, 1 << 18
+SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 12, 50, 256, 1 << 18
 END = b""  # no word is empty, so this stands for the end of a text
 CONTEXT, DIM, NOISE, SHARED, SEED = 5, 16, 10, 12, 11
 #: Tokens of a training step, and tokens scored at a time.
 STEP = 1 << 15
-RATE, START_TOKENS, EPOCHS = 0.1, 400_000, 3
+RATE, START_TOKENS, EPOCHS = 0.1, 1_000_000, 4
 #: Pieces in which parameters are averaged.
 PIECES = 64
 #: Distinct tokens that a counting task holds before it sends them on.
@@ -190,9 +190,9 @@ def log_total(scores: np.ndarray) -> np.ndarray:
 class Trainer:
     """Adagrad steps of noise-contrastive estimation; noise is drawn anew for every step and shared by its tokens."""
 
-    def __init__(self, model: Model, seed: int):
+    def __init__(self, model: Model, seed: int, sums: list[np.ndarray] | None = None):
         self.model, self.rng = model, np.random.default_rng([SEED, seed & 0xFFFFFFFF])
-        self.sums = [np.full_like(p, 1e-2) for p in model.parameters]
+        self.sums = [x.copy() for x in sums] if sums else [np.full_like(p, 1e-2) for p in model.parameters]
         self.tokens, self.waiting, self.held = 0, [], 0
         self.group_cdf, self.member_cdf = np.cumsum(model.group_share), np.cumsum(model.member_share, axis=1)
         against = lambda share: np.log(NOISE * np.maximum(share, 1e-30)).astype(np.float32)
@@ -346,11 +346,11 @@ def numbered(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndar
     return numbers, units, rare
 
 
-def started(texts: DataFrame, vocab: Vocabulary) -> Model:
-    """The model trained on a sample of the texts with about ``START_TOKENS`` tokens."""
-    model = Model(vocab.unit_counts)
+def started(texts: DataFrame, vocab: Vocabulary) -> Trainer:
+    """The model trained on a sample of the texts with about ``START_TOKENS`` tokens, in its trainer."""
+    trainer, rng = Trainer(Model(vocab.unit_counts), 0), np.random.default_rng(SEED)
     if not vocab.train_tokens:
-        return model
+        return trainer
     sent = texts.sparkSession.sparkContext.broadcast(vocab)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,22 +362,22 @@ def started(texts: DataFrame, vocab: Vocabulary) -> Model:
     chosen = texts if share >= 1 else texts.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(share * (1 << 30)))
     found = sorted(x.as_py() for x in chosen.mapInArrow(task, "units binary").toArrow()["units"])
     held = [np.frombuffer(x, np.int32).astype(np.int64) for x in found]
-    trainer, rng = Trainer(model, 0), np.random.default_rng(SEED)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(held)):
             trainer.add(held[i])
         trainer.flush()
-    return model
+    return trainer
 
 
-def improved(texts: DataFrame, vocab: Vocabulary, model: Model) -> Model:
+def improved(texts: DataFrame, vocab: Vocabulary, start: Trainer) -> Model:
     """The model after every task has gone on with all the tokens of ``texts`` that it reads: the mean of theirs, by tokens."""
-    sent = texts.sparkSession.sparkContext.broadcast((vocab, model))
+    model = start.model
+    sent = texts.sparkSession.sparkContext.broadcast((vocab, model, start.sums))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model = sent.value
+        vocab, model, sums = sent.value
         model = copy.deepcopy(model)
-        trainer = Trainer(model, TaskContext.get().partitionId() + 1)
+        trainer = Trainer(model, TaskContext.get().partitionId() + 1, sums)  # steps go on as short as they have become
         for batch in batches:
             for value in batch.column(0):
                 trainer.add(numbered(tokens(value.as_py()), vocab)[1])

@@ -344,10 +344,12 @@ def dedupe(contributions: DataFrame, bucket_ms: int) -> DataFrame:
     return first_match(rows, ["sk", "factor_id", "q", "bucket"], [F.desc("score_milli"), "t0_ms", "t1_ms"])
 
 
-def totals(contributions: DataFrame, cap: int = 100) -> DataFrame:
+def totals(contributions: DataFrame, cap: int = 100, raw: bool = False) -> DataFrame:
+    """Capped score, number of contributions and of factors per session; ``raw`` adds the sum before the cap."""
+    whole = F.sum("score_milli")
+    more = [whole.cast("bigint").alias("raw_milli")] if raw else []
     return contributions.groupBy("sk").agg(
-        F.least(F.lit(cap * 1000), F.sum("score_milli")).cast("bigint").alias("total_milli"), F.count("*").alias("n_contributions"),
-        F.count_distinct("factor_id").alias("n_factors"),
+        F.least(F.lit(cap * 1000), whole).cast("bigint").alias("total_milli"), *more, F.count("*").alias("n_contributions"), F.count_distinct("factor_id").alias("n_factors")
     )
 
 

@@ -165,11 +165,11 @@ def d30_all_detectors(spark, sf_dir) -> DataFrame:
     return risk.totals(risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket))
 
 
-@query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(sum(score_milli) AS BIGINT) AS raw_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
+@query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS total_milli, CAST(sum(score_milli) AS BIGINT) AS raw_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
 def d30_every_detector(spark, sf_dir) -> DataFrame:
     """The same with the uncapped total, which tells sessions apart that the cap makes equal."""
     best = risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket)
-    return best.groupBy("sk").agg(F.sum("score_milli").alias("raw_milli"), F.count("*").alias("n_contributions"), F.count_distinct("factor_id").alias("n_factors"))
+    return risk.totals(best, raw=True)
 
 
 @query(f"+ {TABLES}, best AS ({D1_BEST}) SELECT factor_id, CASE WHEN score_milli / 12000.0::DOUBLE >= 0.75 THEN 'red' WHEN score_milli / 12000.0::DOUBLE >= 0.5 THEN 'amber' ELSE 'green' END AS lane, count(*) AS n FROM best GROUP BY 1, 2")

@@ -119,7 +119,11 @@ def excerpts_in(items: DataFrame, docs: DataFrame) -> DataFrame:
     items, docs = items.filter(F.char_length("e") >= 20), docs.filter(F.char_length("s") >= 20)
     middle = F.when(F.char_length("e") >= 40, F.substring("e", 6, 20)).otherwise(F.substring("e", 1, 20))
     excerpts = keyed(items.select("item_id", middle.alias("t")), "item_id").join(items, "item_id").select("item_id", "key", "e")
-    found = keyed(docs.select("doc_id", F.col("s").alias("t")), "doc_id").join(excerpts, "key").select("item_id", "doc_id", "e").distinct()
+    # at most 2 ** 18 cells whatever the input, so they may be broadcast: most keys of texts go no further while excerpts are few
+    cell = F.pmod("key", F.lit(1 << 18)).alias("cell")
+    cells = F.broadcast(excerpts.select(cell).distinct())
+    keys = keyed(docs.select("doc_id", F.col("s").alias("t")), "doc_id").select("doc_id", "key", cell).join(cells, "cell", "left_semi")
+    found = keys.join(excerpts, "key").select("item_id", "doc_id", "e").distinct()
     hits = found.join(docs, "doc_id").filter(text.excerpt_in(F.col("e"), F.col("s")))
     return hits.select("item_id", "doc_id")
 

@@ -4,7 +4,8 @@ Texts become sets of hashed n-grams of words (five by default).  The numbers of
 recall at the threshold.  Equal texts, known by two 64-bit hashes, are one node, whatever their ids.  Nodes that share a band
 hash meet in its bucket, where pairs whose sizes or whose minimum hashes rule out the threshold are passed over; each node sends one edge to the least
 node it may be linked with, and connected components of these edges are the groups inside which all links must lie.
-(A bucket of more than ``BUCKET`` nodes counts as one group unseen.)  Each group then meets in tasks of at most two blocks of about ``BLOCK`` nodes,
+A bucket of more than ``BUCKET`` nodes, such as a template line makes, is split first by triples of the other minimum hashes, which
+all linked pairs but one in a thousand million share; what is still as large then is a group of near copies.  Each group meets in tasks of at most two blocks of about ``BLOCK`` nodes,
 cut by the sets' sizes, where all n-gram sets are intersected exactly as one sparse matrix product.  Tasks emit per node
 its number of links and one edge to the least node it is linked with, not pairs, so the result is linear in the nodes
 while no link is lost.
@@ -17,7 +18,7 @@ document by itself; the id of a class or text is the least of its ids, null if a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from evidencelake.llm.groups import runs_of
 N, THRESHOLD, RECALL, MAX_HASHES, SEED = 5, 0.8, 0.9995, 128, 5
 #: Nodes in a block; a task of the verification holds the sets of two blocks at most.
 BLOCK = 256
-#: Nodes in a bucket whose minimum hashes are compared; a larger bucket is one group as it is.
+#: Nodes in a bucket whose minimum hashes are compared by one task; a larger bucket is split by further hashes.
 BUCKET = 1024
+#: Minimum hashes in each further key.
+FINER = 3
 NO_ID = -(1 << 63)
 
 
@@ -184,13 +187,36 @@ def least_labels(linked: np.ndarray, node: np.ndarray) -> np.ndarray:
     return out
 
 
-def groups(nodes: DataFrame, threshold: float, hashes: int) -> DataFrame:
-    """(node, root) of the candidate groups with two nodes or more; ``nodes`` has node, size, bands, low."""
-    rows = nodes.select("node", F.explode("bands").alias("band"))
+def rows_of_band(rows: int) -> Callable[[Column, int], Column]:
+    """Whether the g-th run of ``FINER`` hashes holds hashes of the band at a position."""
+    return lambda pos, g: (F.lit(FINER * (g + 1)) > pos * rows) & (F.lit(FINER * g) < (pos + 1) * rows)
+
+
+def buckets(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (node, band) of the bands with two nodes or more, plus their least node (hub) and number (n)."""
     hubs = rows.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("n")).filter("hub != top")
-    shared = stash(rows.join(hubs.select("band", "hub", "n"), "band"), "shared-bands")
-    small = shared.filter(F.col("n") <= BUCKET).select("node", "band").join(nodes.select("node", "size", "low"), "node").select("band", "node", "size", "low")
-    edges = close_edges(small, threshold, hashes).unionByName(shared.filter(F.col("n") > BUCKET).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    return stash(rows.join(hubs.select("band", "hub", "n"), "band"), name)
+
+
+def compared(shared: DataFrame, nodes: DataFrame, threshold: float, hashes: int) -> DataFrame:
+    """Edges inside the buckets that one task compares."""
+    small = shared.filter(F.col("n") <= BUCKET).select("node", "band").join(nodes.select("node", "size", "low"), "node")
+    return close_edges(small.select("band", "node", "size", "low"), threshold, hashes)
+
+
+def groups(nodes: DataFrame, threshold: float, hashes: int, holds: Callable[[Column, int], Column]) -> DataFrame:
+    """(node, root) of the candidate groups with two nodes or more; ``nodes`` has node, size, bands, low.
+
+    ``holds`` tells which runs of ``FINER`` hashes a band's key is made of: these split its bucket no further.
+    """
+    shared = buckets(nodes.select("node", F.explode("bands").alias("band")), "shared-bands")
+    hot = shared.filter(F.col("n") > BUCKET).select("node", "band").join(nodes.select("node", "bands", "low"), "node")
+    pos = F.array_position("bands", F.col("band")) - 1
+    key = lambda g: F.xxhash64("band", F.lit(g), F.substring("low", 2 * FINER * g + 1, 2 * FINER))
+    finer = F.array(*[F.when(~holds(pos, g), key(g)) for g in range(hashes // FINER)])
+    split = buckets(hot.select("node", F.explode(F.array_compact(finer)).alias("band")), "split-bands")
+    dense = split.filter(F.col("n") > BUCKET).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    edges = compared(shared, nodes, threshold, hashes).unionByName(compared(split, nodes, threshold, hashes)).unionByName(dense)
     found = components(edges, "candidate-groups")
     return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
 
@@ -241,21 +267,24 @@ def block_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """``members`` (node, grp, size, ...) once for each pair of blocks they have to meet in: plus lo, hi and blk.
 
     A group of more than ``BLOCK`` nodes is cut by size class, each class into blocks of about ``BLOCK`` nodes.  Sizes of
-    linked texts differ by less than one step between classes, so a block meets its own class and the two beside it.
+    linked texts differ by less than one step between classes, so a block meets its own class and the two beside it.  Where
+    ``members`` has a column open, two nodes meet only if one of them is open.
     """
+    if "open" not in members.columns:
+        members = members.withColumn("open", F.lit(True))
     # what is joined to the members is written first: small tables are broadcast by their size, and a hot group's members are split otherwise
     total = stash(members.groupBy("grp").agg(F.count("*").alias("total")), "group-sizes")
     step = F.floor(F.log(F.col("size")) / F.lit(-math.log(threshold))).cast("int") if threshold < 1 else F.col("size")
     rows = members.join(total, "grp").withColumn("cls", F.when(F.col("total") > BLOCK, step).otherwise(F.lit(0)))
-    cells = rows.groupBy("grp", "cls").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    beside = cells.select("grp", "blocks", F.col("cls").alias("other"), F.explode(F.sequence(F.col("cls") - 1, F.col("cls") + 1)).alias("cls"))
-    own = cells.withColumnRenamed("blocks", "own_blocks").join(beside, ["grp", "cls"]).groupBy("grp", "cls", "own_blocks")
-    met = rows.join(stash(own.agg(F.collect_list(F.struct("other", "blocks")).alias("near")), "group-blocks"), ["grp", "cls"])
-    code = lambda cls, blk: (F.shiftleft(cls.cast("long"), 32) + blk).cast("long")
+    cells = rows.groupBy("grp", "cls", "open").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    beside = cells.select("grp", "blocks", F.struct("cls", "open").alias("other"), F.explode(F.sequence(F.col("cls") - 1, F.col("cls") + 1)).alias("cls"))
+    own = cells.withColumnRenamed("blocks", "own_blocks").join(beside, ["grp", "cls"]).filter(F.col("open") | F.col("other.open")).groupBy("grp", "cls", "open", "own_blocks")
+    met = rows.join(stash(own.agg(F.collect_list(F.struct("other", "blocks")).alias("near")), "group-blocks"), ["grp", "cls", "open"])
+    code = lambda cls, is_open, blk: (F.shiftleft(2 * cls.cast("long") + is_open.cast("long"), 32) + blk).cast("long")
     blk = F.pmod(F.xxhash64("node"), F.col("own_blocks").cast("long"))
-    others = F.flatten(F.transform("near", lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda b: code(c["other"], b))))
-    spread = met.withColumn("blk", code(F.col("cls"), blk)).withColumn("with", F.explode(others))
-    return spread.withColumn("lo", F.least("blk", "with")).withColumn("hi", F.greatest("blk", "with")).drop("total", "cls", "own_blocks", "near", "with")
+    others = F.flatten(F.transform("near", lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda b: code(c["other"]["cls"], c["other"]["open"], b))))
+    spread = met.withColumn("blk", code(F.col("cls"), F.col("open"), blk)).withColumn("with", F.explode(others))
+    return spread.withColumn("lo", F.least("blk", "with")).withColumn("hi", F.greatest("blk", "with")).drop("total", "cls", "open", "own_blocks", "near", "with")
 
 
 def classified(
@@ -272,7 +301,7 @@ def classified(
         F.min("id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low")
     )
     nodes = stash(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
-    grouped = groups(nodes, threshold, bands * rows)
+    grouped = groups(nodes, threshold, bands * rows, rows_of_band(rows))
     members = grouped.withColumnRenamed("root", "grp").join(nodes.select("node", "copies", "size", "least", "t1", "t2"), "node")
     members = stash(members, "members")
 

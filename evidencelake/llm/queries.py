@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidencelake.llm import bpe, fingerprints, lm, ngram_join, packing, quality, secret_scan, sharding, substring, toxicity
+from evidencelake.llm import bpe, filter_audit, fingerprints, lm, ngram_join, packing, quality, secret_scan, sharding, source_audit, substring, tensored, toxicity
 from evidencelake.llm.common import documents, table
 
 
@@ -62,10 +62,22 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergences(documents(spark, sf_dir))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensored.near_dedup(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return out | {"packing_conversations": packing_conversations}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_source_divergence": source_audit.ORACLE, "op12_filter_interaction": filter_audit.ORACLE}

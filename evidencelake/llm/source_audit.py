@@ -82,6 +82,7 @@ class Forest:
     """Hash-consed segment trees over positions 0 to ``size`` - 1, and prices of pairs of their nodes.
 
     Nodes are numbers; a leaf stands for a count, 0 for the absence of positions.  A tree is as high as the size asks for.
+    Prices are remembered for one pair of denominators at a time.
     """
 
     def __init__(self, size: int):
@@ -136,7 +137,9 @@ class Forest:
             a, b, na, nb = b, a, nb, na
         if a == b and na == nb:
             return 0
-        memo = self.memo.setdefault((na, nb), {})
+        if (na, nb) not in self.memo:
+            self.memo = {(na, nb): {}}
+        memo = self.memo[na, nb]
         key = (a, b) if na < nb or a <= b else (b, a)
         found = memo.get(key)
         if found is None:
@@ -236,7 +239,7 @@ def priced(rows: DataFrame, top: int = TOP) -> DataFrame:
             forest = Forest(size)
             roots = {g: forest.tree(c) for g, c in counts.items()}
             out: list[tuple[str, str, str, int]] = []
-            plain = sorted(g for g in roots if not g[0])
+            plain = sorted((g for g in roots if not g[0]), key=below.__getitem__)  # equal denominators follow one another
             for i, g in enumerate(plain):
                 for h in plain[i + 1 :]:
                     if lo == hi or g[1] != h[1]:

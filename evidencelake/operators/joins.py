@@ -131,30 +131,44 @@ def locate(
 ) -> DataFrame:
     """The first interval (by ``order``) that holds the point, else the one with the nearest edge (first by ``order`` on ties).
 
-    Points and the edges of intervals are put into one order by time.  Before a point the intervals that have begun and the
-    last edge are known, after it the next edge; so one window each way replaces pairing all points with all intervals.
-    Open intervals are kept as a running list; sections of a session overlap little, so it stays short.
+    Points and the edges of intervals are put into one order by time, where the last edge before a point and the next one
+    are windows.  Edges are numbered in that order, and an interval holds the points between two numbers: it is laid on the
+    few nodes of a segment tree that make up this range, a point on the nodes above it, one a level, and the first interval of each node is a
+    window again.  So the work grows with rows times the logarithm of a session's intervals, however they overlap, and
+    nothing is moved after the one exchange by ``keys``.
     """
     o = F.col(order)
-    edges = intervals.select(*keys, F.explode(F.array(
-        F.struct(F.col(start).alias("at"), F.lit(0).alias("turn"), F.col(start).alias("lo"), F.col(end).alias("hi"), o.alias("o"), F.col(label).alias("label")),
-        F.struct(F.col(end).alias("at"), F.lit(2).alias("turn"), F.col(start).alias("lo"), F.col(end).alias("hi"), o.alias("o"), F.col(label).alias("label")),
-    )).alias("e"))
+    edge_of = lambda at, turn: F.struct(F.col(at).alias("at"), F.lit(turn).alias("turn"), F.col(start).alias("lo"), F.col(end).alias("hi"), o.alias("o"), F.col(label).alias("label"))
+    edges = intervals.select(*keys, F.explode(F.array(edge_of(start, 0), edge_of(end, 2))).alias("e"))
     both = points.select(*keys, *row, F.col(at).alias("_at"), F.lit(1).alias("_turn"), F.lit(None).cast(edges.schema["e"].dataType).alias("_e"))
     both = both.unionByName(edges.select(*keys, F.col("e.at").alias("_at"), F.col("e.turn").alias("_turn"), F.col("e").alias("_e")), allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("_at", "_turn")
-    past, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    known = F.struct(F.col("_e.o").alias("o"), F.col("_e.lo").alias("lo"), F.col("_e.hi").alias("hi"), F.col("_e.label").alias("label"))
-    begun = F.collect_list(F.when(F.col("_turn") == 0, known)).over(past)
-    holding = F.array_min(F.filter(begun, lambda x: x.hi >= F.col("_at")))
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
     edge = lambda sign: F.when(F.col("_turn") != 1, F.struct((sign * F.col("_at")).alias("k"), F.col("_e.o").alias("o"), F.col("_e.label").alias("label")))
-    before, after = F.min(edge(-1)).over(past), F.min(edge(1)).over(ahead)
-    rows = both.withColumns({"_in": holding, "_before": before, "_after": after}).filter("_turn = 1")
+    # the last edge is the least of the negated times; the next one is the last in the opposite order
+    back = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_turn")).rowsBetween(Window.unboundedPreceding, -1)
+    number = F.count(F.when(F.col("_turn") != 1, 1)).over(past)
+    seen = both.withColumns({"_number": number, "_before": F.min(edge(-1)).over(past), "_after": F.min(edge(1)).over(back)})
+    spans = both.filter("_turn != 1").withColumn("_number", number).groupBy(*keys, "_e.lo", "_e.hi", "_e.o", "_e.label").agg(
+        F.min(F.when(F.col("_turn") == 0, F.col("_number"))).alias("i"), F.min(F.when(F.col("_turn") == 2, F.col("_number"))).alias("j")
+    ).filter("j > i")
+    # of the nodes [a, b] of a level that lie in (i, j], those whose parents do not
+    node = "named_struct('level', l, 'x', x)"
+    first, last = "shiftright(i + shiftleft(1L, l), l)", "shiftright(j + 1, l) - 1"
+    nodes = f"""flatten(transform(sequence(0, int(log2(j - i))), l -> transform(
+        filter(array(if({first} % 2 = 1, {first}, null), if(({last}) % 2 = 0, {last}, null)), x -> x is not null and {first} <= {last}), x -> {node})))"""
+    laid = spans.select(*keys, F.struct("o", "label").alias("_in"), F.inline(F.expr(nodes)))
+    rows = seen.filter("_turn = 1").select(*keys, *row, "_at", "_number", "_before", "_after")
+    levels = F.expr("transform(if(_number > 0, sequence(0, int(log2(_number))), array(0)), l -> named_struct('level', l, 'x', shiftright(_number, l)))")
+    asked = rows.select(*keys, *row, "_at", "_before", "_after", F.inline(levels), F.lit(True).alias("_asks"))
+    on_node = Window.partitionBy(*keys, "level", "x")
+    held = laid.unionByName(asked, allowMissingColumns=True).withColumn("_in", F.min("_in").over(on_node)).filter("_asks")
+    one = held.groupBy(*keys, *row).agg(F.min("_in").alias("_in"), *[F.first(c).alias(c) for c in ("_at", "_before", "_after")])
     near = F.array_min(F.filter(F.array(
         F.when(F.col("_before").isNotNull(), F.struct((F.col("_at") + F.col("_before.k")).alias("d"), F.col("_before.o").alias("o"), F.col("_before.label").alias("label"))),
         F.when(F.col("_after").isNotNull(), F.struct((F.col("_after.k") - F.col("_at")).alias("d"), F.col("_after.o").alias("o"), F.col("_after.label").alias("label"))),
     ), lambda x: x.isNotNull()))
-    found = rows.filter(F.col("_in").isNotNull() | F.col("_before").isNotNull() | F.col("_after").isNotNull())
+    found = one.filter(F.col("_in").isNotNull() | F.col("_before").isNotNull() | F.col("_after").isNotNull())
     chosen = F.when(F.col("_in").isNotNull(), F.col("_in.label")).otherwise(near["label"])
     return found.select(*keys, *row, chosen.alias(label), F.col("_in").isNotNull().alias("contained"))
 

@@ -485,39 +485,52 @@ def x52_x53_clocks(spark, sf_dir):
 
 
 def behaviour_inputs(spark, sf_dir):
-    """Blurs and pastes as facts; no questions, findings or screens."""
-    k = F.col("k")
-    kind = F.when(F.col("kind") == "purchase", "LARGE_PASTE").otherwise("WINDOW_BLUR")
-    facts = of_kind(events(spark, sf_dir), "purchase", "error").filter("t_ms is not null").select(
-        "sk", "ord", kind.alias("kind"), F.col("t_ms").alias("start_ms"), F.col("t_ms").alias("end_ms"), (k % 3).cast("string").alias("section_id"), (k % 10).alias("q"), F.floor("value").cast("bigint").alias("chars")
-    )
-    questions = facts.filter("false").select("sk", "start_ms", "end_ms", "section_id", "q")
-    none = facts.filter("false")
-    video = none.select("sk", F.col("start_ms").alias("t0_ms"), F.col("end_ms").alias("t1_ms"), F.col("kind").alias("event_type"), F.col("kind").alias("evidence_ref"))
-    screens = none.select("sk", F.col("kind").alias("event_type"), F.col("start_ms").alias("t0_ms"), F.col("end_ms").alias("t1_ms"), F.lit(1.0).alias("confidence"), F.col("start_ms").alias("peak_ms"))
-    return facts, questions, video, screens
-
-
-OF_FACTS = ("d1_paste_after_blur", "d6_paste_on_coding_question")
-FACTS_ONLY = " UNION ALL ".join(risk_queries.SQL[n] for n in OF_FACTS)
-FACTS_BEST = risk_queries.BEST.format(src=FACTS_ONLY, bucket=24 * HOUR)
-
-
-@query(f"+ {risk_queries.TABLES} SELECT sk, factor_id, t0_ms, t1_ms, q, score_milli FROM ({FACTS_BEST})")
+    """The detectors' events as they come from their sources: facts, question windows, camera findings (some cleared) and screen episodes."""
+    rows = events(spark, sf_dir).filter("t_ms is not null").selectExpr("*", "string(k % 3) as section_id", "k % 10 as k10", "bigint(floor(value * 360000)) as length")
+    rows = rows.withColumn("before_ms", F.expr("lag(t_ms) over (partition by sk, kind in ('click', 'purchase') order by t_ms, ord)"))
+    fact = lambda when, kind, start="t_ms", q="k10": f"if({when}, named_struct('kind', '{kind}', 'start_ms', {start}, 'end_ms', t_ms, 'q', bigint({q}), 'chars', bigint(floor(value))), null)"
+    made = [
+        fact("kind = 'error'", "WINDOW_BLUR"), fact("kind = 'purchase'", "LARGE_PASTE"), fact("kind = 'purchase' and k % 2 = 0", "CODE_SUBMISSION"),
+        fact("kind = 'click' and k % 2 = 0", "MCQ_ANSWER_SELECTED"), fact("kind = 'click' and k % 2 = 1", "TEXT_CORRECTION"),
+        fact(f"kind in ('click', 'purchase') and t_ms - before_ms >= {10 * HOUR}", "ACTIVITY_GAP", "before_ms", "null"),
+    ]
+    facts = rows.selectExpr("sk", "ord", "section_id", f"inline(array_compact(array({', '.join(made)})))")
+    questions = rows.filter("kind = 'click'").selectExpr("sk", "ord", "t_ms - length as start_ms", "t_ms as end_ms", "section_id", "k10 as q", "k % 5 = 0 as hard")
+    seen = lambda when, kind, outcome="flagged": f"if({when}, named_struct('event_type', '{kind}', 'outcome', '{outcome}'), null)"
+    camera = [
+        seen("kind = 'view'", "suspicious_eye_movement"), seen("kind = 'view' and k % 3 = 0", "phone_usage"), seen("kind = 'view' and k % 3 = 1", "multiple_faces"),
+        seen("kind = 'signup' and k % 2 = 0", "whispering"), seen("kind = 'signup' and k % 2 = 1", "discussing_solution_audio"), seen("kind = 'error'", "no_candidate"),
+        seen("kind = 'click' and k % 7 = 0", "phone_usage", "cleared"),
+    ]
+    found = rows.selectExpr("sk", "t_ms as t0_ms", "t_ms + length as t1_ms", "concat('perc_', ord) as id", f"inline(array_compact(array({', '.join(camera)})))")
+    screens = rows.filter("kind = 'view' and k % 4 = 1").selectExpr("sk", "'external_resource_open' as event_type", "t_ms as t0_ms", "t_ms + length as t1_ms", "0.9D as confidence", "t_ms + length div 2 as peak_ms")
+    return facts, questions, found, screens
+
+
+#: The bindings' tables, but bursts are of answers, as on a timeline.
+ON_TIMELINE = risk_queries.TABLES.replace("FROM ev WHERE kind = 'click')", "FROM ev WHERE kind = 'click' AND k % 2 = 0)")
+
+
+@query(f"+ {ON_TIMELINE}, {risk_queries.ALL_BEST} SELECT sk, factor_id, t0_ms, t1_ms, q, score_milli FROM best")
 def t9_behaviour(spark, sf_dir):
-    """Two detectors over the timeline of stored facts: those that blurs and pastes alone can set off."""
-    return review.behaviour(*behaviour_inputs(spark, sf_dir), risk_queries.CONFIG, OF_FACTS)[1]
-
-
-@query(f"""+ {risk_queries.TABLES}, best AS ({FACTS_BEST}), s AS (SELECT DISTINCT sk FROM ev), t AS (SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS m, count(*) AS n FROM best GROUP BY sk), f AS (SELECT sk, count(*) AS n FROM pt WHERE kind IN ('purchase', 'error') AND t_ms IS NOT NULL GROUP BY sk)
-    SELECT s.sk, coalesce(m, 0) AS total_milli, coalesce(t.n, 0) AS n_contributions, coalesce(f.n, 0) AS n_facts, 0 AS n_findings FROM s LEFT JOIN t USING (sk) LEFT JOIN f USING (sk)""")
+    """All detectors over the timeline of stored facts, questions, camera findings and screen episodes."""
+    facts, questions, found, screens = behaviour_inputs(spark, sf_dir)
+    flagged = found.filter("outcome = 'flagged'").withColumn("evidence_ref", F.concat(F.lit("video:"), F.col("id")))
+    return review.behaviour(facts, questions, flagged, screens, risk_queries.CONFIG)[1]
+
+
+@query(f"""+ {ON_TIMELINE}, {risk_queries.ALL_BEST}, s AS (SELECT DISTINCT sk FROM ev), t AS (SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS m, count(*) AS n FROM best GROUP BY sk),
+    fs AS (SELECT sk, count(*) AS n FROM (SELECT sk FROM blur UNION ALL SELECT sk FROM input UNION ALL SELECT sk FROM submission UNION ALL SELECT sk FROM correction UNION ALL SELECT sk FROM gap) GROUP BY sk),
+    found AS (SELECT sk, count(*) AS n FROM (SELECT sk FROM gaze UNION ALL SELECT sk FROM phone UNION ALL SELECT sk FROM person UNION ALL SELECT sk FROM speech UNION ALL SELECT sk FROM absence UNION ALL SELECT sk FROM pt WHERE kind = 'click' AND k % 7 = 0) GROUP BY sk),
+    scr AS (SELECT sk, count(*) AS n FROM pt WHERE kind = 'view' AND k % 4 = 1 GROUP BY sk), qs AS (SELECT sk, count(*) AS n FROM question GROUP BY sk)
+    SELECT s.sk, coalesce(m, 0) AS total_milli, coalesce(t.n, 0) AS n_contributions, coalesce(fs.n, 0) AS n_facts, coalesce(found.n, 0) AS n_findings, coalesce(scr.n, 0) AS n_screens, coalesce(qs.n, 0) AS n_questions
+    FROM s LEFT JOIN t USING (sk) LEFT JOIN fs USING (sk) LEFT JOIN found USING (sk) LEFT JOIN scr USING (sk) LEFT JOIN qs USING (sk)""")
 def t12_review(spark, sf_dir):
     """The whole review of all sessions, checked by its score and the sizes of its sections."""
-    facts, questions, video, episodes = behaviour_inputs(spark, sf_dir)
-    found = video.select("sk", "event_type", F.lit("flagged").alias("outcome"), "t0_ms", "t1_ms", F.lit("perc_1").alias("id"))
-    whole = review.review(events(spark, sf_dir).select("sk").distinct(), facts, questions, found, episodes, risk_queries.CONFIG, OF_FACTS)
+    whole = review.review(events(spark, sf_dir).select("sk").distinct(), *behaviour_inputs(spark, sf_dir), risk_queries.CONFIG)
     size = lambda c: F.size(c).cast("bigint")
-    return whole.select("sk", "total_milli", "n_contributions", size("facts").alias("n_facts"), size("findings").alias("n_findings"))
+    sizes = {"n_facts": "facts", "n_findings": "findings", "n_screens": "screen_episodes", "n_questions": "questions"}
+    return whole.select("sk", "total_milli", "n_contributions", *[size(c).alias(n) for n, c in sizes.items()])
 
 
 def perceived(spark, sf_dir):

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.operators import sequences
-from evidencelake.plans import observed, report, risk
+from evidencelake.plans import observed, report, risk, sweep
 
 #: Which events of the timeline a detector's table holds (fixed values).
 TABLES = {
@@ -19,32 +17,38 @@ TABLES = {
 }
 
 
-def event_tables(timeline: DataFrame, config: risk.Config | None = None) -> risk.EventTables:
-    """The detectors' tables cut from one timeline, which is gathered once by session."""
+def event_rows(timeline: DataFrame, config: risk.Config) -> DataFrame:
+    """The timeline's events with their roles for the detectors, gathered once by session; a role's rows are numbered where they have no ord."""
     number = F.row_number().over(Window.partitionBy("sk").orderBy("t_ms", "source", "evidence_ref")).cast("bigint")
+    role = "case " + " ".join(f"when kind in ({', '.join(map(repr, kinds))}) then '{name}'" for name, kinds in TABLES.items()) + " end"
     rows = risk.by_session(timeline.filter("t_ms is not null")).withColumn("ord", F.coalesce("ord", number))
-    rows = rows.withColumns({"start_ms": F.col("t_ms"), "end_ms": F.coalesce("end_ms", "t_ms"), "sec": F.col("section_id"), "whisper": F.col("kind") == "whispering"})
-    base = ["sk", "ord", "start_ms", "end_ms"]
-    more = {"blur": ["sec"], "paste": ["q", "sec", "chars"], "answer": ["q"], "submission": ["q"], "speech": ["whisper"], "question": ["q", "sec", "hard"]}
-    cut = {name: rows.filter(F.col("kind").isin(*kinds)).select(*base, *more.get(name, [])) for name, kinds in TABLES.items()}
-    runs = sequences.bursts(cut["answer"].withColumn("t_ms", F.col("start_ms")), ["sk"], ["t_ms", "ord"])
-    burst = runs.select("sk", F.col("t0_ms").alias("ord"), F.col("t0_ms").alias("start_ms"), F.col("t1_ms").alias("end_ms"), F.col("n_events").alias("n"))
-    return risk.EventTables(**cut, burst=burst, **({"config": config} if config else {}))
+    rows = rows.selectExpr(
+        "sk", f"{role} as role", "ord", "t_ms as start_ms", "coalesce(end_ms, t_ms) as end_ms", "q", "section_id as sec", "chars", "hard", "kind = 'whispering' as whisper", "bigint(null) as n"
+    ).filter("role is not null")
+    answers = rows.filter("role = 'answer'").withColumnRenamed("start_ms", "t_ms")
+    runs = sequences.bursts(answers, ["sk"], ["t_ms", "ord"], gap_ms=config.burst_gap)
+    burst = runs.selectExpr("sk", "t0_ms as ord", "t0_ms as start_ms", "t1_ms as end_ms", "n_events as n")
+    return rows.unionByName(sweep.tag(burst, "burst"))
+
+
+def event_tables(timeline: DataFrame, config: risk.Config | None = None) -> risk.EventTables:
+    """The tables of single detectors, cut from one timeline."""
+    config = config or risk.Config()
+    return sweep.tables(event_rows(timeline, config), config)
 
 
-def behaviour(facts: DataFrame, questions: DataFrame, flagged_video: DataFrame, screen_episodes: DataFrame, config: risk.Config | None = None, detectors: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The timeline of all sources, and the best contributions of all detectors (or of those named)."""
+def behaviour(facts: DataFrame, questions: DataFrame, flagged_video: DataFrame, screen_episodes: DataFrame, config: risk.Config | None = None) -> tuple[DataFrame, DataFrame]:
+    """The timeline of all sources, and the best contributions of all detectors."""
+    config = config or risk.Config()
     made = observed.screen_facts(screen_episodes)
     both = facts.unionByName(made, allowMissingColumns=True)
     shown = screen_episodes.withColumn("evidence_ref", F.concat(F.lit("screen:"), F.col("peak_ms").cast("string")))
     line = observed.timeline(both, questions, flagged_video, shown)
-    tables = event_tables(line, config)
-    return line, risk.dedupe(risk.detect_all(tables, detectors), tables.config.bucket).drop("bucket")
+    return line, risk.dedupe(sweep.detect(event_rows(line, config), config), config.bucket).drop("bucket")
 
 
 def review(
-    sessions: DataFrame, facts: DataFrame, questions: DataFrame, found: DataFrame, episodes: DataFrame, config: risk.Config | None = None,
-    detectors: Sequence[str] | None = None,
+    sessions: DataFrame, facts: DataFrame, questions: DataFrame, found: DataFrame, episodes: DataFrame, config: risk.Config | None = None
 ) -> DataFrame:
     """One document per session: its score, contributions, findings and facts.
 
@@ -52,7 +56,7 @@ def review(
     each is read several times.
     """
     flagged = found.filter("outcome = 'flagged'").withColumn("evidence_ref", F.concat(F.lit("video:"), F.col("id")))
-    _, best = behaviour(facts, questions, flagged, episodes, config, detectors)
+    _, best = behaviour(facts, questions, flagged, episodes, config)
     scored = sessions.join(risk.totals(best), "sk", "left").fillna(0, ["total_milli", "n_contributions", "n_factors"])
     parts = {
         "contributions": (best, ["t0_ms", "factor_id"]), "findings": (found, ["t0_ms", "id"]), "screen_episodes": (episodes, ["t0_ms", "event_type"]),

@@ -53,6 +53,7 @@ class Config:
     correction_lag: int = 15_000
     bucket: int = 30_000
     large_chars: int = 200
+    burst_gap: int = 3_000
 
 
 @dataclass
@@ -86,7 +87,7 @@ def detector(f: Detector) -> Detector:
 
 
 def by_session(rows: DataFrame) -> DataFrame:
-    """The same rows, gathered once by session.
+    """The same rows, gathered once by session; rows without a session are left out, as they belong to none.
 
     All tables that are cut from the result share this one exchange, and what they are joined, windowed and grouped by
     begins with the session, so nothing is exchanged again.

@@ -6,44 +6,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.operators import sequences
-from evidencelake.plans import risk
+from evidencelake.plans import risk, sweep
 from evidencelake.plans.registry import HOUR, N, events, of_kind, query
 
 CONFIG = risk.Config(
     blur_to_paste=N, idle_to_paste=N, pad=HOUR, gaze_to_input=N, gaze_to_answer=N, device_pad=HOUR, speech_lead=HOUR, speech_to_question=2 * N,
     speech_to_paste=2 * N, speech_to_input=N, blur_to_question=N, gap_to_question=N, absence_to_paste=N, unattributed=10 * HOUR, correction_lead=HOUR,
-    correction_lag=N, bucket=24 * HOUR, large_chars=80,
+    correction_lag=N, bucket=24 * HOUR, large_chars=80, burst_gap=30 * HOUR,
 )
 
 
-def event_tables(spark, sf_dir) -> risk.EventTables:
-    rows = risk.by_session(events(spark, sf_dir).filter("t_ms is not null")).withColumn("q", F.col("k") % 10).withColumn("sec", F.col("k") % 3)
-    length = F.floor(F.col("value") * 360_000).cast("bigint")
-    point = rows.withColumn("start_ms", F.col("t_ms")).withColumn("end_ms", F.col("t_ms"))
-    span = point.withColumn("end_ms", F.col("t_ms") + length)
-    cut = lambda df, *more: df.select("sk", "ord", "start_ms", "end_ms", *more)
-    view = of_kind(span, "view")
+def event_rows(spark, sf_dir) -> DataFrame:
+    """Events with their roles, gathered by session once: an event has a row for each table that holds it."""
+    rows = risk.by_session(events(spark, sf_dir).filter("t_ms is not null"))
+    rows = rows.selectExpr("*", "k % 10 as q", "string(k % 3) as sec", "bigint(floor(value * 360000)) as length", "bigint(floor(value)) as chars", "k % 5 = 0 as hard", "k % 2 = 0 as whisper")
+
+    def row(when: str, role: str, *has: str, start: str = "t_ms", end: str = "t_ms") -> str:
+        extra = ", ".join(f"'{c}', cast({c if c in has else 'null'} as {kind})" for c, kind in sweep.EXTRA.items())
+        return f"if({when}, named_struct('role', '{role}', 'start_ms', {start}, 'end_ms', {end}, {extra}), null)"
+
+    span = "t_ms + length"
+    roles = [
+        row("kind = 'error'", "blur", "sec"), row("kind = 'error'", "absence", end=span), row("kind = 'purchase'", "paste", "q", "sec", "chars"),
+        row("kind = 'purchase' and k % 2 = 0", "submission", "q"), row("kind = 'click' and k % 2 = 0", "answer", "q"), row("kind = 'click' and k % 2 = 1", "correction"),
+        row("kind = 'click'", "question", "q", "sec", "hard", start="t_ms - length"), row("kind = 'view'", "gaze", end=span),
+        row("kind = 'view' and k % 3 = 0", "phone", end=span), row("kind = 'view' and k % 3 = 1", "person", end=span), row("kind = 'signup'", "speech", "whisper", end=span),
+    ]
+    single = rows.selectExpr("sk", "ord", f"inline(array_compact(array({', '.join(roles)})))")
+    single = single.select("sk", "role", "ord", "start_ms", "end_ms", *sweep.EXTRA)
     w = Window.partitionBy("sk").orderBy("t_ms", "ord")
-    idle = of_kind(rows, "click", "purchase").withColumn("p", F.lag("t_ms").over(w)).filter(F.col("t_ms") - F.col("p") >= 10 * HOUR)
-    paste = of_kind(point, "purchase").withColumn("chars", F.floor("value"))
-    clicks = of_kind(point, "click")
-    bursts = sequences.bursts(of_kind(rows, "click"), ["sk"], ["t_ms", "ord"], gap_ms=30 * HOUR)
-    return risk.EventTables(
-        blur=cut(of_kind(point, "error"), "sec"),
-        gap=idle.select("sk", "ord", F.col("p").alias("start_ms"), F.col("t_ms").alias("end_ms")),
-        paste=cut(paste, "q", "sec", "chars"),
-        answer=cut(clicks.filter("k % 2 = 0"), "q"),
-        submission=cut(paste.filter("k % 2 = 0"), "q"),
-        correction=cut(clicks.filter("k % 2 = 1")),
-        gaze=cut(view),
-        phone=cut(view.filter("k % 3 = 0")),
-        person=cut(view.filter("k % 3 = 1")),
-        speech=cut(of_kind(span, "signup").withColumn("whisper", F.col("k") % 2 == 0), "whisper"),
-        absence=cut(of_kind(span, "error")),
-        question=cut(clicks.withColumn("start_ms", F.col("t_ms") - length).withColumn("hard", F.col("k") % 5 == 0), "q", "sec", "hard"),
-        burst=bursts.select("sk", F.col("t0_ms").alias("ord"), F.col("t0_ms").alias("start_ms"), F.col("t1_ms").alias("end_ms"), F.col("n_events").alias("n")),
-        config=CONFIG,
-    )
+    idle = of_kind(rows, "click", "purchase").withColumn("start_ms", F.lag("t_ms").over(w)).withColumn("end_ms", F.col("t_ms")).filter(F.col("end_ms") - F.col("start_ms") >= 10 * HOUR)
+    runs = sequences.bursts(of_kind(rows, "click"), ["sk"], ["t_ms", "ord"], gap_ms=CONFIG.burst_gap)
+    burst = runs.select("sk", F.col("t0_ms").alias("ord"), F.col("t0_ms").alias("start_ms"), F.col("t1_ms").alias("end_ms"), F.col("n_events").alias("n"))
+    return single.unionByName(sweep.tag(idle.select("sk", "ord", "start_ms", "end_ms"), "gap")).unionByName(sweep.tag(burst, "burst"))
+
+
+def event_tables(spark, sf_dir) -> risk.EventTables:
+    return sweep.tables(event_rows(spark, sf_dir), CONFIG)
 
 
 TABLES = """pt AS (SELECT *, t_ms AS start_ms, t_ms AS end_ms, k % 10 AS q, k % 3 AS sec, CAST(floor(value * 360000) AS BIGINT) AS len FROM ev),
@@ -162,13 +161,13 @@ ALL_BEST = f"{GREEDY_D4}, best AS ({BEST.format(src=ALL_SQL, bucket=24 * HOUR)})
 @query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS total_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
 def d30_all_detectors(spark, sf_dir) -> DataFrame:
     """All 28 detectors, deduped and totalled: one exchange of the events by session, and one of the contributions."""
-    return risk.totals(risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket))
+    return risk.totals(risk.dedupe(sweep.detect(event_rows(spark, sf_dir), CONFIG), CONFIG.bucket))
 
 
 @query(f"+ {TABLES}, {ALL_BEST} SELECT sk, CAST(least(100000, sum(score_milli)) AS BIGINT) AS total_milli, CAST(sum(score_milli) AS BIGINT) AS raw_milli, count(*) AS n_contributions, count(DISTINCT factor_id) AS n_factors FROM best GROUP BY sk")
 def d30_every_detector(spark, sf_dir) -> DataFrame:
     """The same with the uncapped total, which tells sessions apart that the cap makes equal."""
-    best = risk.dedupe(risk.detect_all(event_tables(spark, sf_dir)), CONFIG.bucket)
+    best = risk.dedupe(sweep.detect(event_rows(spark, sf_dir), CONFIG), CONFIG.bucket)
     return risk.totals(best, raw=True)
 
 

@@ -9,9 +9,8 @@ What is reported are rejections of "this is ordinary text".  The distribution of
 measured: the characters of the corpus' own shorter words, brought to each alphabet and cut to the least length of each
 length class, go through the same battery, all of them, beside ``PRIOR`` strings drawn from English letter frequencies, so that
 small inputs have a background too.  A candidate's p value is the share of the background of its encoding and length class
-that agrees with randomness at least as well.  Benjamini and Hochberg's step-up rule, applied over the whole corpus in strata of
-encoding and length class, then decides which candidates are reported, so that about a share ``fdr`` of these at most is ordinary
-text.  Short candidates need better agreement than long ones, as ordinary text of their length often agrees.  Counts per
+that agrees with randomness at least as well.  Benjamini and Hochberg's step-up rule, applied once to the p values of all candidates of the
+corpus, then decides which are reported, so that about a share ``fdr`` of these at most is ordinary text.  Short candidates need better agreement than long ones, as ordinary text of their length often agrees.  Counts per
 stratum and agreement bin, bounded in number, are all that leaves the tasks for that.
 
 Defined results: a null text counts as empty; an empty text has no spans; spans count code points, end exclusive; a
@@ -42,7 +41,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX, LEAST_RANDOM = 8, 16, 32, 20
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
+#: A value may stand behind an equals sign, as in query strings and settings.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 #: Letters that make up most of ordinary text.
 COMMON, RARE = "etaoinsrhl", "bcdfgjkmpquvwxyz"
 #: Shape, alphabet, and the groups of symbols that the chi-squared test counts: those that ordinary text uses unequally.
@@ -304,15 +304,25 @@ def reported_bins(scanned: DataFrame, maybe: str, ground: str, fdr: float) -> di
         return out
 
     found, ordinary = counts(maybe, F.lit(1)), counts(ground, F.col("c.n")) + prior()
-    return {s: cut for s in range(len(found)) if (cut := step_up(found[s], ordinary[s], fdr)) is not None}
+    return all_cuts(found, ordinary, fdr)
+
+
+def all_cuts(found: np.ndarray, ordinary: np.ndarray, fdr: float) -> dict[int, int]:
+    """Per stratum (a row), the last bin that one step-up rule over all of them reports: p is the share of a stratum's ``ordinary`` in this bin or a better one."""
+    p = (1 + np.cumsum(ordinary, axis=1)) / (1 + ordinary.sum(axis=1, keepdims=True))
+    held = found > 0
+    levels, at = np.unique(p[held], return_inverse=True)
+    rank = np.cumsum(np.bincount(at, weights=found[held], minlength=len(levels)))
+    passed = np.flatnonzero(levels <= fdr * rank / max(1, found.sum()))
+    if not len(passed):
+        return {}
+    reported = held & (p <= levels[passed[-1]])
+    return {s: int(np.flatnonzero(reported[s])[-1]) for s in np.flatnonzero(reported.any(axis=1)).tolist()}
 
 
 def step_up(found: np.ndarray, ordinary: np.ndarray, fdr: float) -> int | None:
-    """The last bin that the step-up rule reports: p is the share of ``ordinary`` in this bin or a better one."""
-    p = (1 + np.cumsum(ordinary)) / (1 + ordinary.sum())
-    rank = np.cumsum(found)
-    passed = np.flatnonzero((found > 0) & (p <= fdr * rank / max(1, rank[-1])))
-    return int(passed[-1]) if len(passed) else None
+    """The last bin that the rule reports where there is one stratum."""
+    return all_cuts(found[None], ordinary[None], fdr).get(0)
 
 
 def cut_of(candidate: Column, cuts: dict[int, int]) -> Column:

@@ -1,6 +1,6 @@
 """Canonical exact digests of documents (built-in functions only).
 
-A text is brought to canonical form (Unicode NFKC, full case folding, runs of white space to one blank, ends
+A text is brought to canonical form (Unicode NFKC, full case folding, runs of Unicode white space to one blank, ends
 trimmed) and hashed with four differently salted ``xxhash64``: 256 bits, written as 64 hex digits.  Rows that
 share the 256 bits form a bucket; a grouping by the canonical bytes themselves checks every bucket with more
 than one row, and in a bucket with differing bytes every row gets a SHA-256 suffix, so that unequal texts never share a
@@ -24,12 +24,10 @@ NO_ID = -(1 << 63)
 
 
 def canonical(text: Column) -> Column:
-    """NFKC, case fold, white space folding; null counts as empty."""
-    composed = F.call_function(
-        "reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(text, F.lit("")), F.lit(True)
-    )
-    folded = F.call_function("reflect", F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), composed, F.lit(True))
-    return F.trim(F.regexp_replace(folded, r"[\s\x85\xA0]+", " "))
+    """NFKC, case fold, NFKC of what that gave, white space (the Unicode property) folding; null counts as empty."""
+    compose = lambda t: F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(True))
+    folded = F.call_function("reflect", F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), compose(F.coalesce(text, F.lit(""))), F.lit(True))
+    return F.trim(F.regexp_replace(compose(folded), r"\p{IsWhite_Space}+", " "))
 
 
 def wide_hash(canon: Column) -> Column:

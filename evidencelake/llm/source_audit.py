@@ -195,7 +195,7 @@ def block_rows(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     sums = rows.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     groups = counts.filter("term = ''").select("lang", "source").join(sums, ["lang", "source"], "left").join(langs.select("lang", "v", "blocks"), "lang")
     # tiles by a hash: a language has as many as its groups need, and pairs of tiles are a small table
-    tiles = groups.groupBy("lang").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tiles = stash(groups.groupBy("lang").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "tiles")
     tile = F.pmod(F.xxhash64("source"), F.col("tiles").cast("long")).cast("int")
     groups = groups.join(tiles, "lang").withColumn("tile", tile).withColumn("denominator", F.coalesce("n", F.lit(0)) + 2 * F.col("v"))
     groups = stash(groups.select("lang", "source", "tile", "tiles", "denominator", "blocks"), "groups")
@@ -208,7 +208,8 @@ def block_rows(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     spread = own.unionByName(counted).select("lang", "blk", "tile", "whole", "source", "at", "n", "term", "size", F.inline(met))
     # the language's own counts go to each tile once
     wide = langs.join(tiles, "lang").select("lang", "v", F.col("total").alias("all"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    wide = placed.join(wide, "lang")
+    # a small table by its size on disk: the terms of a language stay where they are
+    wide = placed.join(stash(wide, "language-tiles"), "lang")
     wide = wide.select("lang", "blk", "tile", F.lit(True).alias("whole"), F.lit("").alias("source"), "at", F.col("total").alias("n"), "term", F.lit(0).alias("size"), F.col("tile").alias("lo"), F.col("tile").alias("hi"))
     lang_own = langs.join(tiles, "lang").select("lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "v", "total", "tiles")
     lang_own = lang_own.select("lang", "blk", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(True).alias("whole"), F.lit("").alias("source"), F.lit(-1).alias("at"), (F.col("total") + 2 * F.col("v")).alias("n"), no_term, F.lit(0).alias("size"))

@@ -7,16 +7,35 @@ from pyspark.sql import functions as F
 
 #: Attribute names by group (fixed values); the field of a group is the attribute in snake case.
 ATTRIBUTES = {
-    "attention": "gazeDirection gazeTarget gazeStable repeatedGazePattern attentionState",
-    "identity": "facePresent identityConsistent faceOccluded faceOrientation",
-    "objects": "phoneVisible notebookVisible paperVisible calculatorVisible headphonesVisible headphonesLink earphoneVisible earphoneLink secondScreenVisible unknownObjectVisible",
-    "hands": "handsVisible handCount handLocation handActivity objectInHand",
-    "people": "secondPersonVisible secondPersonInteracting candidateRespondingToSecondPerson secondPersonLooksLike secondPersonRoleCue secondPersonActivity secondPersonPosition secondPersonObjectInHand",
-    "body": "leftSeat",
-    "interaction": "reachingOutsideFrame reachingDirection",
-    "environment": "settingType framing lightingCondition",
-    "audio": "speechPresent speechContentClass conversationSummaryEn speechSource speechOverlapWithLips speechLanguage speechStyle codeMixing backgroundVoices deviceSounds notablePhrasesOriginal",
-}
+    "attention": (
+        "gazeDirection", "gazeTarget", "gazeStable", "repeatedGazePattern", "attentionState",
+    ),
+    "identity": (
+        "facePresent", "identityConsistent", "faceOccluded", "faceOrientation",
+    ),
+    "objects": (
+        "phoneVisible", "notebookVisible", "paperVisible", "calculatorVisible", "headphonesVisible", "headphonesLink",
+        "earphoneVisible", "earphoneLink", "secondScreenVisible", "unknownObjectVisible",
+    ),
+    "hands": (
+        "handsVisible", "handCount", "handLocation", "handActivity", "objectInHand",
+    ),
+    "people": (
+        "secondPersonVisible", "secondPersonInteracting", "candidateRespondingToSecondPerson", "secondPersonLooksLike",
+        "secondPersonRoleCue", "secondPersonActivity", "secondPersonPosition", "secondPersonObjectInHand",
+    ),
+    "body": ("leftSeat",),
+    "interaction": (
+        "reachingOutsideFrame", "reachingDirection",
+    ),
+    "environment": (
+        "settingType", "framing", "lightingCondition",
+    ),
+    "audio": (
+        "speechPresent", "speechContentClass", "conversationSummaryEn", "speechSource", "speechOverlapWithLips",
+        "speechLanguage", "speechStyle", "codeMixing", "backgroundVoices", "deviceSounds", "notablePhrasesOriginal",
+    ),
+}
 #: What a kind of event implies where the attribute does not say (fixed values).
 IMPLIED = {
     "facePresent": {"face_absent": "no"}, "leftSeat": {"leave_seat": "yes"}, "gazeDirection": {"sustained_gaze": "away"}, "speechPresent": {"speech": "yes"},
@@ -48,13 +67,13 @@ def leaf(name: str) -> Column:
 
 
 def groups() -> dict[str, Column]:
-    return {g: F.struct(*[leaf(n).alias(snake(n)) for n in names.split()]) for g, names in ATTRIBUTES.items()}
+    return {g: F.struct(*[leaf(n).alias(snake(n)) for n in names]) for g, names in ATTRIBUTES.items()}
 
 
 def unknown_groups() -> dict[str, Column]:
     """The same structs with nothing known."""
     blank = lambda n: F.lit(None).cast("string") if n in FREE_TEXT else F.lit("UNKNOWN")
-    return {g: F.struct(*[blank(n).alias(snake(n)) for n in names.split()]) for g, names in ATTRIBUTES.items()}
+    return {g: F.struct(*[blank(n).alias(snake(n)) for n in names]) for g, names in ATTRIBUTES.items()}
 
 
 def observations(events: DataFrame, section: str | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Language-model scoring with a log-bilinear neural model trained by noise-contrastive estimation.
 
-Every token with at least ``LEAST_COUNT`` occurrences in training (the most frequent ``SHORTLIST`` of them at most, the end of a text always) is a unit with vectors of
-its own; all other tokens share ``SUFFIXES`` units by a hash of their last two bytes.  The context of a token is the
+Every token with at least ``LEAST_COUNT`` occurrences in training is a unit with vectors of its own (the most frequent ones, as many as ``shortlist``
+grants for that many training tokens; the end of a text always); all other tokens share ``SUFFIXES`` units by a hash of their last two bytes.  The context of a token is the
 ``CONTEXT`` units before it.  Their vectors, each weighted by its position, are summed into one prediction vector q:
 
     q = sum over i of position[i] * context_vector[unit i before]
@@ -12,9 +12,10 @@ its own; all other tokens share ``SUFFIXES`` units by a hash of their last two b
 so normalised log-probabilities of a block of tokens are two short batched matrix products.
 
 Training is noise-contrastive estimation in numpy: at either level the token's group (member) is told apart from
-``NOISE`` samples of its unigram distribution.  The driver starts the model on a bounded sample (about ``START_TOKENS`` tokens); then every task goes on
+``NOISE`` samples of its unigram distribution.  The driver starts the model on a bounded sample (about ``START_TOKENS`` tokens, in pieces of at most ``PIECE_BYTES``,
+so that neither one long text nor many copies of one text can exceed it); then every task goes on
 with all training tokens it reads, and the tasks' parameters are averaged by their numbers of tokens, in pieces that Spark shuffles.
-What is gathered grows with the input: counts of all tokens, units, and steps of training over every token.
+What is gathered grows with the input: counts of all tokens, units with the cube root of the training tokens up to the head's size, and steps of training over every token.
 
 Counting, training, scoring and the look-up of rare tokens are Spark jobs: the ``HEAD`` most frequent tokens travel to the tasks,
 all other tokens meet their counts in a join on their hash.  What is collected is bounded by these parameters.
@@ -42,12 +43,14 @@ from pyspark.sql import functions as F
 
 from evidencelake.llm.common import stash
 
-SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 12, 50, 256, 1 << 18
+SHORTLIST, LEAST_COUNT, SUFFIXES, HEAD = 1 << 13, 50, 256, 1 << 18
+#: Training tokens for which SHORTLIST tokens have vectors; twice as many for eight times the tokens.
+SHORTLIST_TOKENS = 1 << 24
 END = b""  # no word is empty, so this stands for the end of a text
-CONTEXT, DIM, NOISE, SHARED, SEED = 5, 16, 10, 12, 11
+CONTEXT, DIM, NOISE, SHARED, SEED = 6, 16, 10, 16, 11
 #: Tokens of a training step, and tokens scored at a time.
-STEP = 1 << 15
-RATE, START_TOKENS, EPOCHS = 0.1, 1_000_000, 4
+STEP = 1 << 14
+RATE, START_TOKENS, EPOCHS, PIECE_BYTES = 0.1, 1_000_000, 4, 1 << 13
 #: Pieces in which parameters are averaged.
 PIECES = 64
 #: Distinct tokens that a counting task holds before it sends them on.
@@ -61,6 +64,11 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def shortlist(train_tokens: int) -> int:
+    """How many tokens may have vectors of their own."""
+    return min(HEAD, max(SHORTLIST, round(SHORTLIST * (train_tokens / SHORTLIST_TOKENS) ** (1 / 3))))
+
+
 def suffix_of(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % SUFFIXES
 
@@ -324,7 +332,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     found.sort(key=lambda x: x[1] != END)  # the end is always a unit of its own
     words = [w for _, w in found]
     head_counts = np.array([c for c, _ in found], dtype=np.int64)
-    own = min(SHORTLIST, sum(c >= LEAST_COUNT or w == END for c, w in found))
+    own = min(shortlist(n), sum(c >= LEAST_COUNT or w == END for c, w in found))
     suffixes = np.array([suffix_of(w) for w in words], dtype=np.int64)
     units = np.where(np.arange(len(words)) < own, np.arange(len(words)), own + suffixes)
     np.subtract.at(suffix_counts, suffixes[:own], head_counts[:own])
@@ -353,14 +361,23 @@ def started(texts: DataFrame, vocab: Vocabulary) -> Trainer:
         return trainer
     sent = texts.sparkSession.sparkContext.broadcast(vocab)
 
+    share = min(1.0, START_TOKENS / vocab.train_tokens)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([SEED, TaskContext.get().partitionId()])
         for batch in batches:
-            found = [numbered(tokens(v.as_py()), sent.value)[1].astype(np.int32).tobytes() for v in batch.column(0)]
+            found = []
+            for value in batch.column(0):
+                data = value.as_buffer()
+                last = max(0, data.size - 1) // PIECE_BYTES
+                for i in np.flatnonzero(rng.random(last + 1) < share).tolist():
+                    piece = data[i * PIECE_BYTES : (i + 1) * PIECE_BYTES].to_pybytes()
+                    units = numbered(tokens(piece), sent.value)[1].astype(np.int32)
+                    # words that a cut may have split, and an end where the text goes on, are left out
+                    found.append(units[1 if i else 0 : len(units) if i == last else -2].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.binary())], names=["units"])
 
-    share = START_TOKENS / vocab.train_tokens
-    chosen = texts if share >= 1 else texts.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = sorted(x.as_py() for x in chosen.mapInArrow(task, "units binary").toArrow()["units"])
+    found = sorted(x.as_py() for x in texts.mapInArrow(task, "units binary").filter("length(units) > 0").toArrow()["units"])
     held = [np.frombuffer(x, np.int32).astype(np.int64) for x in found]
     for _ in range(EPOCHS):
         for i in rng.permutation(len(held)):
@@ -419,7 +436,7 @@ def fit(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Voc
 
 def score(docs: DataFrame, vocab: Vocabulary, model: Model, counts: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """ident, n_tokens, n_known, base_score, score of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocab, model))  # bounded by HEAD and SHORTLIST
+    sent = docs.sparkSession.sparkContext.broadcast((vocab, model))  # bounded by HEAD
     kept = docs.schema[ident]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,12 +1,10 @@
 """Machine facts from input events of recorded pages.
 
-Edits of an element are compared with the text before by windows; only the linking of answer options, where a decision depends on
-earlier decisions, runs as a grouped Python function over the few option rows of a session.
+Edits of an element are compared with the text before by windows; answers and result panels are in ``answers``.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +14,16 @@ from evidencelake.functions.text import diff_excerpt, excerpt_in, input_role, is
 PASTE_CHARS, CORRECTION_CHARS, AUTOFORMAT_MS, SWITCH_MS, COPY_MS, PAIR_MS, CORPUS_CHARS = 50, 10, 500, 100, 120_000, 5_000, 20
 
 
-def edits(inputs: DataFrame) -> DataFrame:
-    """Typing rows (sk, element, section_type, ord, t_ms, text, is_checked) with the text before and the change in length."""
+def inputs_by_role(inputs: DataFrame) -> DataFrame:
+    """Input rows from an element's first text on, with their role and the text before."""
     w = Window.partitionBy("sk", "element").orderBy("t_ms", "ord")
     rows = inputs.withColumn("_filled", F.sum(F.when(F.col("text") != "", 1).otherwise(0)).over(w)).filter("_filled > 0").drop("_filled")
-    rows = rows.withColumn("role", input_role(F.col("text"), F.col("is_checked"), F.col("section_type"))).withColumn("before", F.lag("text").over(w))
+    return rows.withColumn("role", input_role(F.col("text"), F.col("is_checked"), F.col("section_type"))).withColumn("before", F.lag("text").over(w))
+
+
+def edits(inputs: DataFrame) -> DataFrame:
+    """Typing rows (sk, element, section_type, ord, t_ms, text, is_checked) with the text before and the change in length."""
+    rows = inputs_by_role(inputs)
     typed = rows.filter("role = 'real_typing'")
     own = Window.partitionBy("sk", "element").orderBy("t_ms", "ord")
     typed = typed.withColumn("n", F.row_number().over(own)).withColumn("since_ms", F.col("t_ms") - F.lag("t_ms").over(own))
@@ -52,45 +55,6 @@ def typing_stopped(facts: DataFrame) -> DataFrame:
     return out.withColumn("chars_per_second", F.when(length > 0, F.bround(F.col("inserted") / length, 1)).otherwise(0.0))
 
 
-def option_groups(options: DataFrame) -> DataFrame:
-    """Option rows (sk, section_id, element, ord, t_ms, text, is_checked) to answer groups with selections and changes.
-
-    Options are one question if a deselection and a selection fall within ``SWITCH_MS`` of each other in a section.
-    """
-
-    def session(pdf: pd.DataFrame) -> pd.DataFrame:
-        group_of: dict = {}
-        groups: dict = {}
-        selected: dict = {}
-        dropped: dict = {}
-        for r in pdf.sort_values(["t_ms", "ord"]).itertuples():
-            near = lambda seen: next((e for e, (t, s) in seen.items() if s == r.section_id and abs(r.t_ms - t) <= SWITCH_MS), None)  # noqa: E731, B023
-            if not r.is_checked:
-                other = near(selected)
-                if other is not None:
-                    target = group_of.get(other, other)
-                    if target != group_of.get(r.element, r.element):
-                        group_of[r.element] = target
-                        if target in groups and groups[target]["option"] != r.text:
-                            groups[target]["changes"] += 1
-                    selected.pop(other)
-                dropped[r.element] = (r.t_ms, r.section_id)
-                continue
-            selected[r.element] = (r.t_ms, r.section_id)
-            if r.element not in group_of:
-                other = near(dropped)
-                group_of[r.element] = group_of.get(other, other) if other is not None else r.element
-                dropped.pop(other, None)
-            g = groups.setdefault(group_of[r.element], {"option": r.text, "changes": 0, "n": 0, "first": r.t_ms, "last": r.t_ms})
-            g["n"], g["last"] = g["n"] + 1, r.t_ms
-            if g["option"] != r.text:
-                g["option"], g["changes"] = r.text, g["changes"] + 1
-        sk = pdf["sk"].iloc[0]
-        return pd.DataFrame([(sk, str(k), g["n"], g["changes"], g["first"], g["last"]) for k, g in groups.items()], columns=["sk", "answer_group", "n_selected", "n_changes", "first_ms", "last_ms"])
-
-    return options.groupBy("sk").applyInPandas(session, "sk string, answer_group string, n_selected bigint, n_changes bigint, first_ms bigint, last_ms bigint")
-
-
 def paste_origins(pastes: DataFrame, sources: DataFrame, corpus: DataFrame, copies: DataFrame) -> DataFrame:
     """Where each paste (sk, ord, t_ms, section_id, excerpt) comes from, by the first rule that holds.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidencelake.plans import decide, findings
-from evidencelake.plans.registry import HOUR, events, of_kind, query
+from evidencelake.plans.registry import HOUR, events, of_kind, query, spans
 
 GAP = 22 * HOUR
 
@@ -131,3 +131,21 @@ def r13_rule_chain(spark, sf_dir):
     )
     rows = of_kind(events(spark, sf_dir), "signup", "error").filter("k is not null")
     return rows.select("sk", "ord", rule.alias("rejected_by"))
+
+
+@query("""+ f AS (SELECT sk, ord, CASE k % 3 WHEN 0 THEN 'external_help' WHEN 1 THEN 'multiple_faces' ELSE 'phone_usage' END AS event_type, CASE WHEN k % 5 = 0 THEN 'unknown' ELSE 'flagged' END AS outcome, start_ms AS a, end_ms AS b
+        FROM iv WHERE kind = 'view' AND k IS NOT NULL),
+    g AS (SELECT *, outcome = 'flagged' AND event_type <> 'phone_usage' AND EXISTS (SELECT 1 FROM iv s WHERE s.kind = 'signup' AND s.sk = f.sk AND f.a < s.end_ms AND s.start_ms < f.b)
+        AND NOT EXISTS (SELECT 1 FROM iv s WHERE s.kind = 'error' AND s.sk = f.sk AND f.a < s.end_ms AND s.start_ms < f.b) AS gone FROM f)
+    SELECT sk, event_type, CASE WHEN gone THEN 'cleared' ELSE outcome END AS outcome, CASE WHEN gone THEN 'staff_speech' END AS reason, 'high' AS severity, a AS t0_ms, b AS t1_ms,
+        CASE WHEN gone THEN greatest(1, CAST(round_even((b - a) / 1000.0::DOUBLE, 0) AS BIGINT)) ELSE CAST(0 AS BIGINT) END AS dur_sec FROM g""")
+def v7_cross_modal_clearing(spark, sf_dir):
+    """Findings of views, staff speech of sign-ups, integrity speech of errors."""
+    rows = spans(spark, sf_dir)
+    k = F.col("k")
+    kind = F.when(k % 3 == 0, "external_help").when(k % 3 == 1, "multiple_faces").otherwise("phone_usage")
+    found = of_kind(rows, "view").filter("k is not null").select(
+        "sk", kind.alias("event_type"), F.when(k % 5 == 0, "unknown").otherwise("flagged").alias("outcome"), F.lit(None).cast("string").alias("reason"), F.lit("high").alias("severity"),
+        F.col("start_ms").alias("t0_ms"), F.col("end_ms").alias("t1_ms"), F.lit(0).cast("bigint").alias("dur_sec"),
+    )
+    return findings.clear_by_staff(found, of_kind(rows, "signup"), of_kind(rows, "error"))

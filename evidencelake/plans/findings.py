@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.functions.text import seconds
-from evidencelake.operators.joins import overlap
 from evidencelake.operators.sequences import episodes, island_ids
 
 COLUMNS = ["sk", "event_type", "outcome", "reason", "severity", "t0_ms", "t1_ms", "dur_sec"]
@@ -108,15 +107,23 @@ def speech(obs: DataFrame, gap_ms: int = 22_000) -> DataFrame:
     return finish(eps, "discussing_solution_audio", verdict, "high")
 
 
-def clear_by_staff(findings: DataFrame, staff_speech: DataFrame, integrity: DataFrame, width: int = 3_600_000) -> DataFrame:
-    """Help and extra faces that overlap staff speech and no integrity speech are cleared."""
-    f = findings.filter("outcome = 'flagged' and event_type in ('external_help', 'multiple_faces')").withColumnsRenamed({"t0_ms": "start_ms", "t1_ms": "end_ms"})
-    met = lambda other: overlap(f, other.select("sk", "start_ms", "end_ms"), ["sk"], width=width, closed=False).select("sk", "event_type", "start_ms", "end_ms").distinct()
-    keys = ["sk", "event_type", "start_ms", "end_ms"]
-    gone = met(staff_speech).join(met(integrity), keys, "left_anti").withColumnsRenamed({"start_ms": "t0_ms", "end_ms": "t1_ms"}).withColumn("gone", F.lit(True))
-    joined = findings.join(gone, ["sk", "event_type", "t0_ms", "t1_ms"], "left")
-    cleared = F.coalesce("gone", F.lit(False)) & (F.col("outcome") == "flagged")
-    return joined.withColumn("reason", F.when(cleared, "staff_speech").otherwise(F.col("reason"))).withColumn("outcome", F.when(cleared, "cleared").otherwise(F.col("outcome"))).select(COLUMNS)
+def clear_by_staff(findings: DataFrame, staff_speech: DataFrame, integrity: DataFrame) -> DataFrame:
+    """Help and extra faces that overlap staff speech and no integrity speech are cleared.
+
+    A finding overlaps one of a set of spans if, of those that start before its end, the latest end lies behind its start: one
+    window over both sets and the findings, without pairs.
+    """
+    point = lambda df, at, **ends: df.withColumns({"_at": F.col(at), **{k: F.col(v) if v else F.lit(None).cast("bigint") for k, v in ends.items()}})
+    rows = point(findings.withColumn("_finding", F.lit(True)), "t1_ms", _staff=None, _other=None)
+    spans = point(staff_speech, "start_ms", _staff="end_ms", _other=None).unionByName(point(integrity, "start_ms", _staff=None, _other="end_ms"), allowMissingColumns=True)
+    rows = rows.unionByName(spans.select("sk", "_at", "_staff", "_other"), allowMissingColumns=True)
+    before = Window.partitionBy("sk").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    meets = lambda ends: F.coalesce(F.max(ends).over(before) > F.col("t0_ms"), F.lit(False))
+    rows = rows.withColumns({"_by_staff": meets("_staff"), "_by_other": meets("_other")}).filter("_finding")
+    gone = F.col("_by_staff") & ~F.col("_by_other") & (F.col("outcome") == "flagged") & F.col("event_type").isin("external_help", "multiple_faces")
+    whole = F.greatest(F.lit(1), seconds(F.col("t1_ms") - F.col("t0_ms"))).cast("bigint")
+    instead = {"reason": F.lit("staff_speech"), "dur_sec": whole, "outcome": F.lit("cleared")}
+    return rows.withColumn("_gone", F.coalesce(gone, F.lit(False))).withColumns({c: F.when(F.col("_gone"), v).otherwise(F.col(c)) for c, v in instead.items()}).select(COLUMNS)
 
 
 def screen(obs: DataFrame, flags: dict[str, str], gap_ms: int = 90_000) -> DataFrame:

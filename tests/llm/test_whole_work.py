@@ -14,9 +14,9 @@ def test_a_run_with_one_seed_outside_is_kept_whole():
     assert substring.uncovered(doc, src, p, p + 7, []).all()
 
 
-def test_a_covering_chain_is_reported_whole():
+def test_a_covering_chain_has_enough_equal_words():
     wrong = 1 - substring.IDENTITY
-    # at the identity's limit, with every gap in both texts: no chain with fewer equal words covers anything
+    # at the identity's limit, with gaps of one length in both texts: no such chain with fewer equal words covers anything
     assert substring.SOLID >= 1 - wrong - 2 * substring.GAP_COST * wrong
 
 

@@ -54,8 +54,13 @@ def diff_excerpt(before: Column, after: Column, most: int = 300) -> Column:
     return F.substring(F.when(F.startswith(after, before), tail).otherwise(middle), F.lit(1), F.lit(most))
 
 
+#: White space of Unicode, as a class that both Java and RE2 read.
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def normalised(text: Column) -> Column:
-    return F.regexp_replace(F.lower(F.trim(text)), r"\s+", " ")
+    """Lower case, white space of any kind and length as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(text), SPACE + "+", " "))
 
 
 def excerpt_in(excerpt: Column, source: Column) -> Column:

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencelake.functions.text import diff_excerpt, excerpt_in, input_role, is_autoformat, locality, normalised
+from evidencelake.functions.text import diff_excerpt, input_role, is_autoformat, locality, normalised
+from evidencelake.operators.excerpts import BLOCK, blocks_of, occurrences
+from evidencelake.operators.folds import listed
 
 #: Fixed thresholds.
 PASTE_CHARS, CORRECTION_CHARS, AUTOFORMAT_MS, SWITCH_MS, COPY_MS, PAIR_MS, CORPUS_CHARS = 50, 10, 500, 100, 120_000, 5_000, 20
@@ -55,30 +57,71 @@ def typing_stopped(facts: DataFrame) -> DataFrame:
     return out.withColumn("chars_per_second", F.when(length > 0, F.bround(F.col("inserted") / length, 1)).otherwise(0.0))
 
 
-def paste_origins(pastes: DataFrame, sources: DataFrame, corpus: DataFrame, copies: DataFrame) -> DataFrame:
-    """Where each paste (sk, ord, t_ms, section_id, excerpt) comes from, by the first rule that holds.
+def session_corpus(facts: DataFrame, submissions: DataFrame) -> DataFrame:
+    """(sk, t): a session's submitted sources, then its texts of ``CORPUS_CHARS`` or more, in order, normalised and joined by blanks.
 
-    ``sources``: sk, origin ("starter" or "submission"), source.  ``corpus``: sk, source texts of the session.  ``copies``: sk, t_ms, section_id.
-    An earlier paste with the same (or a containing) excerpt makes a later one a duplicate.
+    One row and string per session.  Texts of white space alone add nothing.
     """
-    rows = pastes.withColumn("e", normalised(F.col("excerpt")))
-    texts = sources.withColumn("s", normalised(F.col("source")))
-    hit = rows.join(texts, "sk").filter(excerpt_in(F.col("e"), F.col("s"))).groupBy("sk", "ord").agg(F.bool_or(F.col("origin") == "starter").alias("starter"))
-    whole = corpus.groupBy("sk").agg(normalised(F.array_join(F.array_sort(F.collect_list("source")), "\n")).alias("all"))
-    rows = rows.join(whole, "sk", "left")
-    times = (F.char_length("all") - F.char_length(F.replace("all", F.col("e"), F.lit("")))) / F.char_length("e")
-    long_enough = F.char_length("e") >= CORPUS_CHARS
-    near = rows.select("sk", "ord", "t_ms", "section_id").join(copies.select("sk", F.col("t_ms").alias("c_ms"), F.col("section_id").alias("c_sec")), "sk")
-    same = F.col("section_id").isNull() | F.col("c_sec").isNull() | (F.col("section_id") == F.col("c_sec"))
-    copied = near.filter((F.col("t_ms") - F.col("c_ms")).between(0, COPY_MS) & same).select("sk", "ord").distinct().withColumn("copied", F.lit(True))
-    earlier = rows.filter(long_enough).select("sk", F.col("t_ms").alias("p_ms"), F.col("ord").alias("p_ord"), F.col("e").alias("p"))
-    before = F.struct("p_ms", "p_ord") < F.struct("t_ms", "ord")
-    alike = (F.col("p") == F.col("e")) | ((F.char_length("e") >= 40) & F.contains("e", F.col("p"))) | ((F.char_length("p") >= 40) & F.contains("p", F.col("e")))
-    again = rows.filter(long_enough).select("sk", "ord", "t_ms", "e").join(earlier, "sk").filter(before & alike).select("sk", "ord").distinct().withColumn("again", F.lit(True))
-    out = rows.join(hit, ["sk", "ord"], "left").join(copied, ["sk", "ord"], "left").join(again, ["sk", "ord"], "left")
+    sent = submissions.filter("source != ''").select("sk", F.lit(0).alias("part"), "t_ms", "ord", F.lit(0).alias("i"), F.col("source").alias("text"))
+    texts = facts.filter(F.col("kind").isin("LARGE_PASTE", "TEXT_CORRECTION")).select("sk", F.lit(1).alias("part"), "t_ms", "ord", F.posexplode("texts").alias("i", "text"))
+    parts = sent.unionByName(texts.filter(F.char_length("text") >= CORPUS_CHARS)).withColumn("text", normalised(F.col("text"))).filter("text != ''")
+    return listed(parts, ["sk"], ["part", "t_ms", "ord", "i", "text"], "rows").select("sk", F.array_join(F.transform("rows", lambda r: r["text"]), " ").alias("t"))
+
+
+def paste_origins(facts: DataFrame, submissions: DataFrame, copies: DataFrame, copy_ms: int = COPY_MS) -> DataFrame:
+    """Where each large paste comes from, by the first rule that holds: sk, ord, t_ms, origin, reason (null: from outside).
+
+    ``facts``: sk, ord, t_ms, kind, section_id, excerpt (its first 300 characters count), texts (array of the edit's texts, the
+    excerpt among them).  ``submissions``: sk, ord, t_ms, starter, source.  ``copies``: sk, t_ms, section_id.  Rows without a session
+    are left out; (sk, ord) is unique.
+
+    1, 2: the excerpt stands in a starter text or in a submitted source.  3: it stands at least twice, not overlapping, in the
+    session's corpus.  4: an earlier paste's excerpt is the same, or one holds the other and has 40 characters.  5: a copy
+    in the same section (or without one) lies at most ``copy_ms`` before.  Rules 1 to 4 need an excerpt of 20 characters.
+
+    Rules 1 to 4 look up an index of all texts of the session: each excerpt meets only blocks that share the key of its first
+    window of 20 characters.  An excerpt held by another one stands twice in the corpus, as both are in it, so rule 3 has
+    it; what rule 4 adds are later pastes that hold an earlier one, and no list of accepted pastes has to be kept in order.
+    Excerpts of under 20 characters once white space is folded have no window and are searched for in their session's texts one by one.
+    """
+    rows = facts.filter("kind = 'LARGE_PASTE' and sk is not null").select("sk", "ord", "t_ms", "section_id", F.substring("excerpt", 1, 300).alias("excerpt"))
+    rows = rows.withColumn("e", F.when(F.char_length("excerpt") >= CORPUS_CHARS, normalised(F.col("excerpt")))).drop("excerpt")
+    texts = rows.filter("e is not null").groupBy("sk", "e").agg(F.min(F.struct("t_ms", "ord")).alias("first"))
+    n = F.char_length("e")
+    middle = F.when(n >= 40, F.substring(F.col("e"), F.lit(6), n - 10)).otherwise(F.col("e"))
+    needles = texts.select("sk", "e", "first", F.explode(F.array(*[F.struct(F.lit(b).alias("bag"), t.alias("needle")) for b, t in (("starter", middle), ("source", middle), ("corpus", F.col("e")), ("paste", F.col("e")))])).alias("x"))
+    needles = needles.filter(n >= CORPUS_CHARS).select("sk", "x.bag", F.struct("e", "first").alias("e"), "x.needle")
+
+    sent = submissions.select("sk", F.explode(F.array(*[F.struct(F.lit(b).alias("bag"), normalised(F.col(b)).alias("s")) for b in ("starter", "source")])).alias("x"))
+    sent = sent.select("sk", "x.*").filter(F.char_length("s") >= CORPUS_CHARS).groupBy("sk", "bag").agg(F.array_join(F.array_sort(F.collect_set("s")), "\n").alias("s"))
+    corpus = session_corpus(facts, submissions)
+    holders = texts.filter(n >= 40).select("sk", F.lit("paste").alias("bag"), F.xxhash64("e").alias("block"), F.col("e").alias("t"))
+    long_texts = sent.unionByName(corpus.select("sk", F.lit("corpus").alias("bag"), F.col("t").alias("s")))
+    bag = lambda b: F.col("bag") == b
+    hits = occurrences(needles, blocks_of(long_texts, ["sk", "bag"], "s").unionByName(holders), ["sk", "bag"]).select("sk", "bag", "e.*", "t", F.when(bag("corpus"), F.col("block") * BLOCK + F.col("place")).alias("at"))
+    short = texts.filter(n < CORPUS_CHARS)
+    times = (F.char_length("t") - F.char_length(F.replace("t", F.col("e"), F.lit("")))) / F.nullif(n, F.lit(0))
+    often = short.join(corpus, "sk").filter(F.coalesce(times >= 2, F.lit(True))).select("sk", F.lit("often").alias("bag"), "e", "first", F.lit(None).cast("string").alias("t"), F.lit(None).cast("bigint").alias("at"))
+    held = short.join(holders, "sk").filter(F.contains("t", F.col("e"))).select("sk", "bag", "e", "first", "t", F.lit(None).cast("bigint").alias("at"))
+    # a hit speaks for its excerpt, but one in another excerpt speaks for that one
+    said = hits.unionByName(often).unionByName(held).filter(~bag("paste") | (F.col("t") != F.col("e"))).withColumn("e", F.when(bag("paste"), F.col("t")).otherwise(F.col("e")))
+    found = said.groupBy("sk", "e").agg(
+        F.bool_or(bag("starter")).alias("starter"), F.bool_or(bag("source")).alias("own"),
+        (F.bool_or(bag("often")) | F.coalesce(F.max("at") - F.min("at") >= F.any_value(n), F.lit(False))).alias("twice"),
+        F.min(F.when(bag("paste"), F.col("first"))).alias("held_first"),
+    )
+
+    # the last copy without a section, in the row's section, or (for a row without one) anywhere, as running maxima
+    both = rows.select("sk", "t_ms", "section_id", "ord", "e").unionByName(copies.select("sk", "t_ms", "section_id", F.col("t_ms").alias("c")), allowMissingColumns=True)
+    c, section = F.col("c"), F.col("section_id")
+    anywhere, there = Window.partitionBy("sk").orderBy("t_ms"), Window.partitionBy("sk", "section_id").orderBy("t_ms")
+    last = F.when(section.isNull(), F.max(c).over(anywhere)).otherwise(F.greatest(F.max(F.when(section.isNull(), c)).over(anywhere), F.max(c).over(there)))
+    rows = both.withColumn("copied", F.col("t_ms") - last <= copy_ms).filter("ord is not null")
+
+    out = rows.join(found, ["sk", "e"], "left")
     reason = (
-        F.when(F.col("starter"), "starter_code_match").when(F.col("starter").isNotNull(), "own_submission_match")
-        .when(F.coalesce(long_enough & (times >= 2), F.lit(False)), "in_session_corpus_match").when(F.col("again"), "duplicate_paste").when(F.col("copied"), "preceding_copy")
+        F.when(F.col("starter"), "starter_code_match").when(F.col("own"), "own_submission_match").when(F.col("twice"), "in_session_corpus_match")
+        .when(F.col("held_first") < F.struct("t_ms", "ord"), "duplicate_paste").when(F.col("copied"), "preceding_copy")
     )
     return out.select("sk", "ord", "t_ms", F.when(reason.isNotNull(), "internal").otherwise("external").alias("origin"), reason.alias("reason"))
 

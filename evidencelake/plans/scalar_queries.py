@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.functions import text, urls
+from evidencelake.operators.excerpts import window_keys
 from evidencelake.plans import facts
 from evidencelake.plans.registry import HOUR, events, of_kind, query, spans, table
 
@@ -98,10 +99,11 @@ def x18_paste_excerpt(spark, sf_dir):
     return rows.select("conv_id", "turn", text.diff_excerpt(before, after).alias("excerpt"))
 
 
-NORMAL = "regexp_replace(lower(trim({c}, ' ')), '\\s+', ' ', 'g')"
+def normal_sql(column: str) -> str:
+    return f"trim(regexp_replace(lower({column}), '{text.SPACE}+', ' ', 'g'), ' ')"
 
 
-@query(f"""+ b AS (SELECT item_id, {NORMAL.format(c='text')} AS e FROM benchmark), d AS (SELECT doc_id, {NORMAL.format(c='text')} AS s FROM documents)
+@query(f"""+ b AS (SELECT item_id, {normal_sql('text')} AS e FROM benchmark), d AS (SELECT doc_id, {normal_sql('text')} AS s FROM documents)
     SELECT item_id, doc_id FROM b, d WHERE length(e) >= 20 AND length(s) >= 20 AND (contains(s, e) OR (length(e) >= 40 AND length(substr(e, 6, length(e) - 10)) >= 20 AND contains(s, substr(e, 6, length(e) - 10))))""")
 def x20_excerpt_containment(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").select("item_id", text.normalised(F.col("text")).alias("e"))
@@ -138,16 +140,7 @@ def keyed(rows: DataFrame, ident: str) -> DataFrame:
         for batch in batches:
             at, keys = [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                c = np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.uint64)
-                h = np.zeros(len(c) - 9, np.uint64)
-                for j in range(10):
-                    h = h * np.uint64(0x9E3779B97F4A7C15) + c[j : j + len(h)]
-                h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-                h ^= h >> np.uint64(32)
-                two = np.minimum(h[:-1], h[1:])
-                four = np.minimum(two[:-2], two[2:])
-                eight = np.minimum(four[:-4], four[4:])
-                least = np.unique(np.minimum(eight[:-3], eight[3:]))
+                least = np.unique(window_keys(t)[1])
                 at.append(np.full(len(least), i))
                 keys.append(least.view(np.int64))
             if at:

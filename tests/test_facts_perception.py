@@ -23,16 +23,6 @@ def test_option_groups(spark):
     assert sum(n for n, _ in got.values()) == 3 and sum(c for _, c in got.values()) == 1
 
 
-def test_paste_origins(spark):
-    e = "select alpha, beta from gamma where delta"
-    pastes = spark.createDataFrame([("s", 1, 0, None, e), ("s", 2, 10, None, e.upper()), ("s", 3, 200_000, "x", "unique words nobody wrote before"), ("s", 4, 300_000, None, "starter text of twenty chars")], "sk string, ord int, t_ms bigint, section_id string, excerpt string")
-    sources = spark.createDataFrame([("s", "starter", "// starter   text of twenty CHARS here")], "sk string, origin string, source string")
-    corpus = spark.createDataFrame([("s", "nothing to see")], "sk string, source string")
-    copies = spark.createDataFrame([("s", 150_000, None)], "sk string, t_ms bigint, section_id string")
-    got = {r["ord"]: (r["origin"], r["reason"]) for r in facts.paste_origins(pastes, sources, corpus, copies).collect()}
-    assert got == {1: ("external", None), 2: ("internal", "duplicate_paste"), 3: ("internal", "preceding_copy"), 4: ("internal", "starter_code_match")}
-
-
 def test_projection(spark):
     rows = [("s", "c", 0, 10, "phone_in_hand", {}, 0.5, "HIGH"), ("s", "c", 20, 30, "other", {"objectInHand": "phone", "gazeDirection": "UNKNOWN"}, 0.5, "HIGH"), ("s", "c", 40, 50, "notes_visible", {"paperVisible": "no"}, 0.5, "HIGH")]
     df = spark.createDataFrame(rows, "sk string, chunk_id string, start_ms bigint, end_ms bigint, kind string, attrs map<string,string>, confidence double, tier string")

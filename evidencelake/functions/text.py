@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,23 +37,33 @@ def locality(before: Column, after: Column) -> Column:
     return F.when(F.startswith(after, before), "append_at_end").otherwise("mid_document_replace")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def common_prefix(a: Column, b: Column) -> Column:
-    """How many leading characters are equal, by halving: beginnings that are equal stay equal when shortened."""
-    n = F.least(F.char_length(a), F.char_length(b))
-    same = lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i)
+    """How many leading characters are equal, by halving: each step compares the next characters only."""
     steps = F.array(*[F.lit(1 << k) for k in range(24, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda lo, step: F.when((lo + step <= n) & same(lo + step), lo + step).otherwise(lo))
+
+    def searched(x: Column) -> Column:
+        same = lambda lo, step: F.substring(x["a"], lo + 1, step) == F.substring(x["b"], lo + 1, step)
+        return F.aggregate(steps, F.lit(0), lambda lo, step: F.when((lo + step <= x["n"]) & same(lo, step), lo + step).otherwise(lo))
+
+    return bound(F.struct(a.alias("a"), b.alias("b"), F.least(F.char_length(a), F.char_length(b)).alias("n")), searched)
 
 
 def diff_excerpt(before: Column, after: Column, most: int = 300) -> Column:
     """The appended tail, else what is left of ``after`` without the common beginning and end."""
-    tail = F.substring(after, F.char_length(before) + 1, F.char_length(after))
-    head = common_prefix(before, after)
-    rest_a = F.substring(before, head + 1, F.char_length(before))
-    rest_b = F.substring(after, head + 1, F.char_length(after))
-    end = common_prefix(F.reverse(rest_a), F.reverse(rest_b))
-    middle = F.substring(rest_b, F.lit(1), F.char_length(rest_b) - end)
-    return F.substring(F.when(F.startswith(after, before), tail).otherwise(middle), F.lit(1), F.lit(most))
+
+    def excerpt(x: Column) -> Column:
+        tail = F.substring(x["b"], F.char_length(x["a"]) + 1, F.char_length(x["b"]))
+        left = lambda c, head: F.substring(x[c], head + 1, F.char_length(x[c])).alias(c)
+        rest = bound(common_prefix(x["a"], x["b"]), lambda head: F.struct(left("a", head), left("b", head)))
+        middle = bound(rest, lambda r: F.substring(r["b"], F.lit(1), F.char_length(r["b"]) - common_prefix(F.reverse(r["a"]), F.reverse(r["b"]))))
+        return F.substring(F.when(F.startswith(x["b"], x["a"]), tail).otherwise(middle), F.lit(1), F.lit(most))
+
+    return bound(F.struct(before.alias("a"), after.alias("b")), excerpt)
 
 
 #: White space of Unicode, as a class that both Java and RE2 read.

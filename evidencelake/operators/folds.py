@@ -73,11 +73,11 @@ def greedy_pairs(
         both = place(a, low, high, 0).unionByName(place(b, at, at, 1), allowMissingColumns=True)
         w = Window.partitionBy(*keys).orderBy("_lo", "_side")
         opens = F.coalesce(F.col("_lo") > F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
-        cut = both.withColumn("_opens", opens.cast("int")).withColumn("_piece", F.sum("_opens").over(w))
-        a, b = cut.filter("_side = 0"), cut.filter("_side = 1")
+        both = both.withColumn("_opens", opens.cast("int")).withColumn("_piece", F.sum("_opens").over(w)).withColumnRenamed("_side", "_which")
         by = [*by, "_piece"]
+    else:
+        both = a.withColumn("_which", F.lit(0)).unionByName(b.withColumn("_which", F.lit(1)), allowMissingColumns=True)
     rows = lambda side, fields: F.array_sort(F.collect_list(F.when(F.col("_which") == side, F.struct(*fields))))
-    both = a.withColumn("_which", F.lit(0)).unionByName(b.withColumn("_which", F.lit(1)), allowMissingColumns=True)
     both = both.groupBy(*by).agg(rows(0, a_fields).alias("_a"), rows(1, b_fields).alias("_b")).filter((F.size("_a") > 0) & (F.size("_b") > 0))
     init = F.struct(F.array().cast(f"array<{pair}>").alias("pairs"), F.col("_b").alias("free"))
 

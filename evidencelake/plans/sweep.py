@@ -10,6 +10,7 @@ The results are those of the detectors in ``risk``, row by row.  Rows are told a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -30,6 +31,10 @@ SAME_Q = "(q is null or b_q is null or q = b_q)"
 SAME_SEC = "(sec is null or b_sec is null or sec = '' or b_sec = '' or sec = b_sec)"
 
 
+#: A bound of a rule's window.
+WINDOW = re.compile(r"(start_ms|end_ms)(?: ([+-]) (\d+))?")
+
+
 @dataclass(frozen=True)
 class Rule:
     """A of the roles ``a`` meets B of the roles ``b`` where their windows touch and ``where`` holds.
@@ -95,30 +100,49 @@ def tables(rows: DataFrame, config: risk.Config) -> risk.EventTables:
     return risk.EventTables(**{role: rows.filter(F.col("role") == role).drop("role") for role in names}, config=config)
 
 
-def met(rows: DataFrame, rules: Sequence[Rule], columns: Sequence[str]) -> DataFrame:
-    """(sk, rule, columns of A, columns of B with b_): each pair of each rule once.
+def met(rows: DataFrame, rules: Sequence[Rule], columns: Sequence[str], b_columns: Sequence[str] | None = None) -> DataFrame:
+    """(sk, rule, columns of A, columns of B with b_, by default the same): each pair of each rule once.
 
     A row is laid into the buckets of time that its rules' windows touch; A and B meet in a bucket, and are compared in the
     one where the later window starts.  The join's key is session, rule and bucket, so a session of any length is spread.
     """
 
+    own = [list(dict.fromkeys([*c, "start_ms", "end_ms"])) for c in (columns, columns if b_columns is None else b_columns)]
+
     def laid(side: int) -> DataFrame:
+        # an entry travels with its rule's number; the rule's name, windows and width are looked up again behind the join
         entries: dict[str, list[str]] = {}
-        for r in rules:
+        for i, r in enumerate(rules):
             for role in (r.a, r.b)[side]:
                 lo, hi = (r.a_window, r.b_window)[side]
-                entries.setdefault(role, []).append(f"named_struct('rule', '{r.name}', 'lo', bigint({lo}), 'hi', bigint({hi}), 'width', bigint({r.width}))")
-        wanted = "case role " + " ".join(f"when '{role}' then array({', '.join(own)})" for role, own in entries.items()) + " end"
-        spread = rows.filter(F.col("role").isin(*entries)).selectExpr("sk", *columns, f"inline({wanted})")
-        return spread.withColumn("bucket", F.expr("explode(sequence(floor(lo / width), floor(greatest(lo, hi) / width)))"))
+                entries.setdefault(role, []).append(f"named_struct('rule', {i}, 'lo', bigint({lo}), 'hi', bigint({hi}), 'width', bigint({r.width}))")
+        wanted = "case role " + " ".join(f"when '{role}' then array({', '.join(found)})" for role, found in entries.items()) + " end"
+        spread = rows.filter(F.col("role").isin(*entries)).selectExpr("sk", *own[side], f"inline({wanted})")
+        return spread.withColumn("bucket", F.expr("explode(sequence(floor(lo / width), floor(greatest(lo, hi) / width)))")).drop("lo", "hi", "width")
 
-    b = laid(1).drop("width")
     keys = ["sk", "rule", "bucket"]
-    pairs = laid(0).join(b.selectExpr(*keys, *[f"{c} as b_{c}" for c in ("lo", "hi", *columns)]), keys)
-    touch = "lo <= b_hi and b_lo <= hi and floor(greatest(lo, b_lo) / width) = bucket"
-    wheres = {r.name: r.where for r in rules if r.where}
-    pairs = pairs.filter(f"{touch} and {by_rule(wheres, 'true')}")
-    return pairs.select("sk", "rule", *columns, *[f"b_{c}" for c in columns])
+    pairs = laid(0).join(laid(1).selectExpr(*keys, *[f"{c} as b_{c}" for c in own[1]]), keys)
+    look_up = lambda values: f"element_at(array({', '.join(map(str, values))}), rule + 1)"
+
+    def window(side: int, end: int) -> str:
+        parts = [WINDOW.fullmatch((r.a_window, r.b_window)[side][end]) for r in rules]
+        at_end = look_up(["true" if p[1] == "end_ms" else "false" for p in parts])
+        prefix = ("", "b_")[side]
+        return f"(if({at_end}, {prefix}end_ms, {prefix}start_ms) + {look_up([f'bigint({p[2] or chr(43)}{p[3] or 0})' for p in parts])})"
+
+    lo, hi, b_lo, b_hi, width = window(0, 0), window(0, 1), window(1, 0), window(1, 1), look_up([f"bigint({r.width})" for r in rules])
+    touch = f"{lo} <= {b_hi} and {b_lo} <= {hi} and floor(greatest({lo}, {b_lo}) / {width}) = bucket"
+    wheres = " ".join(f"when {i} then {r.where}" for i, r in enumerate(rules) if r.where)
+    pairs = pairs.filter(f"{touch} and {f'case rule {wheres} else true end' if wheres else 'true'}")
+    pairs = pairs.withColumn("rule", F.expr(look_up([f"'{r.name}'" for r in rules])))
+    return pairs.select("sk", "rule", *own[0], *[f"b_{c}" for c in own[1]])
+
+
+def used(rules: Sequence[Rule], columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    """The columns of A and those of B that the rules' conditions, picks and amounts name."""
+    text = " ".join(" ".join((r.where, r.intensity, r.t0, r.t1, r.q, *r.pick, *r.order, r.still)) for r in rules)
+    named = set(re.findall(r"\w+", text)) | {"ord", "b_ord"}
+    return [c for c in columns if c in named], [c for c in columns if f"b_{c}" in named]
 
 
 def by_rule(values: dict[str, str], otherwise: str = "null") -> str:
@@ -264,7 +288,6 @@ def detect(rows: DataFrame, config: risk.Config) -> DataFrame:
     """The contributions of all 28 detectors to tagged rows that are gathered by session (``risk.by_session``)."""
     known = flagged(rows, config)
     known = known.unionByName(stretches(rows, config), allowMissingColumns=True)
-    columns = [*BASE, *EXTRA, *FLAGS]
     rules = pair_rules(config)
-    out = contributions(picked(met(known, rules, columns), rules), rules)
+    out = contributions(picked(met(known, rules, *used(rules, [*BASE, *EXTRA, *FLAGS])), rules), rules)
     return out.unionByName(of_one_kind(rows, config)).unionByName(gaze_then_input(rows, config)).unionByName(gaze_speech_answer(rows, config))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 GRAM, WINDOW = 10, 20
 #: Long texts are cut into blocks of this many characters, each followed by the next block's first ``OVERHANG``.
 BLOCK, OVERHANG = 1024, 600
+#: Characters hashed at a time.
+FLUSH = 1_000_000
 
 
 def window_keys(text: str):
@@ -45,17 +47,26 @@ def keyed_places(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            at, keys, places = [], [], []
-            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
-                h, least = window_keys(text)
+            texts = batch.column(len(keep)).to_pylist()
+            stops = np.cumsum([len(t) for t in texts])
+            rows, keys, places, first = [], [], [], 0
+            while first < len(texts):  # many texts at a time, as one
+                begin = int(stops[first - 1]) if first else 0
+                after = max(first + 1, int(np.searchsorted(stops, begin + FLUSH, side="right")))
+                h, least = window_keys("".join(texts[first:after]))
+                ends = stops[first:after] - begin
+                of = np.searchsorted(ends, np.arange(len(h)), side="right")
+                least[np.arange(len(least)) + WINDOW > ends[of[: len(least)]]] = 0  # windows that reach into the next text
                 # a gram is the least of a window if the largest of its windows' least hashes is its own
                 reached = over_eleven(np.maximum, np.concatenate([np.zeros(GRAM, np.uint64), least, np.zeros(GRAM, np.uint64)]))
                 place = np.flatnonzero(reached == h)
-                at.append(np.full(len(place), i))
+                place = place[place + GRAM <= ends[of[place]]]
+                rows.append(first + of[place])
                 keys.append(h[place].view(np.int64))
-                places.append(place.astype(np.int32))
-            if at:
-                kept = batch.select(list(keep)).take(pa.array(np.concatenate(at)))
+                places.append((place - np.append(0, ends)[of[place]]).astype(np.int32))
+                first = after
+            if rows:
+                kept = batch.select(list(keep)).take(pa.array(np.concatenate(rows)))
                 columns = [*kept.columns, pa.array(np.concatenate(keys)), pa.array(np.concatenate(places))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "key", "place"])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from evidencelake.functions.text import diff_excerpt, input_role, is_autoformat, locality, normalised
 from evidencelake.operators.excerpts import BLOCK, blocks_of, occurrences
 from evidencelake.operators.folds import listed
+from evidencelake.plans import risk
 
 #: Fixed thresholds.
 PASTE_CHARS, CORRECTION_CHARS, AUTOFORMAT_MS, SWITCH_MS, COPY_MS, PAIR_MS, CORPUS_CHARS = 50, 10, 500, 100, 120_000, 5_000, 20
@@ -84,7 +85,10 @@ def paste_origins(facts: DataFrame, submissions: DataFrame, copies: DataFrame, c
     it; what rule 4 adds are later pastes that hold an earlier one, and no list of accepted pastes has to be kept in order.
     Excerpts of under 20 characters once white space is folded have no window and are searched for in their session's texts one by one.
     """
-    rows = facts.filter("kind = 'LARGE_PASTE' and sk is not null").select("sk", "ord", "t_ms", "section_id", F.substring("excerpt", 1, 300).alias("excerpt"))
+    # each is read several times, but cut and exchanged once
+    facts = risk.by_session(facts.filter("kind in ('LARGE_PASTE', 'TEXT_CORRECTION')").select("sk", "ord", "t_ms", "kind", "section_id", "excerpt", "texts"))
+    submissions = risk.by_session(submissions.select("sk", "ord", "t_ms", "starter", "source"))
+    rows = facts.filter("kind = 'LARGE_PASTE'").select("sk", "ord", "t_ms", "section_id", F.substring("excerpt", 1, 300).alias("excerpt"))
     rows = rows.withColumn("e", F.when(F.char_length("excerpt") >= CORPUS_CHARS, normalised(F.col("excerpt")))).drop("excerpt")
     texts = rows.filter("e is not null").groupBy("sk", "e").agg(F.min(F.struct("t_ms", "ord")).alias("first"))
     n = F.char_length("e")

@@ -92,8 +92,13 @@ def by_session(rows: DataFrame) -> DataFrame:
     All tables that are cut from the result share this one exchange, and what they are joined, windowed and grouped by
     begins with the session, so nothing is exchanged again.
     """
-    gathered = rows.filter("sk is not null").groupBy("sk").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "sk"])).alias("rows"))
-    return gathered.select("sk", F.inline("rows"))
+    return gathered(rows.filter("sk is not null"))
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """The same rows, gathered once by session, those without one, too."""
+    lists = rows.groupBy("sk").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "sk"])).alias("rows"))
+    return lists.select("sk", F.inline("rows"))
 
 
 def contribution(df: DataFrame, factor: str, intensity: Column | float, t0: str | Column, t1: str | Column, q: str | Column | None = None) -> DataFrame:

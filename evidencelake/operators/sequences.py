@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencelake.operators.intervals import union_length
-
 
 def island_ids(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, gap_ms: int, rule: str = "last", same: Sequence[str] = ()
@@ -29,11 +27,13 @@ def episodes(
 ) -> DataFrame:
     """Episodes of rows where ``when`` holds: span, number of hits and union length of the hits."""
     hits = island_ids(df.filter(when), keys, order, start, end, gap_ms)
-    spans = hits.groupBy(*keys, "island").agg(
-        F.min(start).alias("t0_ms"), F.max(end).alias("t1_ms"), F.count("*").alias("n_hits"), *extra
+    # what a hit adds to the union of those that start before it; hits of no length add nothing
+    span = F.when(F.col(end) > F.col(start), F.col(end))
+    before = F.max(span).over(Window.partitionBy(*keys, "island").orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1))
+    hits = hits.withColumn("_adds", F.greatest(F.lit(0), span - F.greatest(F.col(start), before)))
+    return hits.groupBy(*keys, "island").agg(
+        F.min(start).alias("t0_ms"), F.max(end).alias("t1_ms"), F.count("*").alias("n_hits"), *extra, F.sum("_adds").cast("bigint").alias("union_ms")
     )
-    lengths = union_length(hits, [*keys, "island"], start, end).drop("n_pieces")
-    return spans.join(lengths, [*keys, "island"], "left").withColumn("union_ms", F.coalesce("union_ms", F.lit(0)))
 
 
 def bursts(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from evidencelake.functions.text import question_number, seconds
 from evidencelake.operators import sequences
 from evidencelake.operators.joins import locate
-from evidencelake.plans import findings
+from evidencelake.plans import findings, risk
 from evidencelake.plans.timeline import SESSION_LIMIT_MS
 
 #: Least confidence of a usable observation, and classes of speech (fixed values).
@@ -89,13 +89,20 @@ def observation_flags(obs: DataFrame) -> DataFrame:
     })
 
 
+#: What the classifiers read of an observation, beside its place.
+FLAGS = (
+    "face_absent", "capture_issue", "left_seat", "left_fully", "person_visible", "interacting", "passing", "adjacent", "staff", "reflection", "gaze_away", "gaze",
+    "second_monitor", "recurrent", "phone_visible", "in_hand", "earphone", "speech", "integrity_speech", "admin_speech", "lip_mismatch", "off_camera", "ringtone", "summary",
+)
+
+
 def live_usable(obs: DataFrame) -> DataFrame:
     return obs.filter((F.col("phase") == "live_exam") & usable(F.col("video_available"), F.col("tier"), F.col("confidence")))
 
 
 def video_findings(obs: DataFrame) -> DataFrame:
     """All camera findings of the observations' flags: six classifiers, cleared by staff speech, numbered in order of time."""
-    rows = live_usable(obs)
+    rows = risk.gathered(live_usable(obs).select("sk", "ord", "start_ms", "end_ms", *FLAGS))  # every classifier reads them
     found = [f(rows) for f in (findings.face, findings.second_person, findings.gaze, findings.phone, findings.wearable, findings.speech)]
     every = found[0]
     for more in found[1:]:

@@ -50,6 +50,8 @@ END = b""  # no word is empty, so this stands for the end of a text
 CONTEXT, DIM, NOISE, SHARED, SEED = 6, 16, 10, 16, 11
 #: Tokens of a training step, and tokens scored at a time.
 STEP = 1 << 14
+#: Rows of group scores held at a time.
+BLOCK = 1 << 10
 RATE, START_TOKENS, EPOCHS, PIECE_BYTES = 0.1, 1_000_000, 4, 1 << 13
 #: Pieces in which parameters are averaged.
 PIECES = 64
@@ -109,7 +111,7 @@ class Model:
         self.members = -(-self.units // self.groups)
         held = np.zeros(self.groups * self.members)
         held[: self.units] = unit_counts + 0.5
-        mass = held.reshape(self.members, self.groups).T
+        mass = np.ascontiguousarray(held.reshape(self.members, self.groups).T)  # a row of a group's members is a view
         self.size = np.bincount(np.arange(self.units) % self.groups, minlength=self.groups)  # members that are there
         self.group_share = mass.sum(axis=1) / mass.sum()
         self.member_share = mass / mass.sum(axis=1, keepdims=True)
@@ -136,23 +138,26 @@ class Model:
 
     def predictions(self, padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Context vectors of all places and the prediction vector at each; the first CONTEXT places of a text have none of their own."""
-        held = self.context[padded]
-        out = np.zeros_like(held)
+        held = self.context.take(padded, axis=0)
+        out, step = np.zeros_like(held), np.empty_like(held)
         for i in range(CONTEXT):
-            out[i + 1 :] += held[: -i - 1] * self.position[i]
+            out[i + 1 :] += np.multiply(held[: -i - 1], self.position[i], out=step[i + 1 :])
         return held, out
 
     def log10(self, padded: np.ndarray, inside: np.ndarray) -> np.ndarray:
         """log10 P(unit | context) at the places ``inside``, in order."""
-        q, unit = self.predictions(padded)[1][inside], padded[inside]
+        unit = padded[inside]
         group, member = (unit % self.groups).astype(np.uint16), unit // self.groups
         order = np.argsort(group, kind="stable")
-        q, group, member = q[order], group[order], member[order]
-        scores = q @ self.group.T + self.group_bias
-        found = scores[np.arange(len(unit)), group] - log_total(scores)
+        group, member = group[order], member[order]
+        q = self.predictions(padded)[1].take(inside.take(order), axis=0)
+        row = group * np.int64(self.members) + member
+        found = np.einsum("ij,ij->i", q, self.group.take(group, axis=0)) + self.group_bias.take(group)
+        found += np.einsum("ij,ij->i", q, self.member.reshape(-1, DIM).take(row, axis=0)) + self.member_bias.take(row)
+        for at in range(0, len(q), BLOCK):
+            found[at : at + BLOCK] -= log_total(q[at : at + BLOCK] @ self.group.T, self.group_bias)
         for g, own in segments(group):
-            scores = q[own] @ self.member[g, : self.size[g]].T + self.member_bias[g, : self.size[g]]
-            found[own] += scores[np.arange(len(scores)), member[own]] - log_total(scores)
+            found[own] -= log_total(q[own] @ self.member[g, : self.size[g]].T, self.member_bias[g, : self.size[g]])
         out = np.empty(len(unit))
         out[order] = found
         return out / np.log(10)
@@ -186,13 +191,15 @@ def segments(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(keys[a]), slice(a, b)
 
 
-def log_total(scores: np.ndarray) -> np.ndarray:
-    """Logarithm of the sum of exponentials of each row."""
-    most = scores.max(initial=0)
-    if most > 60:  # far from what single precision holds otherwise
+def log_total(scores: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials of each row and the bias."""
+    with np.errstate(over="ignore"):
+        total = np.exp(scores) @ np.exp(bias)
+    if len(total) and not (1e-20 < total.min() and total.max() < 1e30):  # near or beyond what single precision holds
+        scores = scores + bias
         most = scores.max(axis=1, keepdims=True)
         return np.log(np.exp(scores - most).sum(axis=1)) + most[:, 0]
-    return np.log(np.exp(scores).sum(axis=1))
+    return np.log(total)
 
 
 class Trainer:
@@ -217,62 +224,85 @@ class Trainer:
             self.step(padded, inside)
         self.waiting, self.held = [], 0
 
-    def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, odds: np.ndarray, cdf: np.ndarray, own: np.ndarray) -> tuple:
-        """Slopes of q, vectors and bias for telling ``own`` from noise of the distribution with these sums and log odds."""
-        noise = np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(odds) - 1)
-        mine, level = vectors[own], bias - odds
-        data = chance(np.einsum("ij,ij->i", q, mine) + level[own]) - 1
-        other = chance(q @ vectors[noise].T + level[noise]) * np.float32(NOISE / SHARED)
-        slope_q = data[:, None] * mine + other @ vectors[noise]
-        slope_v = np.zeros_like(vectors)
-        if len(odds) * len(own) < 1 << 16:
-            chosen = np.zeros((len(odds), len(own)), np.float32)
-            chosen[own, np.arange(len(own))] = data
-            slope_v += chosen @ q
-        else:
-            order = np.argsort(own, kind="stable")
-            starts = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
-            slope_v[own[order][starts]] = np.add.reduceat((data[:, None] * q)[order], starts)
-        np.add.at(slope_v, noise, other.T @ q)
-        slope_b = (np.bincount(own, data, len(odds)) + np.bincount(noise, other.sum(axis=0), len(odds))).astype(np.float32)
-        return slope_q, slope_v, slope_b
+    def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, odds: np.ndarray, own: np.ndarray, runs: list[slice], noise: np.ndarray) -> tuple:
+        """Slopes of q, vectors and bias for telling the rows ``own`` from noise, a row of ``noise`` for each run of q, with these log odds."""
+        mine, level, far = vectors.take(own, axis=0), bias - odds, vectors[noise]
+        data = chance(np.einsum("ij,ij->i", q, mine) + level.take(own)) - 1
+        other = np.empty((len(q), SHARED), np.float32)
+        for run, x, base in zip(runs, far, level[noise], strict=True):
+            np.add(q[run] @ x.T, base, out=other[run])
+        other = chance(other)
+        other *= np.float32(NOISE / SHARED)
+        slope_q, slope_v, pull = np.multiply(data[:, None], mine, out=mine), np.zeros_like(vectors), np.empty_like(far)
+        for i, (run, x) in enumerate(zip(runs, far, strict=True)):
+            slope_q[run] += other[run] @ x
+            np.matmul(other[run].T, q[run], out=pull[i])
+        add_rows(slope_v, own, data[:, None] * q)
+        add_rows(slope_v, noise.ravel(), pull)
+        slope_b = np.bincount(own, data, len(odds))
+        slope_b += np.bincount(noise.ravel(), np.add.reduceat(other, [run.start for run in runs]).ravel(), len(odds))
+        return slope_q, slope_v, slope_b.astype(np.float32)
+
+    def noise(self, cdf: np.ndarray) -> np.ndarray:
+        """Samples of the distribution with these sums."""
+        return np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(cdf) - 1)
 
     def step(self, padded: np.ndarray, inside: np.ndarray) -> None:
         m, sums = self.model, self.sums
         held, q = m.predictions(padded)
         units = padded[inside]
-        group = (units % m.groups).astype(np.uint16)
-        order = np.argsort(group, kind="stable")
-        inside, group, member = inside[order], group[order], units[order] // m.groups
-        q = q[inside]
-        slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, self.group_odds, self.group_cdf, group)
+        row = units % m.groups * m.members + units // m.groups  # the member's, groups one after the other
+        order = np.argsort(row.astype(np.uint16 if m.groups * m.members < 1 << 16 else np.int32), kind="stable")
+        inside, row = inside.take(order), row.take(order)
+        q, group = q.take(inside, axis=0), row // m.members
+        noise = self.noise(self.group_cdf)[None]
+        slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, self.group_odds, group, [slice(0, len(q))], noise)
         adagrad(m.group, sums[2], slope_v)
         adagrad(m.group_bias, sums[4], slope_b)
-        for g, own in segments(group):
-            more, slope_v, slope_b = self.contrast(q[own], m.member[g], m.member_bias[g], self.member_odds[g], self.member_cdf[g], member[own])
-            slope_q[own] += more
-            adagrad(m.member[g], sums[3][g], slope_v)
-            adagrad(m.member_bias[g], sums[5][g], slope_b)
+        found = list(segments(group))
+        noise = np.stack([g * m.members + self.noise(self.member_cdf[g]) for g, _ in found])
+        vectors, bias = m.member.reshape(-1, DIM), m.member_bias.reshape(-1)
+        more, slope_v, slope_b = self.contrast(q, vectors, bias, self.member_odds.reshape(-1), row, [own for _, own in found], noise)
+        slope_q += more
+        adagrad(vectors, sums[3].reshape(-1, DIM), slope_v)
+        adagrad(bias, sums[5].reshape(-1), slope_b)
         back = np.zeros_like(held)
         back[inside] = slope_q
         slopes = np.zeros_like(held)
+        step = np.empty_like(held)
         for i in range(CONTEXT):
-            slopes[: -i - 1] += back[i + 1 :] * m.position[i]
+            slopes[: -i - 1] += np.multiply(back[i + 1 :], m.position[i], out=step[i + 1 :])
         position = np.stack([np.einsum("ij,ij->j", back[i + 1 :], held[: -i - 1]) for i in range(CONTEXT)])
         order = np.argsort(padded.astype(np.uint16 if m.units < 1 << 16 else np.int32), kind="stable")
-        starts = np.flatnonzero(np.append(True, padded[order][1:] != padded[order][:-1]))
-        adagrad(m.context, sums[0], np.add.reduceat(slopes[order], starts), padded[order][starts])
+        found = padded.take(order)
+        new = np.append(True, found[1:] != found[:-1])
+        rank = np.empty_like(order)
+        rank[order] = np.cumsum(new) - 1
+        slope = np.zeros((rank[order[-1]] + 1, DIM), np.float32)
+        add_rows(slope, rank, slopes)
+        adagrad(m.context, sums[0], slope, found[new])
         adagrad(m.position, sums[1], position)
         self.tokens += len(units)
 
 
+def add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add each of the values to its row of a contiguous array, in order."""
+    np.add.at(total.reshape(-1), (rows[:, None] * DIM + np.arange(DIM)).ravel(), values.ravel())
+
+
 def chance(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.maximum(x, -60)))
+    out = np.maximum(x, -60)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def adagrad(values: np.ndarray, sums: np.ndarray, slope: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
-    sums[rows] += slope * slope
-    values[rows] -= np.float32(RATE) * slope / np.sqrt(sums[rows])
+    more = sums[rows] + slope * slope
+    sums[rows] = more
+    change = np.multiply(slope, np.float32(RATE))
+    change /= np.sqrt(more, out=more)
+    values[rows] -= change
 
 
 def training(docs: DataFrame, ident: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.operators import sequences
+from evidencelake.operators.stashes import stash
 from evidencelake.plans import observed, report, risk, sweep
 
 #: Which events of the timeline a detector's table holds (fixed values).
@@ -18,7 +19,7 @@ TABLES = {
 
 
 def event_rows(timeline: DataFrame, config: risk.Config) -> DataFrame:
-    """The timeline's events with their roles for the detectors, gathered once by session; a role's rows are numbered where they have no ord."""
+    """The timeline's events with their roles for the detectors, gathered once by session and written; a role's rows are numbered where they have no ord."""
     number = F.row_number().over(Window.partitionBy("sk").orderBy("t_ms", "source", "evidence_ref")).cast("bigint")
     role = "case " + " ".join(f"when kind in ({', '.join(map(repr, kinds))}) then '{name}'" for name, kinds in TABLES.items()) + " end"
     rows = risk.by_session(timeline.filter("t_ms is not null")).withColumn("ord", F.coalesce("ord", number))
@@ -28,7 +29,7 @@ def event_rows(timeline: DataFrame, config: risk.Config) -> DataFrame:
     answers = rows.filter("role = 'answer'").withColumnRenamed("start_ms", "t_ms")
     runs = sequences.bursts(answers, ["sk"], ["t_ms", "ord"], gap_ms=config.burst_gap)
     burst = runs.selectExpr("sk", "t0_ms as ord", "t0_ms as start_ms", "t1_ms as end_ms", "n_events as n")
-    return rows.unionByName(sweep.tag(burst, "burst"))
+    return stash(rows.unionByName(sweep.tag(burst, "burst")), "event-rows")
 
 
 def event_tables(timeline: DataFrame, config: risk.Config | None = None) -> risk.EventTables:

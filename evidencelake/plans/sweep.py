@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencelake.operators import folds
+from evidencelake.operators.stashes import stash
 from evidencelake.plans import risk
 
 HOUR = 3_600_000
@@ -285,9 +286,9 @@ def gaze_speech_answer(rows: DataFrame, c: risk.Config) -> DataFrame:
 
 
 def detect(rows: DataFrame, config: risk.Config) -> DataFrame:
-    """The contributions of all 28 detectors to tagged rows that are gathered by session (``risk.by_session``)."""
+    """The contributions of all 28 detectors to tagged rows that are gathered by session (``risk.by_session``) or written."""
     known = flagged(rows, config)
-    known = known.unionByName(stretches(rows, config), allowMissingColumns=True)
+    known = stash(known.unionByName(stretches(rows, config), allowMissingColumns=True), "known-rows")  # both sides of the join read them
     rules = pair_rules(config)
     out = contributions(picked(met(known, rules, *used(rules, [*BASE, *EXTRA, *FLAGS])), rules), rules)
     return out.unionByName(of_one_kind(rows, config)).unionByName(gaze_then_input(rows, config)).unionByName(gaze_speech_answer(rows, config))

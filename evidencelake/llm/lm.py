@@ -50,8 +50,10 @@ END = b""  # no word is empty, so this stands for the end of a text
 CONTEXT, DIM, NOISE, SHARED, SEED = 6, 16, 10, 16, 11
 #: Tokens of a training step, and tokens scored at a time.
 STEP = 1 << 14
-#: Rows of group scores held at a time.
-BLOCK = 1 << 10
+#: Rows for each vector from which on a step adds up runs of equal rows.
+FEW = 32
+#: Rows of group scores held at a time, and rows that short operations on each take as one.
+BLOCK, WIDE = 1 << 10, 64
 RATE, START_TOKENS, EPOCHS, PIECE_BYTES = 0.1, 1_000_000, 4, 1 << 13
 #: Pieces in which parameters are averaged.
 PIECES = 64
@@ -141,7 +143,7 @@ class Model:
         held = self.context.take(padded, axis=0)
         out, step = np.zeros_like(held), np.empty_like(held)
         for i in range(CONTEXT):
-            out[i + 1 :] += np.multiply(held[: -i - 1], self.position[i], out=step[i + 1 :])
+            add_weighted(out[i + 1 :], held[: -i - 1], self.position[i], step)
         return held, out
 
     def log10(self, padded: np.ndarray, inside: np.ndarray) -> np.ndarray:
@@ -154,10 +156,13 @@ class Model:
         row = group * np.int64(self.members) + member
         found = np.einsum("ij,ij->i", q, self.group.take(group, axis=0)) + self.group_bias.take(group)
         found += np.einsum("ij,ij->i", q, self.member.reshape(-1, DIM).take(row, axis=0)) + self.member_bias.take(row)
+        total = np.empty(len(q), np.float32)
         for at in range(0, len(q), BLOCK):
-            found[at : at + BLOCK] -= log_total(q[at : at + BLOCK] @ self.group.T, self.group_bias)
+            total[at : at + BLOCK] = log_total(q[at : at + BLOCK], self.group, self.group_bias)
+        found -= total
         for g, own in segments(group):
-            found[own] -= log_total(q[own] @ self.member[g, : self.size[g]].T, self.member_bias[g, : self.size[g]])
+            total[own] = log_total(q[own], self.member[g, : self.size[g]], self.member_bias[g, : self.size[g]])
+        found -= total
         out = np.empty(len(unit))
         out[order] = found
         return out / np.log(10)
@@ -191,12 +196,31 @@ def segments(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(keys[a]), slice(a, b)
 
 
-def log_total(scores: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Logarithm of the sum of exponentials of each row and the bias."""
+def add_weighted(out: np.ndarray, rows: np.ndarray, weight: np.ndarray, step: np.ndarray) -> None:
+    """Add the rows, times one weight for each column, to as many rows of ``out``; WIDE rows are taken as one long row."""
+    n = len(rows) - len(rows) % WIDE
+    if n:
+        wide, product = (x[:n].reshape(-1, WIDE * DIM) for x in (out, step))
+        wide += np.multiply(rows[:n].reshape(-1, WIDE * DIM), np.tile(weight, WIDE), out=product)
+    out[n:] += rows[n:] * weight
+
+
+def column_products(a: np.ndarray, b: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Sums of the products of both arrays' columns; WIDE rows are taken as one long row."""
+    n = len(a) - len(a) % WIDE
+    out = np.einsum("ij,ij->j", a[n:], b[n:])
+    if n:
+        out += np.multiply(a[:n], b[:n], out=step[:n]).reshape(-1, WIDE * DIM).sum(axis=0).reshape(WIDE, DIM).sum(axis=0)
+    return out
+
+
+def log_total(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials of each row's products with the vectors and the bias."""
+    scores = q @ vectors.T
     with np.errstate(over="ignore"):
-        total = np.exp(scores) @ np.exp(bias)
+        total = np.exp(scores, out=scores) @ np.exp(bias)
     if len(total) and not (1e-20 < total.min() and total.max() < 1e30):  # near or beyond what single precision holds
-        scores = scores + bias
+        scores = q @ vectors.T + bias
         most = scores.max(axis=1, keepdims=True)
         return np.log(np.exp(scores - most).sum(axis=1)) + most[:, 0]
     return np.log(total)
@@ -226,26 +250,31 @@ class Trainer:
 
     def contrast(self, q: np.ndarray, vectors: np.ndarray, bias: np.ndarray, odds: np.ndarray, own: np.ndarray, runs: list[slice], noise: np.ndarray) -> tuple:
         """Slopes of q, vectors and bias for telling the rows ``own`` from noise, a row of ``noise`` for each run of q, with these log odds."""
-        mine, level, far = vectors.take(own, axis=0), bias - odds, vectors[noise]
-        data = chance(np.einsum("ij,ij->i", q, mine) + level.take(own)) - 1
+        mine, level, far = vectors.take(own, axis=0), odds - bias, vectors[noise]
+        data = chance(level.take(own) - np.einsum("ij,ij->i", q, mine), 1) - 1
         other = np.empty((len(q), SHARED), np.float32)
-        for run, x, base in zip(runs, far, level[noise], strict=True):
-            np.add(q[run] @ x.T, base, out=other[run])
-        other = chance(other)
-        other *= np.float32(NOISE / SHARED)
-        slope_q, slope_v, pull = np.multiply(data[:, None], mine, out=mine), np.zeros_like(vectors), np.empty_like(far)
+        for run, x, base in zip(runs, -far, level[noise], strict=True):
+            part = np.matmul(q[run], x.T, out=other[run])
+            part += base
+        other = chance(other, NOISE / SHARED)
+        slope_q, slope_v, pull = data[:, None] * mine, np.zeros_like(vectors), np.empty_like(far)
         for i, (run, x) in enumerate(zip(runs, far, strict=True)):
             slope_q[run] += other[run] @ x
             np.matmul(other[run].T, q[run], out=pull[i])
-        add_rows(slope_v, own, data[:, None] * q)
-        add_rows(slope_v, noise.ravel(), pull)
+        if len(vectors) * FEW < len(own):
+            new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))  # they are sorted
+            slope_v[own[new]] = np.add.reduceat(np.multiply(data[:, None], q, out=mine), new)
+        else:
+            add_rows(slope_v, own, np.multiply(data[:, None], q, out=mine))
+        add_rows(slope_v, noise.ravel(), pull.reshape(-1, DIM))
         slope_b = np.bincount(own, data, len(odds))
         slope_b += np.bincount(noise.ravel(), np.add.reduceat(other, [run.start for run in runs]).ravel(), len(odds))
         return slope_q, slope_v, slope_b.astype(np.float32)
 
     def noise(self, cdf: np.ndarray) -> np.ndarray:
-        """Samples of the distribution with these sums."""
-        return np.minimum(np.searchsorted(cdf, self.rng.random(SHARED)), len(cdf) - 1)
+        """Samples of the distributions with these sums, a row for each."""
+        drawn = self.rng.random((len(cdf), SHARED))
+        return np.minimum((cdf[:, None] < drawn[:, :, None]).sum(axis=2), cdf.shape[1] - 1)
 
     def step(self, padded: np.ndarray, inside: np.ndarray) -> None:
         m, sums = self.model, self.sums
@@ -255,12 +284,13 @@ class Trainer:
         order = np.argsort(row.astype(np.uint16 if m.groups * m.members < 1 << 16 else np.int32), kind="stable")
         inside, row = inside.take(order), row.take(order)
         q, group = q.take(inside, axis=0), row // m.members
-        noise = self.noise(self.group_cdf)[None]
+        noise = self.noise(self.group_cdf[None])
         slope_q, slope_v, slope_b = self.contrast(q, m.group, m.group_bias, self.group_odds, group, [slice(0, len(q))], noise)
         adagrad(m.group, sums[2], slope_v)
         adagrad(m.group_bias, sums[4], slope_b)
         found = list(segments(group))
-        noise = np.stack([g * m.members + self.noise(self.member_cdf[g]) for g, _ in found])
+        groups = np.array([g for g, _ in found])
+        noise = groups[:, None] * m.members + self.noise(self.member_cdf[groups])
         vectors, bias = m.member.reshape(-1, DIM), m.member_bias.reshape(-1)
         more, slope_v, slope_b = self.contrast(q, vectors, bias, self.member_odds.reshape(-1), row, [own for _, own in found], noise)
         slope_q += more
@@ -271,8 +301,8 @@ class Trainer:
         slopes = np.zeros_like(held)
         step = np.empty_like(held)
         for i in range(CONTEXT):
-            slopes[: -i - 1] += np.multiply(back[i + 1 :], m.position[i], out=step[i + 1 :])
-        position = np.stack([np.einsum("ij,ij->j", back[i + 1 :], held[: -i - 1]) for i in range(CONTEXT)])
+            add_weighted(slopes[: -i - 1], back[i + 1 :], m.position[i], step)
+        position = np.stack([column_products(back[i + 1 :], held[: -i - 1], step) for i in range(CONTEXT)])
         order = np.argsort(padded.astype(np.uint16 if m.units < 1 << 16 else np.int32), kind="stable")
         found = padded.take(order)
         new = np.append(True, found[1:] != found[:-1])
@@ -287,14 +317,19 @@ class Trainer:
 
 def add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """Add each of the values to its row of a contiguous array, in order."""
-    np.add.at(total.reshape(-1), (rows[:, None] * DIM + np.arange(DIM)).ravel(), values.ravel())
+    base, at = rows * DIM, np.empty((min(BLOCK, len(rows)), DIM), np.int64)
+    for i in range(0, len(rows), BLOCK):
+        held = values[i : i + BLOCK]
+        np.add(base[i : i + BLOCK, None], np.arange(DIM), out=at[: len(held)])
+        np.add.at(total.reshape(-1), at[: len(held)].ravel(), held.ravel())
 
 
-def chance(x: np.ndarray) -> np.ndarray:
-    out = np.maximum(x, -60)
-    np.exp(np.negative(out, out=out), out=out)
-    out += 1
-    return np.reciprocal(out, out=out)
+def chance(x: np.ndarray, most: float) -> np.ndarray:
+    """``most`` / (1 + exp(x)), in place."""
+    with np.errstate(over="ignore"):  # beyond what single precision holds: 0
+        np.exp(x, out=x)
+    x += 1
+    return np.divide(np.float32(most), x, out=x)
 
 
 def adagrad(values: np.ndarray, sums: np.ndarray, slope: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
@@ -416,18 +451,18 @@ def started(texts: DataFrame, vocab: Vocabulary) -> Trainer:
     return trainer
 
 
-def improved(texts: DataFrame, vocab: Vocabulary, start: Trainer) -> Model:
-    """The model after every task has gone on with all the tokens of ``texts`` that it reads: the mean of theirs, by tokens."""
+def improved(texts: DataFrame, start: Trainer) -> Model:
+    """The model after every task has gone on with all the units of ``texts`` (one binary column) that it reads: the mean of theirs, by tokens."""
     model = start.model
-    sent = texts.sparkSession.sparkContext.broadcast((vocab, model, start.sums))
+    sent = texts.sparkSession.sparkContext.broadcast((model, start.sums))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model, sums = sent.value
+        model, sums = sent.value
         model = copy.deepcopy(model)
         trainer = Trainer(model, TaskContext.get().partitionId() + 1, sums)  # steps go on as short as they have become
         for batch in batches:
             for value in batch.column(0):
-                trainer.add(numbered(tokens(value.as_py()), vocab)[1])
+                trainer.add(unpacked(value, model.units))
         trainer.flush()
         if trainer.tokens:
             yield pieces([(trainer.tokens, trainer.tokens * x.astype(np.float64)) for x in np.array_split(model.flat(), PIECES)])
@@ -454,41 +489,37 @@ def improved(texts: DataFrame, vocab: Vocabulary, start: Trainer) -> Model:
     return model
 
 
-def fit(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Vocabulary, Model, DataFrame]:
-    """Vocabulary, model, and the stored counts of all training tokens (h, c)."""
-    texts = docs.filter(training(docs, ident)).select(F.coalesce(text, F.lit("")).cast("binary").alias("t"))
-    counts = stash(count_tokens(texts), "token-counts")
-    vocab = vocabulary(counts)
-    model = improved(texts, vocab, started(texts, vocab))
-    # written as it is joined: a hash that many held-out texts share and no training text holds is split over tasks
-    return vocab, model, stash(counts.groupBy("h").agg(F.sum("c").alias("c")), "hash-counts")
+def packed(units: np.ndarray, most: int) -> bytes:
+    """Units, of which there are ``most``, in two bytes each if these hold them."""
+    return units.astype(np.uint16 if most <= 1 << 16 else np.int32).tobytes()
 
 
-def score(docs: DataFrame, vocab: Vocabulary, model: Model, counts: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """ident, n_tokens, n_known, base_score, score of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocab, model))  # bounded by HEAD
+def unpacked(value: pa.BinaryScalar, most: int) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint16 if most <= 1 << 16 else np.int32).astype(np.int64)
+
+
+def prepared(docs: DataFrame, vocab: Vocabulary, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """Every text's units, its numbers but for what the model and the rare tokens add, and hashes of these; stored, for training and scoring."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocab)  # bounded by HEAD
     kept = docs.schema[ident]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model = sent.value
+        vocab = sent.value
         key, base_norm, unit_norm = TaskContext.get().partitionId() << 33, vocab.base_norm, vocab.unit_norm
         seen = np.log10(vocab.counts + 0.5)
         shared = np.where(np.arange(len(seen)) < vocab.own, 0.0, seen - unit_norm[vocab.units]) if len(seen) else seen
         known_in_head = (vocab.counts > 0).astype(np.int64)
         end = vocab.numbers.get(END)
 
-        def done(idents: pa.Array, texts: list[np.ndarray], rows: list[tuple], tails: list[list[int]]) -> pa.RecordBatch:
-            scores = np.concatenate([model.log10(*x) for x in laid(texts, model.units)])
-            own = np.add.reduceat(scores, np.cumsum([0, *map(len, texts[:-1])]))
-            columns = [list(c) for c in zip(*rows, strict=True)]
-            columns[4] = (own + columns[4]).tolist()
-            arrays = [pa.array(c, type=t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.float64()] * 2, strict=True)]
-            names = ["ident", "key", "n_tokens", "head_known", "head_base", "head_score", "tail"]
-            return pa.RecordBatch.from_arrays([idents, *arrays, pa.array(tails, type=pa.list_(pa.int64()))], names=names)
+        def done(first: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+            types = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.binary(), pa.list_(pa.int64())]
+            arrays = [pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+            names = ["ident", "train", "key", "n_tokens", "head_known", "head_base", "head_score", "units", "tail"]
+            return pa.RecordBatch.from_arrays([first.column(0), first.column(1), *arrays], names=names)
 
         for batch in batches:
-            texts, rows, tails, first, size = [], [], [], 0, 0
-            for i, value in enumerate(batch.column(1)):
+            rows, first, size = [], 0, 0
+            for i, value in enumerate(batch.column(2)):
                 words = tokens(value.as_py())
                 numbers, units, rare = numbered(words, vocab)
                 found = numbers[numbers >= 0]
@@ -497,39 +528,85 @@ def score(docs: DataFrame, vocab: Vocabulary, model: Model, counts: DataFrame, t
                 rest = shared[found].sum() - (unit_norm[units[rare]].sum() if rare else 0.0)
                 rest += shared[end] if end is not None else np.log10(0.5) - unit_norm[units[-1]]
                 known = int(known_in_head[found].sum()) + (end is not None)
-                rows.append((key, n, known, float(base), float(rest)))
-                tails.append([token_hash(words[j]) for j in rare])
-                texts.append(units)
+                rows.append((key, n, known, float(base), float(rest), packed(units, len(unit_norm)), [token_hash(words[j]) for j in rare]))
                 key, size = key + 1, size + n
                 if size > 4 * STEP:
-                    yield done(batch.column(0).slice(first, i + 1 - first), texts, rows, tails)
-                    texts, rows, tails, first, size = [], [], [], i + 1, 0
-            if texts:
-                yield done(batch.column(0).slice(first), texts, rows, tails)
+                    yield done(batch.slice(first, i + 1 - first), rows)
+                    rows, first, size = [], i + 1, 0
+            if rows:
+                yield done(batch.slice(first), rows)
 
     schema = (
-        f"ident {kept.dataType.simpleString()}, key bigint, n_tokens bigint, head_known bigint, head_base double, "
-        "head_score double, tail array<bigint>"
+        f"ident {kept.dataType.simpleString()}, train boolean, key bigint, n_tokens bigint, head_known bigint, head_base double, "
+        "head_score double, units binary, tail array<bigint>"
     )
-    rows = docs.select(F.col(ident).alias("ident"), F.coalesce(text, F.lit("")).cast("binary").alias("t"))
-    scored = stash(rows.mapInArrow(task, schema), "lm-scores")
-    tail = scored.select("key", F.explode("tail").alias("h")).join(counts, "h", "left")
+    rows = docs.select(F.col(ident).alias("ident"), training(docs, ident).alias("train"), F.coalesce(text, F.lit("")).cast("binary").alias("t"))
+    return stash(rows.mapInArrow(task, schema), "lm-units")
+
+
+def learned(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Vocabulary, Model, DataFrame, DataFrame]:
+    """Vocabulary, model, the stored counts of all training tokens (h, c), and the stored units of all texts."""
+    texts = docs.filter(training(docs, ident)).select(F.coalesce(text, F.lit("")).cast("binary").alias("t"))
+    counts = stash(count_tokens(texts), "token-counts")
+    vocab = vocabulary(counts)
+    rows = prepared(docs, vocab, text, ident)
+    model = improved(rows.filter("train").select("units"), started(texts, vocab))
+    # written as it is joined: a hash that many held-out texts share and no training text holds is split over tasks
+    return vocab, model, stash(counts.groupBy("h").agg(F.sum("c").alias("c")), "hash-counts"), rows
+
+
+def fit(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> tuple[Vocabulary, Model, DataFrame]:
+    """Vocabulary, model, and the stored counts of all training tokens (h, c)."""
+    return learned(docs, text, ident)[:3]
+
+
+def score(docs: DataFrame, vocab: Vocabulary, model: Model, counts: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """ident, n_tokens, n_known, base_score, score of every text."""
+    return scored(prepared(docs, vocab, text, ident), model, counts).withColumnRenamed("ident", ident)
+
+
+def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """ident, n_tokens, n_known, base_score, score of every text of ``prepared``."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+
+        def done(first: pa.RecordBatch, texts: list[np.ndarray]) -> pa.RecordBatch:
+            scores = np.concatenate([model.log10(*x) for x in laid(texts, model.units)])
+            own = np.add.reduceat(scores, np.cumsum([0, *map(len, texts[:-1])]))
+            return first.set_column(first.num_columns - 1, "own", pa.array(own))
+
+        for batch in batches:
+            texts, first, size = [], 0, 0
+            for i, value in enumerate(batch.column(batch.num_columns - 1)):
+                texts.append(unpacked(value, model.units))
+                size += len(texts[-1])
+                if size > 4 * STEP:
+                    yield done(batch.slice(first, i + 1 - first), texts)
+                    texts, first, size = [], i + 1, 0
+            if texts:
+                yield done(batch.slice(first), texts)
+
+    tail = rows.select("key", F.explode("tail").alias("h")).join(counts, "h", "left")
     sums = tail.groupBy("key").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_log"), F.count("c").alias("tail_known")
     )
     rest = F.coalesce("tail_log", F.lit(0.0))
-    return scored.drop("tail").join(sums, "key", "left").select(
-        F.col("ident").alias(ident),
+    kept = rows.select("ident", "key", "n_tokens", "head_known", "head_base", "head_score", "units")
+    schema = f"ident {rows.schema['ident'].dataType.simpleString()}, key bigint, n_tokens bigint, head_known bigint, head_base double, head_score double, own double"
+    return kept.mapInArrow(task, schema).join(sums, "key", "left").select(
+        "ident",
         "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         (F.col("head_base") + rest).alias("base_score"),
-        (F.col("head_score") + rest).alias("score"),
+        (F.col("head_score") + F.col("own") + rest).alias("score"),
     )
 
 
 def score_report(docs: DataFrame) -> DataFrame:
-    vocab, model, counts = fit(docs)
-    return score(docs, vocab, model, counts).select(
+    vocab, model, counts, rows = learned(docs)
+    return scored(rows, model, counts).withColumnRenamed("ident", "doc_id").select(
         "doc_id",
         F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"),
         "n_tokens",
